@@ -205,6 +205,11 @@ def metrics(
     periods = window_periods(
         start, end, lambda: resolve_anchor(df) if anchor is None else anchor
     )
+    return metrics_of(df, periods, change_name)
+
+
+def metrics_of(df: DataFrame, periods: Periods, change_name: str = "delta_pct") -> DataFrame:
+    """:func:`metrics` for windows already worked out."""
     spec = replace(METRICS, names=METRICS.names[:3] + (change_name,))
     return kpi_long(period_totals(df, periods), spec).orderBy("metric")
 

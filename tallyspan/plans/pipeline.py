@@ -5,19 +5,24 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspan.operators.clean import accepted, judge_rows, rejected, stamp_provenance
-from tallyspan.operators.kpi import metrics, metrics_request
+from tallyspan.operators.kpi import metrics_of
 from tallyspan.operators.merge import dedupe_latest, duplicate_keys, upsert
+from tallyspan.operators.periods import request_bounds, window_periods
 from tallyspan.schema import NATURAL_KEY
 from tallyspan.session import shared_folder
 from tallyspan.sinks.json_rows import metrics_json, write_json
 from tallyspan.sources.csv_files import read_ads_csv
 from tallyspan.sources.fact_table import (
+    part_column,
     physical_order,
+    read_parts,
     read_table,
     table_anchor,
-    write_days,
+    table_state,
+    write_parts,
 )
 
 # The window an ingest run reports on when none is given.
@@ -30,17 +35,29 @@ def utc_now() -> dt.datetime:
 
 
 def upsert_table(
-    table: str, batch: DataFrame, batch_ts: dt.datetime, tag: str | None = None
+    table: str,
+    batch: DataFrame,
+    batch_ts: dt.datetime,
+    tag: str | None = None,
+    grain: str = "month",
 ) -> None:
-    """Upsert a batch into the stored table, reading and replacing the batch's days only.
+    """Upsert a batch into the stored table, reading and replacing only the parts (months or
+    days) that the batch has dates in.
 
     The batch is read more than once; hand over stored rows, not a long plan.
     """
     spark = batch.sparkSession
-    # As many rows as the batch has days.
-    days = [row["date"] for row in batch.select("date").distinct().collect()]
-    merged = upsert(read_table(spark, table, days), batch, batch_ts, by_range=True)
-    write_days(merged, table, days, tag, laid_out=True)
+    state = table_state(spark, table)
+    touched = _parts_of(batch, state.grain or grain)
+    target = read_parts(spark, table, state, touched)
+    merged = upsert(target, batch, batch_ts, by_range=True)
+    write_parts(merged, table, state, touched, tag, laid_out=True, grain=grain)
+
+
+def _parts_of(df: DataFrame, grain: str) -> list[str]:
+    """As many names as the input has months or days."""
+    names = df.select(part_column(grain).alias("part")).distinct().collect()
+    return [row["part"] for row in names]
 
 
 def load_rows(
@@ -52,6 +69,7 @@ def load_rows(
     blank: str = "zero",
     rejects_path: str | None = None,
     tag: str | None = None,
+    grain: str = "month",
 ) -> None:
     """Text rows, as :func:`read_ads_csv` gives them, into the table.
 
@@ -64,7 +82,7 @@ def load_rows(
     judged = spark.read.parquet(staged)
     if rejects_path:
         write_json(rejected(judged), rejects_path)
-    upsert_table(table, accepted(judged), batch_ts, tag)
+    upsert_table(table, accepted(judged), batch_ts, tag, grain)
 
 
 def run_ingest(
@@ -79,6 +97,7 @@ def run_ingest(
     blank: str = "zero",
     rejects_path: str | None = None,
     multi_line: bool = False,
+    grain: str = "month",
 ) -> DataFrame:
     """Read, clean, type and upsert the files, then report the window once."""
     load_rows(
@@ -89,6 +108,7 @@ def run_ingest(
         on_error,
         blank,
         rejects_path,
+        grain=grain,
     )
     return table_metrics(spark, table, start, end)
 
@@ -96,32 +116,42 @@ def run_ingest(
 def table_metrics(
     spark: SparkSession, table: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
-    """Metrics of the stored table. The newest date comes from the table's list of days."""
-    return metrics(read_table(spark, table), start, end, anchor=table_anchor(spark, table))
+    """Metrics of the stored table, from the parts of the two windows only."""
+    periods = window_periods(start, end, lambda: table_anchor(spark, table))
+    bounds = (periods.prior_from, periods.current_to)
+    known = None not in bounds
+    # Without a date to go by the table is empty, and there is nothing to leave out.
+    rows = read_table(spark, table, bounds if known else None)
+    return metrics_of(rows, periods)
 
 
 def table_response(spark: SparkSession, table: str, request: str = "{}") -> str:
     """JSON request in, JSON array out."""
-    result = metrics_request(read_table(spark, table), request, table_anchor(spark, table))
-    return metrics_json(result).first()["response"]
+    start, end = request_bounds(request)
+    return metrics_json(table_metrics(spark, table, start, end)).first()["response"]
 
 
 def dedupe_table(spark: SparkSession, table: str) -> None:
     """Keep the latest row of each key and check that keys are unique afterwards.
 
-    Days without a repeated key are left as they are; the date is part of the key, so a day
+    Parts without a repeated key are left as they are; the date is part of the key, so a part
     can be settled on its own.
     """
+    state = table_state(spark, table)
+    if not state.parts:
+        return
     repeated = (
-        read_table(spark, table)
+        read_parts(spark, table, state, state.parts)
         .groupBy(*NATURAL_KEY)
-        .count()
-        .filter("count > 1")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .filter("_copies > 1")
     )
-    days = [row["date"] for row in repeated.select("date").distinct().collect()]
-    if days:
-        write_days(dedupe_latest(physical_order(spark, table, days)), table, days)
-        require_unique(read_table(spark, table, days))
+    parts = _parts_of(repeated, state.grain)
+    if parts:
+        write_parts(
+            dedupe_latest(physical_order(spark, table, state, parts)), table, state, parts
+        )
+        require_unique(read_parts(spark, table, table_state(spark, table), parts))
 
 
 def require_unique(df: DataFrame) -> None:
@@ -129,4 +159,3 @@ def require_unique(df: DataFrame) -> None:
     found = duplicate_keys(df).first()
     if found is not None:
         raise ValueError(f"duplicate key: {found.asDict()}")
-

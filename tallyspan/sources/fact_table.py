@@ -1,10 +1,13 @@
-"""The stored fact table: parquet partitioned by date, replaced a day at a time.
+"""The stored fact table: parquet in one folder per month (or day), replaced part by part.
 
-``date`` is part of the natural key, so a batch can only touch the days it contains. Each write
-goes to a new folder under ``data``; a row set under ``commits`` then names, for every day, the
-folder that holds it. Readers follow the newest commit, so they see all of a batch or nothing
-of it, a failed job leaves only an unreferenced folder behind, and the target can be read while
-its successor is written. The commit is as long as the table has days.
+``date`` is part of the natural key, so a batch can only touch the parts its dates fall into.
+Each write goes to a new folder under ``data``; a row set under ``commits`` then names, for
+every part, the folder that holds it. Readers follow the newest commit, so they see all of a
+batch or nothing of it, a failed job leaves only an unreferenced folder behind, and the target
+can be read while its successor is written. A commit is as long as the table has parts.
+
+Months suit tables up to some TB. With more, choose days when the table is first written: a
+batch then rewrites less.
 """
 
 from __future__ import annotations
@@ -12,155 +15,178 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Iterable
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyspan.schema import ADS_SPEND_SCHEMA, FACT_COLUMNS, SEQ
 
-_COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("tag", T.StringType()),
-        T.StructField("date", T.DateType()),
-        T.StructField("folder", T.StringType()),
-    ]
-)
-_NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+PART = "_part"
+NO_DATE = "none"
+_GRAINS = {"day": ("yyyy-MM-dd", "%Y-%m-%d"), "month": ("yyyy-MM", "%Y-%m")}
+_COMMIT_SCHEMA = "tag string, grain string, part string, folder string"
+
+
+@dataclass(frozen=True)
+class TableState:
+    """What a commit says: the version, the grain, and the folder of each part."""
+
+    version: int = 0
+    grain: str | None = None
+    parts: dict[str, str] = field(default_factory=dict)
+
+    def part_of(self, day: dt.date | None) -> str:
+        return NO_DATE if day is None else day.strftime(_GRAINS[self.grain][1])
 
-Days = dict[dt.date | None, str]
+    def overlapping(self, low: dt.date, high: dt.date) -> list[str]:
+        """Parts that can hold a date between the two. Part names sort like dates."""
+        first, last = self.part_of(low), self.part_of(high)
+        return [p for p in self.parts if p != NO_DATE and first <= p <= last]
 
 
-def _commits(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([f for f in _COMMIT_SCHEMA if f.name != "version"])
+def part_column(grain: str) -> Column:
+    return F.coalesce(F.date_format("date", _GRAINS[grain][0]), F.lit(NO_DATE))
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return (
-            spark.read.schema(schema.add("version", T.LongType()))
+            spark.read.schema(f"{_COMMIT_SCHEMA}, version bigint")
             .option("basePath", f"{path}/commits")
             .parquet(f"{path}/commits")
         )
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], _COMMIT_SCHEMA)
+        return None
 
 
-def current_days(spark: SparkSession, path: str) -> tuple[int, Days]:
-    """Newest version number (0 for a table that does not exist yet) and its days."""
+def table_state(spark: SparkSession, path: str) -> TableState:
+    """The newest commit; version 0 for a table that does not exist yet."""
     commits = _commits(spark, path)
-    version = commits.agg(F.max("version")).first()[0]
-    if version is None:
-        return 0, {}
-    rows = commits.filter(F.col("version") == version).select("date", "folder").collect()
-    return version, {r["date"]: r["folder"] for r in rows if r["folder"] is not None}
+    newest = None if commits is None else commits.agg(F.max("version")).first()[0]
+    if newest is None:
+        return TableState()
+    rows = commits.filter(F.col("version") == newest).collect()
+    parts = {r["part"]: r["folder"] for r in rows if r["part"] is not None}
+    return TableState(newest, rows[0]["grain"], parts)
 
 
 def has_tag(spark: SparkSession, path: str, tag: str) -> bool:
     """Whether a write with this tag was already committed."""
-    return not _commits(spark, path).filter(F.col("tag") == tag).isEmpty()
+    commits = _commits(spark, path)
+    return commits is not None and not commits.filter(F.col("tag") == tag).isEmpty()
 
 
 def table_anchor(spark: SparkSession, path: str) -> dt.date | None:
-    """The newest date of the table, from its list of days; no data is read."""
-    return max((d for d in current_days(spark, path)[1] if d is not None), default=None)
+    """The newest date of the table. Reads the date column of its newest part only."""
+    state = table_state(spark, path)
+    dated = [p for p in state.parts if p != NO_DATE]
+    if not dated:
+        return None
+    return _scan(spark, path, state, [max(dated)]).agg(F.max("date")).first()[0]
 
 
 def read_table(
-    spark: SparkSession, path: str, days: Iterable[dt.date | None] | None = None
+    spark: SparkSession, path: str, between: tuple[dt.date, dt.date] | None = None
 ) -> DataFrame:
-    """The table, or only the given days. A missing table is an empty DataFrame.
+    """The table; with ``between``, only the parts that can hold dates of that range (filter
+    the dates as well). A missing table is an empty DataFrame."""
+    state = table_state(spark, path)
+    parts = state.parts if between is None or not state.parts else state.overlapping(*between)
+    return read_parts(spark, path, state, parts)
 
-    A filter on ``date`` prunes folders, so a KPI window reads its own days only.
-    """
-    return _scan(spark, path, _held(spark, path, days)).select(*FACT_COLUMNS)
+
+def read_parts(
+    spark: SparkSession, path: str, state: TableState, parts: Iterable[str]
+) -> DataFrame:
+    """Some parts of the table as of a given state; parts it does not have are left out."""
+    return _scan(spark, path, state, parts).select(*FACT_COLUMNS)
 
 
 def physical_order(
-    spark: SparkSession, path: str, days: Iterable[dt.date | None] | None = None
+    spark: SparkSession, path: str, state: TableState, parts: Iterable[str]
 ) -> DataFrame:
-    """:func:`read_table` with ``_seq``, the place of each row in its file: the last resort for
+    """:func:`read_parts` with ``_seq``, the place of each row in its file: the last resort for
     ordering rows that are otherwise tied."""
-    held = _held(spark, path, days)
-    rows = _scan(spark, path, held)
-    if not held:
-        return rows.withColumn(SEQ, F.lit(None).cast("struct<path:string,row:bigint>"))
-    position = F.struct(
+    place = F.struct(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row")
     )
-    return rows.select(*FACT_COLUMNS, position.alias(SEQ))
-
-
-def _held(spark: SparkSession, path: str, days: Iterable[dt.date | None] | None) -> Days:
-    held = current_days(spark, path)[1]
-    return held if days is None else {d: held[d] for d in days if d in held}
+    return _scan(spark, path, state, parts).select(*FACT_COLUMNS, place.alias(SEQ))
 
 
-def _scan(spark: SparkSession, path: str, held: Days) -> DataFrame:
-    if not held:
-        return spark.createDataFrame([], ADS_SPEND_SCHEMA)
+def _scan(spark: SparkSession, path: str, state: TableState, parts: Iterable[str]) -> DataFrame:
     folders = [
-        f"{path}/data/load={folder}/date={_NULL_DAY if day is None else day.isoformat()}"
-        for day, folder in held.items()
+        f"{path}/data/{state.parts[p]}/{PART}={p}" for p in parts if p in state.parts
     ]
-    return spark.read.schema(ADS_SPEND_SCHEMA).option("basePath", f"{path}/data").parquet(*folders)
+    if not folders:
+        return spark.createDataFrame([], ADS_SPEND_SCHEMA)
+    return spark.read.schema(ADS_SPEND_SCHEMA).parquet(*folders)
 
 
-def write_days(
+def write_parts(
     df: DataFrame,
     path: str,
-    replaced: Iterable[dt.date | None],
+    state: TableState,
+    replaced: Iterable[str],
     tag: str | None = None,
     laid_out: bool = False,
+    grain: str = "month",
 ) -> int:
-    """Replace the given days by the rows of ``df`` and return the new version.
+    """Replace the given parts of the table by the rows of ``df`` and return the new version.
 
+    ``state`` is the one ``df`` was made from; if another write came in between, this one fails.
     ``laid_out`` says that ``df`` already comes range-partitioned by date; otherwise it is
-    rebalanced, which splits large days over several files and puts small ones together.
+    rebalanced, which splits large parts over several files and puts small ones together.
+    ``grain`` counts for a new table only.
     """
     spark = df.sparkSession
-    version, held = current_days(spark, path)
+    grain = state.grain or grain
     folder = uuid.uuid4().hex
-    rows = df.select(*FACT_COLUMNS)
+    rows = df.select(*FACT_COLUMNS, part_column(grain).alias(PART))
     if not laid_out:
-        rows = rows.hint("rebalance", F.col("date"))
-    rows.write.partitionBy("date").parquet(f"{path}/data/load={folder}")
-    written = (
-        spark.read.schema(ADS_SPEND_SCHEMA)
-        .parquet(f"{path}/data/load={folder}")
-        .select("date")
-        .distinct()
-        .collect()
-    )
+        rows = rows.hint("rebalance", F.col(PART))
+    rows.write.partitionBy(PART).parquet(f"{path}/data/{folder}")
+
     gone = set(replaced)
-    held = {day: f for day, f in held.items() if day not in gone}
-    clash = [r["date"] for r in written if r["date"] in held]
+    parts = {p: f for p, f in state.parts.items() if p not in gone}
+    written = _written_parts(spark, f"{path}/data/{folder}")
+    clash = sorted(written & parts.keys())
     if clash:
-        raise ValueError(f"rows for days not meant to be replaced: {sorted(map(str, clash))}")
-    held |= {r["date"]: folder for r in written}
-    _commit(spark, path, version + 1, tag, held)
-    return version + 1
+        raise ValueError(f"rows for parts not meant to be replaced: {', '.join(clash)}")
+    parts |= dict.fromkeys(written, folder)
+    _commit(spark, path, TableState(state.version + 1, grain, parts), tag)
+    return state.version + 1
+
 
+def _written_parts(spark: SparkSession, folder: str) -> set[str]:
+    """The parts a write produced. Only folder names are read, no data."""
+    rows = spark.read.schema(f"{PART} string").option("basePath", folder).parquet(folder)
+    return {r[PART] for r in rows.select(PART).distinct().collect()}
 
-def _commit(spark: SparkSession, path: str, version: int, tag: str | None, held: Days) -> None:
-    rows = [(version, tag, day, folder) for day, folder in held.items()]
+
+def _commit(spark: SparkSession, path: str, state: TableState, tag: str | None) -> None:
+    rows = [(tag, state.grain, part, folder) for part, folder in state.parts.items()]
     # An empty table still needs a row to exist as a version.
-    log = spark.createDataFrame(rows or [(version, tag, None, None)], _COMMIT_SCHEMA)
+    log = spark.createDataFrame(rows or [(tag, state.grain, None, None)], _COMMIT_SCHEMA)
     # A second writer that started from the same version must fail, not overwrite.
-    folder = f"{path}/commits/version={version}"
+    folder = f"{path}/commits/version={state.version}"
     try:
-        log.drop("version").coalesce(1).write.mode("error").parquet(folder)
+        log.coalesce(1).write.mode("error").parquet(folder)
     except AnalysisException as e:
         if e.getCondition() != "PATH_ALREADY_EXISTS":
             raise
         raise RuntimeError(
-            f"another write of version {version} is under way, or was cut off while it "
-            f"committed; once none is running, remove {folder} if it is empty and run again"
+            f"another write of version {state.version} is under way or done, or was cut off "
+            f"while it committed; in the last case remove {folder} and run again"
         ) from e
 
 
-def write_snapshot(df: DataFrame, path: str, tag: str | None = None) -> int:
+def write_snapshot(
+    df: DataFrame, path: str, tag: str | None = None, grain: str = "month"
+) -> int:
     """Replace the whole table."""
-    held = current_days(df.sparkSession, path)[1]
-    return write_days(df, path, held.keys(), tag)
+    state = table_state(df.sparkSession, path)
+    return write_parts(df, path, state, state.parts.keys(), tag, grain=grain)
