@@ -107,12 +107,15 @@ def judge_rows(df: DataFrame, on_error: str = "fail", blank: str = "zero") -> Da
         )
         typed[c] = number.cast("int") if c in COUNTERS else number
     kept = [F.col(c) for c in (*PROVENANCE, SEQ) if c in df.columns]
-    return judged.select(
+    row = F.struct(
         *[column.alias(c) for c, column in typed.items()],
         *kept,
         REASON,
         F.when(unusable, F.col(RAW)).alias(RAW),
     )
+    # A filter on the verdict would otherwise be moved below the projections, and drag copies
+    # of all the parsing along; it cannot pass a generator.
+    return judged.select(F.inline(F.array(row)))
 
 
 def accepted(judged: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.functions.numbers import fifteen_digits, ratio
+from tallyspan.functions.numbers import joined_amount, ratio, split_amount
 from tallyspan.functions.text import canon_platform
 from tallyspan.operators.periods import (
     DEFAULT_DAYS,
@@ -81,10 +81,13 @@ def period_totals(df: DataFrame, periods: Periods, by: Sequence[str] = ()) -> Da
     windows on that key would: NULLs do not match.
     """
     dims = [f"`{c}`" for c in by]
-    rows = df.filter(periods.in_either()).select(*by, "date", "spend", "conversions")
+    whole, fraction = split_amount("spend")
+    rows = df.filter(periods.in_either()).selectExpr(
+        *dims, "date", f"{whole} AS whole", f"{fraction} AS fraction", "conversions"
+    )
     sums = [
         F.expr(f"sum(CASE WHEN {hit} THEN {measure} END) AS {measure}_{window}")
-        for measure in ("spend", "conversions")
+        for measure in ("whole", "fraction", "conversions")
         for window, hit in (("now", periods.in_current()), ("before", periods.in_prior()))
     ]
     if by:
@@ -96,8 +99,8 @@ def period_totals(df: DataFrame, periods: Periods, by: Sequence[str] = ()) -> Da
         totals = rows.agg(*sums)
     return totals.selectExpr(
         *dims,
-        f"{fifteen_digits('spend_now')} AS spend_now",
-        f"{fifteen_digits('spend_before')} AS spend_before",
+        f"{joined_amount('whole_now', 'fraction_now')} AS spend_now",
+        f"{joined_amount('whole_before', 'fraction_before')} AS spend_before",
         "double(conversions_now) AS conversions_now",
         "double(conversions_before) AS conversions_before",
     )

@@ -56,13 +56,13 @@ def _explicit(start: str, end: str) -> str:
 )"""
 
 
-def _snap(x: str) -> str:
-    return f"CAST(printf('%.14e', {x}) AS DOUBLE)"
+def _exact(condition: str) -> str:
+    return f"CAST(sum(CAST(spend AS DECIMAL(18, 4))) FILTER ({condition}) AS DOUBLE)"
 
 
 _TOTALS = f"""tot AS (
-  SELECT {_snap("sum(spend) FILTER (date BETWEEN c0 AND c1)")} AS s1,
-         {_snap("sum(spend) FILTER (date BETWEEN p0 AND p1)")} AS s0,
+  SELECT {_exact("date BETWEEN c0 AND c1")} AS s1,
+         {_exact("date BETWEEN p0 AND p1")} AS s0,
          CAST(sum(conversions) FILTER (date BETWEEN c0 AND c1) AS DOUBLE) AS n1,
          CAST(sum(conversions) FILTER (date BETWEEN p0 AND p1) AS DOUBLE) AS n0
   FROM ads, win
@@ -123,7 +123,7 @@ def _by(dims: dict[str, str]) -> str:
   WHERE date BETWEEN {lo} AND {hi} GROUP BY ALL
 )"""
     names = ", ".join(dims)
-    s = _snap("sum(spend)")
+    s = _exact("true")
     now = half.format(w="l", names=names, keys=keys, s=s, lo="c0", hi="c1")
     before = half.format(w="p", names=names, keys=keys, s=s, lo="p0", hi="p1")
     body = _report(_POSITIVE, _THIRTY_NAMES, 100, 2, by=tuple(dims), digits=_THIRTY_DIGITS)

@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import datetime as dt
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tallyspan.schema import ADS_SPEND_SCHEMA, FACT_COLUMNS, SEQ  # noqa: E402
+from tallyspan.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        master="local[4]",
+        spark__sql__shuffle__partitions=4,
+        spark__driver__memory="4g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def facts(spark):
+    """Fact rows from dicts; what is not given has a default, ``_seq`` is the list position."""
+
+    def make(*rows: dict, seq: bool = False):
+        usual = dict.fromkeys(FACT_COLUMNS) | {
+            "date": dt.date(2025, 6, 30),
+            "platform": "Google",
+            "account": "a",
+            "campaign": "c",
+            "country": "US",
+            "device": "Mobile",
+            "spend": 1.0,
+            "clicks": 1,
+            "impressions": 1,
+            "conversions": 1,
+        }
+        filled = [
+            tuple((usual | row)[c] for c in FACT_COLUMNS) + ((i,) if seq else ())
+            for i, row in enumerate(rows)
+        ]
+        schema = ADS_SPEND_SCHEMA
+        if seq:
+            schema = f"{ADS_SPEND_SCHEMA.simpleString()[7:-1].replace(':', ' ')}, {SEQ} int"
+        return spark.createDataFrame(filled, schema)
+
+    return make
+
+
+def as_dicts(df) -> list[dict]:
+    return [row.asDict(recursive=True) for row in df.collect()]
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,71 @@
+import datetime as dt
+
+import pytest
+
+from tallyspan.operators.periods import (
+    Periods,
+    explicit_periods,
+    parse_day,
+    request_bounds,
+    rolling_periods,
+    window_periods,
+)
+
+D = dt.date
+
+
+def test_rolling_windows_are_inclusive_and_adjacent():
+    p = rolling_periods(D(2025, 6, 30))
+    assert p == Periods(D(2025, 6, 1), D(2025, 6, 30), D(2025, 5, 2), D(2025, 5, 31))
+
+
+def test_explicit_window_is_preceded_by_one_of_equal_length():
+    p = explicit_periods(D(2025, 3, 1), D(2025, 3, 1))
+    assert p == Periods(D(2025, 3, 1), D(2025, 3, 1), D(2025, 2, 28), D(2025, 2, 28))
+
+
+def test_reversed_bounds_are_kept():
+    p = explicit_periods(D(2025, 6, 1), D(2025, 5, 1))
+    assert (p.prior_from, p.prior_to) == (D(2025, 7, 1), D(2025, 5, 31))
+
+
+def test_missing_bounds_are_filled_on_their_own():
+    newest = D(2025, 6, 30)
+    assert window_periods(None, None, lambda: newest) == rolling_periods(newest)
+    assert window_periods("2025-06-21", None, lambda: newest).prior_from == D(2025, 6, 11)
+    only_end = window_periods(None, "2025-05-01", lambda: newest)
+    assert (only_end.current_from, only_end.current_to) == (D(2025, 6, 1), D(2025, 5, 1))
+
+
+def test_full_request_does_not_look_for_the_newest_date():
+    def never():
+        raise AssertionError("not needed")
+
+    assert window_periods("2025-06-01", "2025-06-30", never) == rolling_periods(D(2025, 6, 30))
+
+
+def test_no_data_gives_open_windows():
+    assert rolling_periods(None) == Periods(None, None, None, None)
+    assert "false" in window_periods(None, None, lambda: None).in_either()
+
+
+@pytest.mark.parametrize("text", ["2025-6-1", "2025-06-01", "20250601", " 2025-06-01 "])
+def test_days_are_read_leniently(text):
+    assert parse_day(text) == D(2025, 6, 1)
+
+
+@pytest.mark.parametrize("text", ["", "2025", "june", "2025-13-01", "2025-02-30"])
+def test_other_text_is_no_day(text):
+    with pytest.raises(ValueError):
+        parse_day(text)
+
+
+def test_request_fields():
+    assert request_bounds("{}") == (None, None)
+    assert request_bounds('{"start": null, "end": "2025-06-30", "x": 1}') == (None, "2025-06-30")
+    with pytest.raises(ValueError):
+        request_bounds("[]")
+    # Empty text is no default: it fails as a date.
+    start, end = request_bounds('{"start": ""}')
+    with pytest.raises(ValueError):
+        window_periods(start, end, lambda: D(2025, 6, 30))
