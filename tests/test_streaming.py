@@ -1,0 +1,55 @@
+import datetime as dt
+
+from tallyspan.schema import FILE_COLUMNS
+from tallyspan.sources.fact_table import read_table, table_state
+from tallyspan.streaming.ingest_stream import ingest_stream
+
+FIRST = dt.datetime(2025, 7, 1)
+
+
+def put(folder, name, *lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join([",".join(FILE_COLUMNS), *lines]) + "\n")
+
+
+def run(spark, tmp_path, **options):
+    query = ingest_stream(
+        spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "cp"), clock=lambda: FIRST, **options
+    )
+    query.awaitTermination()
+
+
+ROW = "2025-06-{day},{platform},a,c,US,Mobile,{spend},1,1,1"
+
+
+def test_new_files_are_applied_once(spark, tmp_path):
+    folder, table = tmp_path / "in", str(tmp_path / "table")
+    put(folder, "one.csv", ROW.format(day=1, platform="x", spend='"1,000"'), ROW.format(day=2, platform="x", spend=2))
+    run(spark, tmp_path)
+    assert table_state(spark, table).version == 1
+    run(spark, tmp_path)
+    assert table_state(spark, table).version == 1
+    put(folder, "two.csv", ROW.format(day=2, platform="x", spend=3))
+    run(spark, tmp_path)
+    rows = {r["date"].day: (r["spend"], r["source_file_name"]) for r in read_table(spark, table).collect()}
+    assert rows == {1: (1000.0, "one.csv"), 2: (3.0, "two.csv")}
+
+
+def test_one_file_at_a_time(spark, tmp_path):
+    for i in range(3):
+        put(tmp_path / "in", f"{i}.csv", ROW.format(day=1 + i, platform="x", spend=i))
+    run(spark, tmp_path, max_files=1)
+    table = str(tmp_path / "table")
+    assert table_state(spark, table).version == 3
+    assert read_table(spark, table).count() == 3
+
+
+def test_a_replayed_batch_is_not_applied_again(spark, tmp_path):
+    put(tmp_path / "in", "one.csv", ROW.format(day=1, platform="x", spend=1))
+    run(spark, tmp_path)
+    # The state a crash between the write and the end of the micro-batch leaves behind.
+    (tmp_path / "cp" / "commits" / "0").unlink()
+    for extra in (tmp_path / "cp" / "commits").glob(".0*"):
+        extra.unlink()
+    run(spark, tmp_path)
+    assert table_state(spark, str(tmp_path / "table")).version == 1
