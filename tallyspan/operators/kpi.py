@@ -9,10 +9,10 @@ dimension value nor the size of the fact table matters to it.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.functions.numbers import joined_amount, ratio, split_amount
@@ -73,22 +73,32 @@ METRICS = KpiSpec(
 )
 
 
-def period_totals(df: DataFrame, periods: Periods, by: Sequence[str] = ()) -> DataFrame:
+def period_totals(
+    df: DataFrame,
+    periods: Periods,
+    by: Sequence[str] = (),
+    merged: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """Spend and conversions of both windows, one row per group (one row in all without
     groups, even for no input). A window without rows has NULL totals, not 0.
 
     A group with a NULL in its key is reported once per window, as an outer join of the two
     windows on that key would: NULLs do not match.
+
+    ``merged`` gives expressions that bring several values of a dimension together. They are
+    applied to the groups of the raw values, not to the rows; NULL must stay NULL.
     """
     dims = [f"`{c}`" for c in by]
     whole, fraction = split_amount("spend")
+    measures = ("whole", "fraction", "conversions")
     rows = df.filter(periods.in_either()).selectExpr(
         *dims, "date", f"{whole} AS whole", f"{fraction} AS fraction", "conversions"
     )
+    windows = (("now", periods.in_current()), ("before", periods.in_prior()))
     sums = [
         F.expr(f"sum(CASE WHEN {hit} THEN {measure} END) AS {measure}_{window}")
-        for measure in ("whole", "fraction", "conversions")
-        for window, hit in (("now", periods.in_current()), ("before", periods.in_prior()))
+        for measure in measures
+        for window, hit in windows
     ]
     if by:
         # The tag only splits groups whose key holds a NULL; other rows share a NULL tag.
@@ -97,6 +107,13 @@ def period_totals(df: DataFrame, periods: Periods, by: Sequence[str] = ()) -> Da
         totals = rows.groupBy(*by, tag).agg(*sums)
     else:
         totals = rows.agg(*sums)
+    if merged:
+        again = [f"{measure}_{window}" for measure in measures for window, _ in windows]
+        totals = (
+            totals.withColumns(dict(merged))
+            .groupBy(*by, "_tag")
+            .agg(*[F.expr(f"sum({c}) AS {c}") for c in again])
+        )
     return totals.selectExpr(
         *dims,
         f"{joined_amount('whole_now', 'fraction_now')} AS spend_now",
@@ -187,10 +204,10 @@ def kpi_by(
     """
     dims = list(dims)
     periods = _rolling(df, n_days, anchor)
-    if canon and "platform" in dims:
-        df = df.withColumn("platform", canon_platform(F.col("platform")))
+    merged = {"platform": canon_platform(F.col("platform"))} if canon and "platform" in dims else None
     ordered = [F.col(c).asc_nulls_last() for c in dims]
-    return kpi_long(period_totals(df, periods, dims), spec, dims).orderBy(*ordered, "metric")
+    totals = period_totals(df, periods, dims, merged)
+    return kpi_long(totals, spec, dims).orderBy(*ordered, "metric")
 
 
 def metrics(

@@ -15,28 +15,40 @@ from pyspark.sql import functions as F
 
 from tallyspan.schema import FACT_COLUMNS, NATURAL_KEY, SEQ
 
+_HASH = "_hash"
+
 
 def has_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def _key_group(keys: Sequence[str]) -> list[Column]:
+    """What to group by: the key, led by a hash of it. Sorts by key then mostly compare one
+    number in place of six columns, most of them text."""
+    return [F.hash(*keys).alias(_HASH), *[F.col(k) for k in keys]]
+
+
 def dedupe_latest(
     df: DataFrame,
     keys: Sequence[str] = NATURAL_KEY,
-    order: Sequence[Column] | None = None,
+    order: Sequence[str] = ("load_date", SEQ),
 ) -> DataFrame:
-    """One row per key: the latest ``load_date`` (NULL is oldest), then the highest position.
-    NULLs in the key count as equal.
+    """One row per key: the one highest in the ``order`` columns (those of them there are),
+    NULL being lowest. NULLs in the key count as equal.
 
-    ``row_number() = 1`` lets Spark keep only the first row of each key within a map task
-    before the shuffle, so a hot key does not end up in one reducer.
+    An aggregate rather than a ranking window: it settles each key within a map task before
+    the shuffle, so a hot key does not end up in one reducer, and it sorts by key only.
     """
-    if order is None:
-        order = [F.col("load_date").desc_nulls_last()]
-        if SEQ in df.columns:
-            order.append(F.col(SEQ).desc())
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank", SEQ)
+    order = [c for c in order if c in df.columns]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    latest = df.groupBy(*_key_group(keys)).agg(F.max(F.struct(*order, *rest)).alias("_row"))
+    return latest.select(
+        *[
+            F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
+            for c in df.columns
+            if c != SEQ
+        ]
+    )
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = NATURAL_KEY) -> DataFrame:
@@ -58,7 +70,7 @@ def last_per_key(
     """A batch reduced to the last row of each key. ``load_date`` is ``batch_ts`` where a later
     row replaced an earlier one, else the row's own, else ``batch_ts``."""
     rest = [c for c in columns if c not in keys]
-    latest = batch.groupBy(*keys).agg(
+    latest = batch.groupBy(*_key_group(keys)).agg(
         F.max(F.struct(SEQ, *rest)).alias("_last"), F.count(F.lit(1)).alias("_copies")
     )
     stamp = F.lit(batch_ts).cast("timestamp_ntz")
@@ -90,9 +102,9 @@ def upsert(
 
     The target must hold each complete key once; a second row with the same key fails the job.
 
-    ``by_range`` range-partitions the shuffle by key instead of hashing it. That costs a
-    sampling pass, and leaves the result laid out for a write partitioned by a leading key
-    column, without a second shuffle.
+    ``by_range`` range-partitions the shuffle by the first key column and the key's hash. That
+    costs a sampling pass, and leaves the result laid out for a write partitioned by the first
+    key column, without a second shuffle.
     """
     columns = list(FACT_COLUMNS)
     complete, incomplete = ~has_null(keys), has_null(keys)
@@ -103,11 +115,14 @@ def upsert(
         "_new", F.lit(1)
     )
     both = known.filter(complete).unionByName(incoming)
+    both = both.withColumn(_HASH, F.hash(*keys))
+    grouping = [_HASH, *keys]
     if by_range:
-        both = both.repartitionByRange(*keys)
+        both = both.repartitionByRange(keys[0], _HASH)
+        grouping = [keys[0], _HASH, *keys[1:]]
 
     # At most two rows share a key here: the target's and the batch's.
-    per_key = Window.partitionBy(*keys).orderBy(F.col("_new").desc())
+    per_key = Window.partitionBy(*grouping).orderBy(F.col("_new").desc())
     whole = per_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = both.select(
         "*",
