@@ -113,6 +113,12 @@ def request_bounds(request: str) -> tuple[str | None, str | None]:
     return (None if start is None else str(start), None if end is None else str(end))
 
 
+def periods_from_json(df: DataFrame, request: str) -> Periods:
+    """The windows a JSON request asks for, missing bounds taken from the newest date."""
+    start, end = request_bounds(request)
+    return window_periods(start, end, lambda: resolve_anchor(df))
+
+
 def period_tag(periods: Periods, day: str = "date") -> str:
     """SQL text giving ``'last'``, ``'prev'`` or NULL."""
     return (

@@ -1,4 +1,4 @@
-"""Row-level KPI view."""
+"""Row-level KPIs."""
 
 from __future__ import annotations
 
@@ -18,8 +18,3 @@ def ads_daily(df: DataFrame) -> DataFrame:
         f"{ratio('spend', 'conversions', 'positive')} AS cac",
         f"{ratio(revenue, 'spend', 'positive')} AS roas",
     )
-
-
-def create_daily_view(df: DataFrame, name: str = "v_ads_daily") -> None:
-    """Make :func:`ads_daily` available to SQL."""
-    ads_daily(df).createOrReplaceTempView(name)

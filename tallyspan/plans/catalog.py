@@ -13,6 +13,7 @@ from tallyspan.functions.text import canon_platform, initcap_alnum
 from tallyspan.operators import audit, kpi, merge, periods, rows
 from tallyspan.operators.clean import cast_typed, clean_numbers, stamp_provenance
 from tallyspan.plans.pipeline import dedupe_table, run_ingest, table_metrics, upsert_table
+from tallyspan.plans.views import create_views
 from tallyspan.schema import FACT_COLUMNS, FILE_COLUMNS, SEQ
 from tallyspan.session import shared_folder
 from tallyspan.sinks.json_rows import metrics_json
@@ -91,7 +92,7 @@ def ads_daily(spark, sf_dir):
 
 
 def ads_daily_view(spark, sf_dir):
-    rows.create_daily_view(ads_from_lineitem(spark, sf_dir, FILE_COLUMNS))
+    create_views(ads_from_lineitem(spark, sf_dir, FILE_COLUMNS))
     return spark.sql(
         """
         SELECT country, device, count(*) AS ads, count(cac) AS ads_with_cac,
@@ -102,6 +103,19 @@ def ads_daily_view(spark, sf_dir):
     )
 
 
+def kpi_summary_view(spark, sf_dir):
+    create_views(ads_from_lineitem(spark, sf_dir, FILE_COLUMNS))
+    return spark.sql(
+        """
+        SELECT metric, value_current AS last_30, value_prior AS prior_30, abs_delta AS delta_abs,
+               round(100 * pct_delta, 2) AS delta_pct
+        FROM kpi_30d_vs_prior
+        WHERE metric IN ('CAC', 'ROAS')
+        ORDER BY metric
+        """
+    )
+
+
 def dedupe_latest(spark, sf_dir):
     return merge.dedupe_latest(_ordered(spark, sf_dir))
 
@@ -285,6 +299,7 @@ QUERIES: dict[str, Query] = {
         metrics_response,
         ads_daily,
         ads_daily_view,
+        kpi_summary_view,
         dedupe_latest,
         duplicate_keys,
         upsert_batch,

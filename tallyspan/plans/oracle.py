@@ -272,3 +272,4 @@ FROM orders""",
   QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY {_POSITION}) = 1
 ), {_explicit("top - 29", "top")}, {_TOTALS}, {_report(_NONZERO, _METRIC_NAMES, 100, 2)}""",
 }
+ORACLE["kpi_summary_view"] = ORACLE["kpi_summary"]

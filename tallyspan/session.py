@@ -34,7 +34,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     Only a local-mode session may go without the setting; it then gets a temporary folder,
     remembered in the session so that later calls share it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir"
+    )
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

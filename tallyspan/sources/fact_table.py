@@ -25,7 +25,8 @@ from tallyspan.schema import ADS_SPEND_SCHEMA, FACT_COLUMNS, SEQ
 
 PART = "_part"
 NO_DATE = "none"
-_GRAINS = {"day": ("yyyy-MM-dd", "%Y-%m-%d"), "month": ("yyyy-MM", "%Y-%m")}
+# Name of a part: pattern, and length of the same text in an ISO date.
+_GRAINS = {"day": ("yyyy-MM-dd", 10), "month": ("yyyy-MM", 7)}
 _COMMIT_SCHEMA = "tag string, grain string, part string, folder string"
 
 
@@ -38,7 +39,7 @@ class TableState:
     parts: dict[str, str] = field(default_factory=dict)
 
     def part_of(self, day: dt.date | None) -> str:
-        return NO_DATE if day is None else day.strftime(_GRAINS[self.grain][1])
+        return NO_DATE if day is None else day.isoformat()[: _GRAINS[self.grain][1]]
 
     def overlapping(self, low: dt.date, high: dt.date) -> list[str]:
         """Parts that can hold a date between the two. Part names sort like dates."""

@@ -7,8 +7,9 @@ from conftest import as_dicts, plan_of
 from pyspark.sql import functions as F
 
 from tallyspan.operators import kpi
-from tallyspan.operators.periods import explicit_periods, period_tag, rolling_periods
-from tallyspan.operators.rows import ads_daily, create_daily_view
+from tallyspan.operators.periods import explicit_periods, period_tag, periods_from_json, rolling_periods
+from tallyspan.operators.rows import ads_daily
+from tallyspan.plans.views import create_views
 from tallyspan.schema import FILE_COLUMNS
 from tallyspan.sinks.json_rows import metrics_json, write_json
 
@@ -251,10 +252,26 @@ def test_daily_rows(spark, facts):
     assert df.columns == [*FILE_COLUMNS, "cac", "roas"]
     assert [(r["cac"], r["roas"]) for r in df.collect()] == [(2.5, 40.0)] + [(None, None)] * 3
     assert "Exchange" not in plan_of(df)
-    create_daily_view(rows)
+    create_views(rows)
     assert as_dicts(spark.sql("SELECT count(cac) AS n FROM v_ads_daily")) == [{"n": 1}]
 
 
+def test_views(spark, golden):
+    create_views(golden)
+    assert spark.table("ads_spend").count() == 5
+    assert tuples(spark.table("kpi_30d_vs_prior")) == tuples(kpi.kpi_compact(golden))
+    agent = spark.sql(
+        "SELECT metric, round(100 * pct_delta, 2) FROM kpi_30d_vs_prior WHERE metric IN ('CAC', 'ROAS')"
+    )
+    assert tuples(agent) == [("CAC", -25.0), ("ROAS", 33.33)]
+
+
+def test_request_windows(golden):
+    assert periods_from_json(golden, "{}") == rolling_periods(D(2025, 6, 30))
+    p = periods_from_json(golden, '{"start": "2025-06-30"}')
+    assert (p.prior_from, p.prior_to) == (D(2025, 6, 29), D(2025, 6, 29))
+
+
 def test_reversed_window_is_empty(golden):
     totals = kpi.period_totals(golden, explicit_periods(D(2025, 6, 1), D(2025, 5, 1)))
     assert tuples(totals) == [(None, None, None, None)]
