@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def load_time(ts: dt.datetime) -> Column:
+    """A literal without time zone, whatever the session's; a time that has one is put to UTC."""
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.expr(f"TIMESTAMP_NTZ'{ts.isoformat(sep=' ')}'")
+
+
 def parse_date(text: Column) -> Column:
     """Text to DATE: year-month-day (``-`` or ``/``, with or without leading zeros, a time of
     day is dropped), eight digits, or month/day/year. Anything else gives NULL."""

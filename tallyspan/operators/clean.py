@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.functions.dates import parse_date
+from tallyspan.functions.dates import load_time, parse_date
 from tallyspan.functions.numbers import (
     blank_value,
     body_to_double,
@@ -44,7 +44,7 @@ def stamp_provenance(
     name = found if source is None else F.lit(source)
     return df.withColumns(
         {
-            "load_date": F.lit(batch_ts).cast("timestamp_ntz"),
+            "load_date": load_time(batch_ts),
             "source_file_name": blank_to(name, DEFAULT_SOURCE_NAME),
         }
     )

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspan.functions.dates import load_time
 from tallyspan.schema import FACT_COLUMNS, NATURAL_KEY, SEQ
 
 _HASH = "_hash"
@@ -73,7 +74,7 @@ def last_per_key(
     latest = batch.groupBy(*_key_group(keys)).agg(
         F.max(F.struct(SEQ, *rest)).alias("_last"), F.count(F.lit(1)).alias("_copies")
     )
-    stamp = F.lit(batch_ts).cast("timestamp_ntz")
+    stamp = load_time(batch_ts)
     load_date = F.when(F.col("_copies") > 1, stamp).otherwise(
         F.coalesce(F.col("_last.load_date"), stamp)
     )
@@ -108,7 +109,7 @@ def upsert(
     """
     columns = list(FACT_COLUMNS)
     complete, incomplete = ~has_null(keys), has_null(keys)
-    stamp = F.lit(batch_ts).cast("timestamp_ntz")
+    stamp = load_time(batch_ts)
 
     known = target.select(*columns).withColumn("_new", F.lit(0))
     incoming = last_per_key(batch.filter(complete), batch_ts, keys, columns).withColumn(

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspan.functions.dates import parse_date, round_to_second
+from tallyspan.functions.dates import load_time, parse_date, round_to_second
 from tallyspan.functions.numbers import joined_amount, parse_number, ratio, split_amount
 from tallyspan.functions.text import blank_to, canon_platform, initcap_alnum
 
@@ -132,6 +132,18 @@ def test_seconds_are_rounded_not_cut(spark, zone):
     ]
 
 
+def test_load_time_ignores_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        east = dt.timezone(dt.timedelta(hours=2))
+        times = dt.datetime(2025, 7, 1, 8, 0, 0, 5), dt.datetime(2025, 7, 1, 10, tzinfo=east)
+        got = spark.range(1).select(*[load_time(t) for t in times]).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert tuple(got) == (dt.datetime(2025, 7, 1, 8, 0, 0, 5), dt.datetime(2025, 7, 1, 8))
+
+
 def test_ratio_guards(spark):
     df = spark.createDataFrame([(6.0, 0.0), (6.0, -2.0), (6.0, 2.0), (6.0, None)], "n double, d double")
     assert [r[0] for r in df.selectExpr(ratio("n", "d")).collect()] == [None, -3.0, 3.0, None]
