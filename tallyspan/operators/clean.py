@@ -89,16 +89,10 @@ def judge_rows(df: DataFrame, on_error: str = "fail", blank: str = "zero") -> Da
     for fault, name in reversed(faults):
         reason = F.when(fault, name).otherwise(reason)
     text_columns = [c for c in (*FILE_COLUMNS, MALFORMED) if c in df.columns]
-    judged = parsed.withColumns(
-        {REASON: reason, RAW: F.struct(*text_columns)}
-    )
+    judged = parsed.withColumns({REASON: reason, RAW: F.struct(*text_columns)})
     unusable = F.col(REASON).isNotNull()
 
-    day = F.col("_day")
-    if on_error == "fail":
-        alarm = F.concat(F.lit("unusable "), F.col(REASON), F.lit(" in "), F.to_json(RAW))
-        day = F.when(unusable, F.raise_error(alarm).cast("date")).otherwise(day)
-    typed = {"date": day}
+    typed = {"date": F.col("_day")}
     # Empty text is delivered as NULL; in a key it is a value of its own.
     typed |= {c: F.coalesce(F.col(c), F.lit("")) for c in NATURAL_KEY if c != "date"}
     for c in MEASURES:
@@ -115,7 +109,14 @@ def judge_rows(df: DataFrame, on_error: str = "fail", blank: str = "zero") -> Da
     )
     # A filter on the verdict would otherwise be moved below the projections, and drag copies
     # of all the parsing along; it cannot pass a generator.
-    return judged.select(F.inline(F.array(row)))
+    rows = judged.select(F.inline(F.array(row)))
+    if on_error == "reject":
+        return rows
+    # In a filter, the alarm goes off whichever columns are asked for.
+    alarm = F.concat(F.lit("unusable "), F.col(REASON), F.lit(" in "), F.to_json(RAW))
+    return rows.filter(
+        F.when(unusable, F.raise_error(alarm).cast("boolean")).otherwise(F.lit(True))
+    )
 
 
 def accepted(judged: DataFrame) -> DataFrame:

@@ -80,8 +80,10 @@ def test_rejects_keep_their_text(spark, csv):
 @pytest.mark.parametrize("name", FAULTS)
 def test_unusable_rows_fail_the_job(spark, csv, name):
     rows = read_ads_csv(spark, csv(line(), line(**FAULTS[name][0])))
-    with pytest.raises(Exception, match=f"unusable {name}"):
-        cast_typed(stamp_provenance(rows, FIRST))[0].collect()
+    good = cast_typed(stamp_provenance(rows, FIRST))[0]
+    for part in (good, good.select("account"), good.groupBy().count()):
+        with pytest.raises(Exception, match=f"unusable {name}"):
+            part.collect()
 
 
 def test_malformed_lines(spark, csv):
