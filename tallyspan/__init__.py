@@ -40,6 +40,3 @@ from tallyspan.sinks.json_rows import metrics_json, write_json
 from tallyspan.sources.csv_files import read_ads_csv
 from tallyspan.sources.fact_table import read_table, table_anchor, write_snapshot
 from tallyspan.streaming.ingest_stream import ingest_stream
-
-__all__ = [name for name in dir() if not name.startswith("_") and name not in
-           ("functions", "operators", "plans", "schema", "session", "sinks", "sources", "streaming")]

@@ -117,11 +117,12 @@ def table_metrics(
     spark: SparkSession, table: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Metrics of the stored table, from the parts of the two windows only."""
-    periods = window_periods(start, end, lambda: table_anchor(spark, table))
+    state = table_state(spark, table)
+    periods = window_periods(start, end, lambda: table_anchor(spark, table, state))
     bounds = (periods.prior_from, periods.current_to)
     known = None not in bounds
     # Without a date to go by the table is empty, and there is nothing to leave out.
-    rows = read_table(spark, table, bounds if known else None)
+    rows = read_table(spark, table, bounds if known else None, state)
     return metrics_of(rows, periods)
 
 

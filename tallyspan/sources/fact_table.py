@@ -13,6 +13,7 @@ batch then rewrites less.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -65,12 +66,14 @@ def _commits(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def table_state(spark: SparkSession, path: str) -> TableState:
-    """The newest commit; version 0 for a table that does not exist yet."""
+    """The newest commit; version 0 for a table that does not exist yet. Older commits are
+    listed, not read."""
     commits = _commits(spark, path)
-    newest = None if commits is None else commits.agg(F.max("version")).first()[0]
-    if newest is None:
+    files = [] if commits is None else commits.inputFiles()
+    newest = max((int(re.search(r"/version=(\d+)/", f)[1]) for f in files), default=0)
+    if not newest:
         return TableState()
-    rows = commits.filter(F.col("version") == newest).collect()
+    rows = spark.read.schema(_COMMIT_SCHEMA).parquet(f"{path}/commits/version={newest}").collect()
     parts = {r["part"]: r["folder"] for r in rows if r["part"] is not None}
     return TableState(newest, rows[0]["grain"], parts)
 
@@ -81,9 +84,11 @@ def has_tag(spark: SparkSession, path: str, tag: str) -> bool:
     return commits is not None and not commits.filter(F.col("tag") == tag).isEmpty()
 
 
-def table_anchor(spark: SparkSession, path: str) -> dt.date | None:
+def table_anchor(
+    spark: SparkSession, path: str, state: TableState | None = None
+) -> dt.date | None:
     """The newest date of the table. Reads the date column of its newest part only."""
-    state = table_state(spark, path)
+    state = state or table_state(spark, path)
     dated = [p for p in state.parts if p != NO_DATE]
     if not dated:
         return None
@@ -91,11 +96,14 @@ def table_anchor(spark: SparkSession, path: str) -> dt.date | None:
 
 
 def read_table(
-    spark: SparkSession, path: str, between: tuple[dt.date, dt.date] | None = None
+    spark: SparkSession,
+    path: str,
+    between: tuple[dt.date, dt.date] | None = None,
+    state: TableState | None = None,
 ) -> DataFrame:
     """The table; with ``between``, only the parts that can hold dates of that range (filter
     the dates as well). A missing table is an empty DataFrame."""
-    state = table_state(spark, path)
+    state = state or table_state(spark, path)
     parts = state.parts if between is None or not state.parts else state.overlapping(*between)
     return read_parts(spark, path, state, parts)
 
