@@ -228,13 +228,17 @@ def _counted(left: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             keys, at, fewest, most = (batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("key", "at", "fewest", "most"))
             is_open = batch.column("open").to_numpy(zero_copy_only=False)
+            grams = batch.column("gram").to_numpy(zero_copy_only=False)
             for first, last, buf, offsets in slices(batch.column("around")):
                 hashes = Hasher(buf)
                 count = (most - fewest + 1)[first:last]
                 row = np.repeat(np.arange(last - first), count)
                 step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
                 begin = offsets[:-1][row] + step
-                columns = [hashes.spans(begin, begin + length).view(np.int64), keys[first:last][row], ((at - most)[first:last][row] + step).astype(np.int32), is_open[first:last][row]]
+                # one place counts once for each anchor and reach
+                reach = most[first:last][row] - step
+                string = mix(hashes.spans(begin, begin + length) + mix(grams[first:last][row].view(np.uint64) + reach.astype(np.uint64)))
+                columns = [string.view(np.int64), keys[first:last][row], ((at - most)[first:last][row] + step).astype(np.int32), is_open[first:last][row]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["string", "key", "begin", "open"])
 
     rows = left.mapInArrow(strings, "string long, key long, begin int, open boolean")
