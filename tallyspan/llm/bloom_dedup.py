@@ -131,5 +131,6 @@ def drop_duplicates(documents: DataFrame) -> DataFrame:
     rows = marked(documents)
     alone = rows.where("not _maybe").select(*documents.columns)
     every = F.struct(*documents.columns)
-    tops = rows.where("_maybe").groupBy("_sha").agg(F.max_by(every, F.coalesce(F.col("doc_id").cast("decimal(20)"), F.lit(-(2**63) - 1).cast("decimal(20)"))).alias("_top"))
+    order = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").cast("long").alias("id"))
+    tops = rows.where("_maybe").groupBy("_sha").agg(F.max_by(every, order).alias("_top"))
     return alone.unionByName(tops.select("_top.*"))
