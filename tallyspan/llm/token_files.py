@@ -74,7 +74,8 @@ def train_dictionary(documents: DataFrame, path: str) -> bytes:
             made = b""
         yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["dictionary"])
 
-    return some.coalesce(1).mapInArrow(train, "dictionary binary").first()["dictionary"]
+    made = some.coalesce(1).mapInArrow(train, "dictionary binary").first()
+    return bytes(made["dictionary"]) if made else b""
 
 
 def _block(part: int, digest: bytes, entries: list[tuple], payloads: list[bytes]) -> bytes:
