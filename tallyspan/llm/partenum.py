@@ -8,14 +8,16 @@ there. Linked sets of sizes a and b differ in at most (a + b) / 7 shingles, whic
 many partitions at most: if either set has shingles in more partitions than that, some partition is equal in both, and so is its
 signature. A set of fewer partitions enters each shingle as a signature of its own besides, and any
 two of those share one. Above ``SAMPLED`` shingles only ``PARTITIONS`` of the partitions are entered: each is
-equal in two linked sets with a chance of 0.4 or more, so the chance that none is lies below 1e-14, far
-less than that of equal 64-bit hashes. Signatures of any one set number about 100 at most, whatever its size.
+equal in two linked sets with a chance of 0.4 or more, so the chance that none is lies below 1e-14, and
+below 2e-8 among ``ENOUGH`` of them. Signatures of any one set number about 100 at most, whatever its size.
 
 Classes that share a signature meet in its bucket. Buckets over ``HOT`` are needed only by sets that
-have too few signatures in other buckets. In each bucket all classes are compared with the least one; whoever
-is then not in the same component as that is compared with the whole bucket, in rounds of ``PIVOTS``.
-So copies of one text are compared once each, and no link is lost. Each comparison is
-exact, from the texts.
+have too few signatures in other buckets. In each bucket all classes are compared with the one that
+meets most others, its head; whoever is then not in the same component as that is compared with the rest of the bucket, in rounds of ``PIVOTS``. As
+the Jaccard distance is a metric, two classes whose distances to the head differ by more than
+a link allows need no comparison, nor do two whose min-hash sketches differ more than those of
+linked ones do but once in 10 ** 10. So copies of one text are compared once each, and no link is lost. Each
+comparison is exact, from the texts.
 
 Defined cases: a null text counts as empty; sets of null and empty texts link with nothing; documents with fewer than
 five words have one shingle; repeated rows are members of one class; rows with a null id take part, and
@@ -40,8 +42,10 @@ SHINGLE = 5
 PERCENT = 75
 SAMPLED, PARTITIONS = 96, 64
 #: Signatures a sampled set needs outside hot buckets to do without these.
-ENOUGH = 40
-HOT, PIVOTS = 64, 64
+ENOUGH = 36
+HOT, PIVOTS = 8, 512
+#: Longs of a class's sketch, and how many of its bits linked classes share: 6.5 deviations under the mean.
+SKETCH, ALIKE = 16, 827
 
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -164,18 +168,17 @@ def _members(documents: DataFrame) -> DataFrame:
     return calm.unionByName(needy).select(F.col("signature").alias("bucket"), "class")
 
 
-def linked(a: tuple, b: tuple) -> bool:
+def similarity(a: np.ndarray, b: np.ndarray) -> tuple[float, bool]:
+    """Jaccard similarity of two sets, and whether they are linked (in whole numbers)."""
     shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
+    union = len(a) + len(b) - shared
+    return shared / union, 100 * shared >= PERCENT * union
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (``a, b``) whose texts are linked."""
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (``a, b``) with their distance and whether they are linked."""
     one = texts.select(F.col("class").alias("a"), F.col("text").alias("left"))
     two = texts.select(F.col("class").alias("b"), F.col("text").alias("right"))
-    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT
-    sized = pairs.join(texts.select(F.col("class").alias("a"), F.col("n_shingles").alias("na")), "a")
-    sized = sized.join(texts.select(F.col("class").alias("b"), F.col("n_shingles").alias("nb")), "b").where(near).select("a", "b")
 
     def sets(column: pa.Array) -> list[np.ndarray]:
         out = []
@@ -188,11 +191,34 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                keep = [linked(x, y) for x, y in zip(sets(part.column(2)), sets(part.column(3)), strict=True)]
-                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                found = [similarity(x, y) for x, y in zip(sets(part.column(2)), sets(part.column(3)), strict=True)]
+                columns = [pa.array([1 - j for j, _ in found], pa.float64()), pa.array([x for _, x in found], pa.bool_())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["a", "b", "far", "linked"])
 
-    both = sized.join(one, "a").join(two, "b").select("a", "b", "left", "right")
-    return both.mapInArrow(run, "a long, b long")
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right")
+    return both.mapInArrow(run, "a long, b long, far double, linked boolean")
+
+
+_FACTORS = mix(np.arange(1, 64 * SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def sketch(values: np.ndarray) -> np.ndarray:
+    """One bit of the least of the set's values under each of many hash functions, as longs."""
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(values), 256):
+        np.minimum(least, (values[k : k + 256, None] * _FACTORS[None, :]).min(axis=0), out=least)
+    return np.packbits((mix(least) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
+def _sketches(texts: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, buf, offsets in slices(batch.column(1)):
+                values, bounds = shingle_sets(buf, offsets)
+                made = [sketch(values[s:e]).tolist() for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(made, pa.list_(pa.int64()))], ["class", "sketch"])
+
+    return texts.select("class", "text").mapInArrow(run, "class long, sketch array<long>")
 
 
 def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
@@ -206,22 +232,37 @@ def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
     keyed = documents.select(F.xxhash64(_text()).alias("text_key"), _text().alias("text"))
     texts = staged(with_keys(keyed, keys, "text_key").dropDuplicates(["text_key"]).join(keys, "text_key").drop("text_key"), "partenum-texts")
 
-    least = members.groupBy("bucket").agg(F.min("class").alias("a"))
-    pairs = members.join(least, "bucket").where("class <> a").select("a", F.col("class").alias("b")).distinct()
-    edges = staged(_verified(staged(pairs, "partenum-pairs"), texts), "partenum-links")
+    # the class that meets most others: of a text and its altered copies, most likely the text
+    meets = staged(members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket").groupBy("class").agg(F.sum("size").alias("meets")), "partenum-meets")
+    heads = staged(members.join(meets, "class").groupBy("bucket").agg(F.max_by("class", F.struct("meets", "class")).alias("a")), "partenum-heads")
+    pairs = members.join(heads, "bucket").where("class <> a").select("a", F.col("class").alias("b")).distinct()
+    stars = staged(_compared(pairs, texts), "partenum-stars")
+    edges = staged(stars.where("linked").select("a", "b"), "partenum-links")
     labels = components(edges).withColumnRenamed("node", "class")
-    placed = members.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    heads = placed.groupBy("bucket").agg(F.min_by("component", "class").alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    placed = staged(placed.join(heads.where("lo <> hi"), "bucket").select("bucket", "class", "component", "head"), "partenum-open")
-    rest = placed.where("component <> head")
+    placed = members.join(heads, "bucket").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    spread = placed.groupBy("bucket").agg(F.max(F.when(F.col("class") == F.col("a"), F.col("component"))).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    open_ = placed.join(spread.where("lo <> hi"), "bucket").join(keys.select("class", F.col("n_shingles").alias("n")), "class")
+    far = stars.select("a", F.col("b").alias("class"), "far")
+    placed = open_.join(far, ["a", "class"], "left").select("bucket", "class", "component", "head", "n", F.coalesce("far", F.lit(0.0)).alias("far"), "a")
+    drawn = _sketches(texts.join(placed.select("class").distinct(), "class"))
+    placed = staged(placed.join(drawn, "class"), "partenum-open")
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
-    rest = staged(rest.select("bucket", F.col("class").alias("pivot"), F.col("component").alias("of"), rank.alias("rank")), "partenum-rest")
+    rest = placed.where("component <> head").select(
+        "bucket", F.col("class").alias("pivot"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("far").alias("out"), F.col("sketch").alias("drawn"), rank.alias("rank")
+    )
+    rest = staged(rest, "partenum-rest")
     most = rest.agg(F.max("rank")).first()[0] or 0
+    limit = 1 - PERCENT / 100 + 1e-9
     for begin in range(0, most, PIVOTS):
         pivots = rest.where((F.col("rank") > begin) & (F.col("rank") <= begin + PIVOTS))
-        pairs = placed.join(pivots, "bucket").where("component <> of")
-        pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
-        found = _verified(staged(pairs, "partenum-pairs"), texts)
+        # a pivot meets all others once: members of the head's component, and pivots after it
+        meet = (placed["bucket"] == pivots["bucket"]) & (F.col("component") != F.col("of"))
+        meet &= (F.col("component") == F.col("head")) | (F.col("class") > F.col("pivot"))
+        meet &= (F.abs(F.col("far") - F.col("out")) <= limit) & (F.col("class") != F.col("a"))
+        meet &= F.least("n", "m") * 100 >= F.greatest("n", "m") * PERCENT
+        meet &= sum((F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("drawn")[k])) for k in range(SKETCH)), F.lit(0)) <= 64 * SKETCH - ALIKE
+        pairs = placed.join(pivots, meet).select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
+        found = _compared(pairs, texts).where("linked").select("a", "b")
         edges = staged(edges.unionByName(found).distinct(), "partenum-links")
     return components(edges).withColumnRenamed("node", "class") if most else labels
 
