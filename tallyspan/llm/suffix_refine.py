@@ -41,7 +41,7 @@ Q = 100
 #: Surroundings that one bucket may hold to be refined inside a task (about 14 MB).
 BUCKET = 20_000
 #: Bytes of text whose anchors are sought at once.
-PIECE = 1 << 21
+PIECE = 1 << 19
 _PLACE_BITS = np.uint64(24)
 
 

@@ -89,19 +89,18 @@ def spelled(buf: np.ndarray, offsets: np.ndarray) -> tuple:
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of ``text, class``: counts of spelling steps by cell, of class 0, of class 1, and of class 2."""
-    counts = np.zeros((3, CELLS), np.int64)
-    context, tail = np.full(CELLS, -1, np.int64), np.zeros(CELLS, np.int64)
+    counts = np.zeros((3, CELLS), np.int32)  # of one task
+    context, tail = np.full(CELLS, -1, np.int32), np.zeros(CELLS, np.int32)
     for batch in batches:
         kinds = batch.column(1).to_numpy(zero_copy_only=False)
         for first, last, buf, offsets in slices(batch.column(0)):
             at, step, _, before, three, places = spelled(buf, offsets)
             kind = kinds[first:last][np.minimum(np.searchsorted(places, at, "right") - 1, last - first - 1)]
             context[step], tail[step] = before, three
-            for k in np.unique(kinds[first:last]):
-                counts[k] += np.bincount(step[kind == k], minlength=CELLS)
+            np.add.at(counts, (kind, step), 1)
     at = np.flatnonzero(context >= 0)
     columns = (at, context[at], tail[at], *counts[:, at])
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "context", "tail", "ordinary", "toxic", "every"])
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["cell", "context", "tail", "ordinary", "toxic", "every"])
 
 
 def gather(documents: DataFrame, labels: DataFrame) -> DataFrame:
