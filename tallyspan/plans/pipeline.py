@@ -74,8 +74,11 @@ def load_rows(
     """Text rows, as :func:`read_ads_csv` gives them, into the table.
 
     Judged rows are stored once in the shared folder: parsing is not repeated for the passes of
-    the upsert, and row positions stay what they are if an executor is lost.
+    the upsert, and row positions stay what they are if an executor is lost. Rows are set aside
+    only if ``rejects_path`` says where to.
     """
+    if on_error == "reject" and not rejects_path:
+        raise ValueError("on_error='reject' needs a rejects_path, or the rows would be lost")
     spark = rows.sparkSession
     staged = shared_folder(spark, "staged")
     judge_rows(stamp_provenance(rows, batch_ts, source), on_error, blank).write.parquet(staged)

@@ -29,11 +29,16 @@ def ingest_stream(
     on_error: str = "fail",
     blank: str = "zero",
     clock: Callable[[], dt.datetime] = utc_now,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """Upsert every new file of ``folder`` and stop when there is none left.
 
+    With ``on_error="reject"`` each micro-batch has its own folder of rejects under ``rejects_path``.
+
     Files must have exactly the ten input columns, in order; any other header fails the query.
     """
+    if on_error == "reject" and not rejects_path:
+        raise ValueError("on_error='reject' needs a rejects_path, or the rows would be lost")
     rows = (
         spark.readStream.schema(text_schema(list(FILE_COLUMNS)))
         .options(**csv_options())
@@ -51,8 +56,15 @@ def ingest_stream(
     def apply(batch: DataFrame, batch_id: int) -> None:
         tag = f"{checkpoint}#{batch_id}"
         if not has_tag(batch.sparkSession, table, tag):
+            aside = rejects_path and f"{rejects_path.rstrip('/')}/batch={batch_id}"
             load_rows(
-                with_position(batch), table, clock(), on_error=on_error, blank=blank, tag=tag
+                with_position(batch),
+                table,
+                clock(),
+                on_error=on_error,
+                blank=blank,
+                rejects_path=aside,
+                tag=tag,
             )
 
     return (

@@ -238,10 +238,15 @@ def test_metrics_of_a_missing_table(spark, table):
     assert [tuple(r)[1:] for r in table_metrics(spark, table).collect()] == [(None,) * 4] * 4
 
 
-def test_null_keys_pile_up(spark, table, facts):
+def test_one_row_of_a_key_stays(spark, table, facts):
     text = spark.createDataFrame([tuple(line().split(","))], list(FILE_COLUMNS))
     rows = text.withColumn("_seq", F.lit(1))
     load_rows(rows, table, FIRST, source="x")
     load_rows(rows, table, SECOND, source="x")
     assert read_table(spark, table).count() == 1
     assert set(read_table(spark, table).columns) == {*NATURAL_KEY, *MEASURES, "load_date", "source_file_name"}
+
+
+def test_rejects_need_a_place(spark, table, facts):
+    with pytest.raises(ValueError, match="rejects_path"):
+        load_rows(facts(), table, FIRST, on_error="reject")
