@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm import bpe
 from tallyspan.llm.arrays import Hasher, slices
+from tallyspan.llm.staging import map_arrow
 
 #: A cut falls on one in so many bytes; the rolling hash covers ``ROLL`` bytes.
 CHUNK_BYTES = 1024
@@ -183,4 +184,4 @@ def _mapped(documents: DataFrame, path: str | None, schema: str, row) -> DataFra
                 columns = [batch.column(0).slice(a, b - a), *(pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types[1:], strict=True))]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return kept.mapInArrow(run, schema)
+    return map_arrow(kept, run, schema)

@@ -23,6 +23,7 @@ from pyspark.sql.functions import ArrowUDFType, arrow_udf
 
 from tallyspan.llm.arrays import Hasher, LOWER, runs, slices
 from tallyspan.llm.labelled import fold, with_label
+from tallyspan.llm.staging import bounded_batches, map_arrow
 
 FOLDS, HELD_OUT = 3, 1
 PASSAGE_WORDS = 32
@@ -154,7 +155,7 @@ def train(documents: DataFrame, labels: DataFrame) -> AttentionModel | None:
                 flat = pa.ListArray.from_arrays(pa.array((bounds * FEATURES).astype(np.int32)), pa.array(x.astype(np.float32).ravel()))
                 yield pa.RecordBatch.from_arrays([flat, batch.column(1).slice(first, last - first), batch.column(2).slice(first, last - first)], ["x", "label", "doc_id"])
 
-    made = rows.select("text", "label", "doc_id").mapInArrow(run, "x array<float>, label int, doc_id long")
+    made = map_arrow(rows.select("text", "label", "doc_id"), run, "x array<float>, label int, doc_id long")
     bags = sorted(made.limit(SAMPLE_DOCUMENTS).toArrow().to_pylist(), key=lambda r: (r["doc_id"], len(r["x"])))
     label = np.array([r["label"] for r in bags], float)
     if len(set(label.tolist())) < 2:
@@ -179,6 +180,7 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
                 out[first:last] = model.forward(*passages(buf, offsets))["score"]
             yield pa.array(out)
 
+    bounded_batches(documents.sparkSession)
     scorer = arrow_udf(scores, "double", ArrowUDFType.SCALAR_ITER) if model else lambda text: F.lit(1.0)
     scored = rows.select("doc_id", held, scorer("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm.arrays import LOWER, Hasher, distinct_per_text, mix, runs, slices, windows
 from tallyspan.llm.components import components
-from tallyspan.llm.staging import staged, with_keys
+from tallyspan.llm.staging import map_arrow, staged, with_keys
 
 SHINGLE = 5
 #: A link: PERCENT * union <= 100 * intersection.
@@ -135,7 +135,7 @@ def document_sets(documents: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first), *made], ["doc_id", "text_key", "class", "n_shingles"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(_text()).alias("text_key"), _text().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, text_key long, class long, n_shingles long")
+    return map_arrow(rows, run, "doc_id long, text_key long, class long, n_shingles long")
 
 
 def _signature_rows(documents: DataFrame) -> DataFrame:
@@ -147,7 +147,7 @@ def _signature_rows(documents: DataFrame) -> DataFrame:
                 columns = [signature.view(np.int64), set_hashes(values, bounds).view(np.int64)[member], band.astype(np.int8), needed.astype(np.int16)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["signature", "class", "band", "needed"])
 
-    return documents.select(_text().alias("text")).mapInArrow(run, "signature long, class long, band byte, needed short")
+    return map_arrow(documents.select(_text().alias("text")), run, "signature long, class long, band byte, needed short")
 
 
 def _members(documents: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["a", "b", "far", "linked"])
 
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right")
-    return both.mapInArrow(run, "a long, b long, far double, linked boolean")
+    return map_arrow(both, run, "a long, b long, far double, linked boolean")
 
 
 _FACTORS = mix(np.arange(1, 64 * SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -218,7 +218,7 @@ def _sketches(texts: DataFrame) -> DataFrame:
                 made = [sketch(values[s:e]).tolist() for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(made, pa.list_(pa.int64()))], ["class", "sketch"])
 
-    return texts.select("class", "text").mapInArrow(run, "class long, sketch array<long>")
+    return map_arrow(texts.select("class", "text"), run, "class long, sketch array<long>")
 
 
 def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:

@@ -20,6 +20,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Bytes of a batch that is handed to Python and back.
+BATCH_BYTES = 4 << 20
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with batches bounded in bytes, however long the texts are.
+
+    Buffers of a batch lie outside the JVM's heap and are there twice. A bound that the session
+    has set itself stays.
+    """
+    bounded_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 #: Keys (of eight bytes) that a broadcast may hold at most.
 BROADCAST_KEYS = 1 << 20
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.llm.arrays import Hasher, mix, slices
-from tallyspan.llm.staging import staged, with_keys
+from tallyspan.llm.staging import map_arrow, staged, with_keys
 
 LENGTH = 400
 Q = 100
@@ -149,7 +149,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, q: int = Q) -> DataFr
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "around", "key", "at", "fewest", "most"])
 
     schema = "gram long, around long, key long, at int, fewest short, most short"
-    rows = keyed.select("key", "text").mapInArrow(find, schema)
+    rows = map_arrow(keyed.select("key", "text"), find, schema)
     buckets = (
         rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("a"), F.max("around").alias("b"))
         .where("n > 1").select("gram", (F.col("a") != F.col("b")).alias("mixed"))
@@ -218,7 +218,7 @@ def _refined(left: DataFrame, length: int, q: int) -> DataFrame:
             yield solve(pa.Table.from_batches(held))
 
     dealt = left.select(*names).repartition("gram").sortWithinPartitions("gram")
-    return dealt.mapInArrow(run, "key long, begin int, end int")
+    return map_arrow(dealt, run, "key long, begin int, end int")
 
 
 def _counted(left: DataFrame, length: int) -> DataFrame:
@@ -241,7 +241,7 @@ def _counted(left: DataFrame, length: int) -> DataFrame:
                 columns = [string.view(np.int64), keys[first:last][row], ((at - most)[first:last][row] + step).astype(np.int32), is_open[first:last][row]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["string", "key", "begin", "open"])
 
-    rows = left.mapInArrow(strings, "string long, key long, begin int, open boolean")
+    rows = map_arrow(left, strings, "string long, key long, begin int, open boolean")
     counts = rows.groupBy("string").agg(F.count(F.lit(1)).alias("n"))
     twice = rows.where("open").join(counts.where("n > 1"), "string")
     return twice.select("key", "begin", (F.col("begin") + length).alias("end"))
@@ -280,7 +280,7 @@ def _cut(documents: DataFrame, length: int, q: int, schema: str, make) -> DataFr
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return joined.mapInArrow(run, schema)
+    return map_arrow(joined, run, schema)
 
 
 def cut_repeats(documents: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm import bpe
 from tallyspan.llm.arrays import slices
+from tallyspan.llm.staging import map_arrow
 from tallyspan.session import shared_folder
 
 MAGIC = b"TALLYTOK"
@@ -74,7 +75,7 @@ def train_dictionary(documents: DataFrame, path: str) -> bytes:
             made = b""
         yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["dictionary"])
 
-    made = some.coalesce(1).mapInArrow(train, "dictionary binary").first()
+    made = map_arrow(some.coalesce(1), train, "dictionary binary").first()
     return bytes(made["dictionary"]) if made else b""
 
 
@@ -122,7 +123,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer_path: str | N
 
     tie = F.xxhash64("text")
     dealt = documents.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
-    _write_binary(dealt.mapInArrow(run, "content binary"), f"{folder}/data")
+    _write_binary(map_arrow(dealt, run, "content binary"), f"{folder}/data")
 
 
 def _write_binary(df: DataFrame, path: str) -> None:

@@ -31,6 +31,7 @@ from pyspark.sql.functions import ArrowUDFType, arrow_udf
 
 from tallyspan.llm.arrays import Hasher, slices
 from tallyspan.llm.labelled import fold, logistic, with_label
+from tallyspan.llm.staging import bounded_batches, map_arrow
 
 FOLDS = 5
 HELD_OUT = 0
@@ -40,6 +41,8 @@ LONGEST = 10
 #: Spaces put around each text.
 PAD = 3
 CELLS = 1 << 21
+#: Cells in a batch of counts.
+CELLS_A_BATCH = 1 << 16
 #: How many observations the shared distribution weighs in a class.
 SHARED_WEIGHT = 30
 #: Nats that a word must exceed to add to a text's evidence.
@@ -98,9 +101,11 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             kind = kinds[first:last][np.minimum(np.searchsorted(places, at, "right") - 1, last - first - 1)]
             context[step], tail[step] = before, three
             np.add.at(counts, (kind, step), 1)
-    at = np.flatnonzero(context >= 0)
-    columns = (at, context[at], tail[at], *counts[:, at])
-    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["cell", "context", "tail", "ordinary", "toxic", "every"])
+    used = np.flatnonzero(context >= 0).astype(np.int32)
+    for k in range(0, len(used), CELLS_A_BATCH):
+        at = used[k : k + CELLS_A_BATCH]
+        columns = (at, context[at], tail[at], *counts[:, at])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "context", "tail", "ordinary", "toxic", "every"])
 
 
 def gather(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -108,8 +113,8 @@ def gather(documents: DataFrame, labels: DataFrame) -> DataFrame:
     learn = with_label(documents, labels, "toxic").withColumn("_fold", fold("doc_id", FOLDS))
     learn = learn.where(~F.col("_fold").isin(HELD_OUT, CURVE_FOLD)).select("text", "label")
     every = documents.select(F.col("text").cast("string").alias("text"), F.lit(2).alias("label"))
-    schema = "cell long, context long, tail long, ordinary long, toxic long, every long"
-    counted = every.mapInArrow(_count_batches, schema).unionByName(learn.mapInArrow(_count_batches, schema))
+    schema = "cell int, context int, tail int, ordinary int, toxic int, every int"
+    counted = map_arrow(every, _count_batches, schema).unionByName(map_arrow(learn, _count_batches, schema))
     sums = [F.sum(c).alias(c) for c in ("ordinary", "toxic", "every")]
     return counted.groupBy("cell").agg(F.min("context").alias("context"), F.min("tail").alias("tail"), *sums)
 
@@ -149,7 +154,8 @@ def _smoothed(context: np.ndarray, counts: np.ndarray, lower: np.ndarray, weight
 def train_table(documents: DataFrame, labels: DataFrame) -> np.ndarray | None:
     """The log ratio of each cell; None if a class has no learnable document."""
     rows = gather(documents, labels).toArrow()  # at most CELLS rows
-    at, *columns = (rows.column(k).to_numpy().astype(np.int64) for k in range(6))
+    at, *columns = (rows.column(k).to_numpy() for k in range(6))
+    del rows
     if not columns[2].sum() or not columns[3].sum():
         return None
     table = np.zeros(CELLS, np.float32)
@@ -202,7 +208,7 @@ def fit_curve(documents: DataFrame, labels: DataFrame, table) -> Curve | None:
                 yield pa.RecordBatch.from_arrays([*x, batch.column(1).slice(first, last - first)], [*"abcde", "label"])
 
     schema = "a double, b double, c double, d double, e double, label int"
-    found = rows.select("text", "label").mapInArrow(run, schema).toArrow().sort_by([(c, "ascending") for c in [*"abcde", "label"]])
+    found = map_arrow(rows.select("text", "label"), run, schema).toArrow().sort_by([(c, "ascending") for c in [*"abcde", "label"]])
     *x, label = (found.column(k).to_numpy() for k in range(6))
     if len(set(label.tolist())) < 2:
         return None
@@ -239,4 +245,5 @@ def _scorer(documents: DataFrame, labels: DataFrame):
                 out[first:last] = curve(features(table.value, buf, offsets))
             yield pa.array(out)
 
+    bounded_batches(documents.sparkSession)
     return arrow_udf(scores, "double", ArrowUDFType.SCALAR_ITER)
