@@ -71,9 +71,17 @@ def split_amount(amount: str) -> tuple[str, str]:
 
     A sum of doubles differs in its last bits with the order rows arrive in, more so the larger
     it gets. Whole parts add up exactly as BIGINT; what the fractions leave undecided is far
-    behind the digits :func:`joined_amount` keeps.
+    behind the digits :func:`joined_amount` keeps. NaN and infinity raise, as no total holds them.
     """
-    return f"floor({amount})", f"{amount} - floor({amount})"
+    return f"floor({finite_or_raise(amount)})", f"{amount} - floor({amount})"
+
+
+def finite_or_raise(amount: str) -> str:
+    """SQL text of a DOUBLE that fails the query for NaN and infinity; NULL stays NULL."""
+    return (
+        f"CASE WHEN {amount} IS NULL OR abs({amount}) < double('Infinity') THEN {amount} "
+        f"ELSE raise_error('{amount} is not a finite number') END"
+    )
 
 
 def joined_amount(whole: str, fraction: str) -> str:

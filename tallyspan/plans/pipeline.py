@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyspan.operators.clean import accepted, judge_rows, rejected, stamp_provenance
 from tallyspan.operators.kpi import metrics_of
 from tallyspan.operators.merge import dedupe_latest, duplicate_keys, upsert
-from tallyspan.operators.periods import request_bounds, window_periods
+from tallyspan.operators.periods import parse_day, request_bounds, window_periods
 from tallyspan.schema import NATURAL_KEY
 from tallyspan.session import shared_folder
 from tallyspan.sinks.json_rows import metrics_json, write_json
@@ -70,6 +70,7 @@ def load_rows(
     rejects_path: str | None = None,
     tag: str | None = None,
     grain: str = "month",
+    rejects_mode: str = "error",
 ) -> None:
     """Text rows, as :func:`read_ads_csv` gives them, into the table.
 
@@ -84,7 +85,7 @@ def load_rows(
     judge_rows(stamp_provenance(rows, batch_ts, source), on_error, blank).write.parquet(staged)
     judged = spark.read.parquet(staged)
     if rejects_path:
-        write_json(rejected(judged), rejects_path)
+        write_json(rejected(judged), rejects_path, rejects_mode)
     upsert_table(table, accepted(judged), batch_ts, tag, grain)
 
 
@@ -102,7 +103,12 @@ def run_ingest(
     multi_line: bool = False,
     grain: str = "month",
 ) -> DataFrame:
-    """Read, clean, type and upsert the files, then report the window once."""
+    """Read, clean, type and upsert the files, then report the window once.
+
+    A missing or empty bound is that of the fixed window; bounds are checked before anything is
+    written.
+    """
+    start, end = parse_day(start or REPORT_START), parse_day(end or REPORT_END)
     load_rows(
         read_ads_csv(spark, csv, multi_line),
         table,

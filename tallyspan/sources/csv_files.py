@@ -53,6 +53,7 @@ def read_ads_csv(spark: SparkSession, path: str | list[str], multi_line: bool =
             *FILE_COLUMNS,
             MALFORMED,
             F.col("_metadata.file_name").alias("_file"),
+            F.col("_metadata.file_modification_time").alias("_time"),
             F.col("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("_start"),
         )
@@ -60,11 +61,13 @@ def read_ads_csv(spark: SparkSession, path: str | list[str], multi_line: bool =
 
 
 def with_position(rows: DataFrame) -> DataFrame:
-    """``_seq`` from file, offset of the split in it, and row number within the task. Ordered
-    by it, rows come in file order however the files were split."""
+    """``_seq`` from the file's time and path, offset of the split in it, and row number within
+    the task. Ordered by it, rows come in the order the files arrived in, however they were
+    split or dealt to micro-batches."""
     position = F.struct(
+        F.col("_time").alias("time"),
         F.col("_path").alias("path"),
         F.col("_start").alias("start"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return rows.withColumn(SEQ, position).drop("_path", "_start")
+    return rows.withColumn(SEQ, position).drop("_time", "_path", "_start")

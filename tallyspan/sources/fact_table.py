@@ -22,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspan.functions.numbers import finite_or_raise
 from tallyspan.schema import ADS_SPEND_SCHEMA, FACT_COLUMNS, SEQ
 
 PART = "_part"
@@ -155,6 +156,7 @@ def write_parts(
     grain = state.grain or grain
     folder = uuid.uuid4().hex
     rows = df.select(*FACT_COLUMNS, part_column(grain).alias(PART))
+    rows = rows.withColumn("spend", F.expr(finite_or_raise("spend")))
     if not laid_out:
         rows = rows.hint("rebalance", F.col(PART))
     rows.write.partitionBy(PART).parquet(f"{path}/data/{folder}")

@@ -1,12 +1,14 @@
 """Ingest of files as they arrive.
 
 The table is the only state, so there is no watermark. A micro-batch that is replayed after a
-failure is recognised by the tag of its commit and not applied again.
+failure is recognised by the tag of its commit and not applied again. The tag names the query,
+which a new checkpoint makes anew even at a path used before.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +35,8 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Upsert every new file of ``folder`` and stop when there is none left.
 
-    With ``on_error="reject"`` each micro-batch has its own folder of rejects under ``rejects_path``.
+    With ``on_error="reject"`` each micro-batch has its own folder of rejects under
+    ``rejects_path``, written again if the batch is replayed.
 
     Files must have exactly the ten input columns, in order; any other header fails the query.
     """
@@ -48,15 +51,17 @@ def ingest_stream(
             *FILE_COLUMNS,
             MALFORMED,
             F.col("_metadata.file_name").alias("_file"),
+            F.col("_metadata.file_modification_time").alias("_time"),
             F.col("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("_start"),
         )
     )
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        tag = f"{checkpoint}#{batch_id}"
+        query_id = _query_id(batch.sparkSession, checkpoint)
+        tag = f"{query_id}#{batch_id}"
         if not has_tag(batch.sparkSession, table, tag):
-            aside = rejects_path and f"{rejects_path.rstrip('/')}/batch={batch_id}"
+            aside = rejects_path and f"{rejects_path.rstrip('/')}/query={query_id}/batch={batch_id}"
             load_rows(
                 with_position(batch),
                 table,
@@ -64,6 +69,7 @@ def ingest_stream(
                 on_error=on_error,
                 blank=blank,
                 rejects_path=aside,
+                rejects_mode="overwrite",
                 tag=tag,
             )
 
@@ -73,3 +79,9 @@ def ingest_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query when it made the checkpoint."""
+    lines = spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True)
+    return json.loads(lines.first()["value"])["id"]

@@ -147,3 +147,10 @@ def test_shared_folder(spark, monkeypatch):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert one != two and one.startswith(f"{base}/x-")
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf")])
+def test_a_spend_that_is_no_number_is_not_stored(spark, facts, table, value):
+    with pytest.raises(Exception, match="not a finite number"):
+        ft.write_snapshot(facts({"spend": value}), table)
+    assert ft.table_state(spark, table).version == 0

@@ -275,3 +275,10 @@ def test_request_windows(golden):
 def test_reversed_window_is_empty(golden):
     totals = kpi.period_totals(golden, explicit_periods(D(2025, 6, 1), D(2025, 5, 1)))
     assert tuples(totals) == [(None, None, None, None)]
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf")])
+def test_a_spend_that_is_no_number_fails_the_report(golden, value):
+    rows = golden.withColumn("spend", F.lit(value))
+    with pytest.raises(Exception, match="not a finite number"):
+        kpi.kpi_compact(rows).collect()

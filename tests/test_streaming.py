@@ -1,4 +1,8 @@
 import datetime as dt
+import os
+import shutil
+
+import pytest
 
 from tallyspan.schema import FILE_COLUMNS
 from tallyspan.sources.fact_table import read_table, table_state
@@ -53,3 +57,29 @@ def test_a_replayed_batch_is_not_applied_again(spark, tmp_path):
         extra.unlink()
     run(spark, tmp_path)
     assert table_state(spark, str(tmp_path / "table")).version == 1
+
+
+@pytest.mark.parametrize("max_files", [1, 1000])
+def test_the_newer_file_wins_whatever_a_batch_holds(spark, tmp_path, max_files):
+    put(tmp_path / "in", "b.csv", ROW.format(day=1, platform="x", spend=1))
+    put(tmp_path / "in", "a.csv", ROW.format(day=1, platform="x", spend=2))
+    os.utime(tmp_path / "in" / "b.csv", (1_700_000_000, 1_700_000_000))
+    os.utime(tmp_path / "in" / "a.csv", (1_700_000_060, 1_700_000_060))
+    run(spark, tmp_path, max_files=max_files)
+    assert [r["spend"] for r in read_table(spark, str(tmp_path / "table")).collect()] == [2.0]
+
+
+def test_a_new_checkpoint_at_the_same_path_skips_nothing(spark, tmp_path):
+    put(tmp_path / "in", "one.csv", ROW.format(day=1, platform="x", spend=1))
+    run(spark, tmp_path)
+    shutil.rmtree(tmp_path / "cp")
+    put(tmp_path / "in", "two.csv", ROW.format(day=2, platform="x", spend=2))
+    run(spark, tmp_path)
+    assert read_table(spark, str(tmp_path / "table")).count() == 2
+
+
+def test_rejected_rows_of_a_stream_are_kept(spark, tmp_path):
+    put(tmp_path / "in", "one.csv", ROW.format(day=1, platform="x", spend=1), ROW.format(day=2, platform="x", spend="abc"))
+    run(spark, tmp_path, on_error="reject", rejects_path=str(tmp_path / "aside"))
+    assert read_table(spark, str(tmp_path / "table")).count() == 1
+    assert spark.read.json(str(tmp_path / "aside")).count() == 1
