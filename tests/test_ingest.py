@@ -250,3 +250,12 @@ def test_one_row_of_a_key_stays(spark, table, facts):
 def test_rejects_need_a_place(spark, table, facts):
     with pytest.raises(ValueError, match="rejects_path"):
         load_rows(facts(), table, FIRST, on_error="reject")
+
+
+def test_bounds_are_filled_and_checked_before_anything_is_written(spark, csv, table):
+    folder = csv(line(date="2025-06-20", spend="3"))
+    with pytest.raises(ValueError, match="not a date"):
+        run_ingest(spark, folder, table, start="soon", batch_ts=FIRST)
+    assert read_table(spark, table).count() == 0
+    report = run_ingest(spark, folder, table, start="", end=None, batch_ts=FIRST).collect()
+    assert {r["metric"]: r["value_current"] for r in report}["Spend"] == 3.0
