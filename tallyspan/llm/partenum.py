@@ -8,11 +8,12 @@ there. Linked sets of sizes a and b differ in at most (a + b) / 7 shingles, whic
 many partitions at most: if either set has shingles in more partitions than that, some partition is equal in both, and so is its
 signature. A set of fewer partitions enters each shingle as a signature of its own besides, and any
 two of those share one. Above ``SAMPLED`` shingles only ``PARTITIONS`` of the partitions are entered: each is
-equal in two linked sets with a chance of 0.4 or more, so the chance that none is lies below 1e-14, and
-below 2e-8 among ``ENOUGH`` of them. Signatures of any one set number about 100 at most, whatever its size.
+equal in two linked sets with a chance of 0.4 or more, so the chance that none is lies below 1e-14.
+Signatures of any one set number about 100 at most, whatever its size.
 
-Classes that share a signature meet in its bucket. Buckets over ``HOT`` are needed only by sets that
-have too few signatures in other buckets. In each bucket all classes are compared with the one that
+Classes that share a signature meet in its bucket. A set does without its buckets over ``HOT`` only if it has
+more signatures in other buckets than a linked set can spoil, whichever that is: which partitions two sets
+share and which are hot is not independent, so no chance is reckoned with here. In each bucket all classes are compared with the one that
 meets most others, its head; whoever is then not in the same component as that is compared with the rest of the bucket, in rounds of ``PIVOTS``. As
 the Jaccard distance is a metric, two classes whose distances to the head differ by more than
 a link allows need no comparison, nor do two whose min-hash sketches differ more than those of
@@ -41,8 +42,6 @@ SHINGLE = 5
 #: A link: PERCENT * union <= 100 * intersection.
 PERCENT = 75
 SAMPLED, PARTITIONS = 96, 64
-#: Signatures a sampled set needs outside hot buckets to do without these.
-ENOUGH = 36
 HOT, PIVOTS = 8, 512
 #: Longs of a class's sketch, and how many of its bits linked classes share: 6.5 deviations under the mean.
 SKETCH, ALIKE = 16, 827
@@ -109,7 +108,8 @@ def signatures(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]
         np.add.at(total, place, mix(x[use] + np.uint64(13)))
         full = np.flatnonzero(seen)
         owner = full // width
-        need = np.where(base >= SAMPLED, ENOUGH, most_different(count) + 1)
+        # out of reach for sampled sets with more differences than entered partitions
+        need = np.minimum(most_different(count), PARTITIONS) + 1
         tag = mix((full % width).astype(np.uint64) + (level[owner].astype(np.uint64) << np.uint64(32)) + np.uint64(1 << 50))
         out.append((member[owner], mix(total[full] + tag), level[owner], need[owner]))
         few = (np.bincount(owner, minlength=len(member)) < need) & (base < SAMPLED)
@@ -234,21 +234,23 @@ def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
 
     # the class that meets most others: of a text and its altered copies, most likely the text
     meets = staged(members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket").groupBy("class").agg(F.sum("size").alias("meets")), "partenum-meets")
-    heads = staged(members.join(meets, "class").groupBy("bucket").agg(F.max_by("class", F.struct("meets", "class")).alias("a")), "partenum-heads")
+    heads = staged(members.join(meets, "class").groupBy("bucket").agg(F.max_by("class", F.struct("meets", "class")).alias("a"), F.count(F.lit(1)).alias("size")), "partenum-heads")
     pairs = members.join(heads, "bucket").where("class <> a").select("a", F.col("class").alias("b")).distinct()
     stars = staged(_compared(pairs, texts), "partenum-stars")
     edges = staged(stars.where("linked").select("a", "b"), "partenum-links")
     labels = components(edges).withColumnRenamed("node", "class")
     placed = members.join(heads, "bucket").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     spread = placed.groupBy("bucket").agg(F.max(F.when(F.col("class") == F.col("a"), F.col("component"))).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_ = placed.join(spread.where("lo <> hi"), "bucket").join(keys.select("class", F.col("n_shingles").alias("n")), "class")
+    # two copies of a text share many of its buckets: hot ones with one head are taken as one
+    bucket = F.when(F.col("size") > HOT, F.xxhash64("a")).otherwise(F.col("bucket")).alias("bucket")
+    open_ = placed.join(spread.where("lo <> hi"), "bucket").select(bucket, "class", "a", "component", "head").distinct().join(keys.select("class", F.col("n_shingles").alias("n")), "class")
     far = stars.select("a", F.col("b").alias("class"), "far")
     placed = open_.join(far, ["a", "class"], "left").select("bucket", "class", "component", "head", "n", F.coalesce("far", F.lit(0.0)).alias("far"), "a")
     drawn = _sketches(texts.join(placed.select("class").distinct(), "class"))
     placed = staged(placed.join(drawn, "class"), "partenum-open")
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
     rest = placed.where("component <> head").select(
-        "bucket", F.col("class").alias("pivot"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("far").alias("out"), F.col("sketch").alias("drawn"), rank.alias("rank")
+        "bucket", F.col("class").alias("pivot"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("far").alias("out"), F.col("sketch").alias("drawn"), F.col("a").alias("by"), rank.alias("rank")
     )
     rest = staged(rest, "partenum-rest")
     most = rest.agg(F.max("rank")).first()[0] or 0
@@ -256,7 +258,7 @@ def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
     for begin in range(0, most, PIVOTS):
         pivots = rest.where((F.col("rank") > begin) & (F.col("rank") <= begin + PIVOTS))
         # a pivot meets all others once: members of the head's component, and pivots after it
-        meet = (placed["bucket"] == pivots["bucket"]) & (F.col("component") != F.col("of"))
+        meet = (placed["bucket"] == pivots["bucket"]) & (F.col("a") == F.col("by")) & (F.col("component") != F.col("of"))
         meet &= (F.col("component") == F.col("head")) | (F.col("class") > F.col("pivot"))
         meet &= (F.abs(F.col("far") - F.col("out")) <= limit) & (F.col("class") != F.col("a"))
         meet &= F.least("n", "m") * 100 >= F.greatest("n", "m") * PERCENT

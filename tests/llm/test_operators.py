@@ -154,6 +154,39 @@ def test_linked_sets_share_a_signature():
             assert set(signature[member == 0].tolist()) & set(signature[member == 1].tolist()), (size, cut)
 
 
+def test_outliers_of_large_families_are_linked(spark):
+    draw = np.random.default_rng(5)
+    docs = []
+    for family, size in enumerate((185, 185, 250, 300, 380)):
+        text = [f"t{family}x{k}" for k in range(size + 4)]
+        variants = [list(text)]
+        for k in range(50):
+            variant = list(text)
+            for at in draw.integers(0, len(text), int(draw.integers(1, 4))):
+                variant[at] = f"v{family}x{k}x{at}"
+            variants.append(variant)
+        # J of 0.75 to 0.80 with the text alone
+        variants += [text + [f"o{family}x{k}x{j}" for j in range(size // 3 - k * size // 100)] for k in range(8)]
+        docs += [" ".join(v) for v in variants]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, docs)]
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(docs)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                parent[find(a)] = find(b)
+    least = defaultdict(list)
+    for k in range(len(docs)):
+        least[find(k)].append(k)
+    got = partenum.similarity_classes(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
+    assert rows(got.select("doc_id", "component_id")) == sorted(((k, min(least[find(k)])) for k in range(len(docs))), key=repr)
+
+
 def test_exact_groups(documents):
     docs = [(i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in pairs(documents)]
     size, top = Counter(h for _, h in docs), {}
