@@ -58,9 +58,10 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH, q: int =
     """(text, place, least reach, most reach, Q-gram, surroundings) of all anchors, as arrays.
 
     The reach is how far a string around the anchor starts to the anchor's left. Long buffers are taken in
-    pieces with margins, so memory does not grow with a text's length.
+    pieces with margins, so memory does not grow with a text's length; an anchor of two pieces comes once.
     """
     size = length - q + 1
+    given = -1  # anchors never go back as starts go on
     for begin in range(0, len(buf), PIECE):
         low, high = max(0, begin - length), min(len(buf), begin + PIECE + 3 * length)
         part = buf[low:high]
@@ -77,6 +78,10 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH, q: int =
         if not len(least):
             continue
         at = np.unique(least & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))).astype(np.int64)
+        at = at[at + low > given]
+        if not len(at):
+            continue
+        given = int(at[-1]) + low
         text = np.searchsorted(offsets, at + low, "right") - 1
         first, last = offsets[text] - low, offsets[text + 1] - low
         most = np.minimum(size - 1, at - first)

@@ -281,6 +281,23 @@ def test_repeated_strings(documents, bucket, monkeypatch):
     assert rows(suffix_refine.repeat_digests(documents, length, 15)) == sorted(expected, key=repr)
 
 
+def test_anchors_of_pieces_come_once(monkeypatch):
+    draw = np.random.default_rng(7)
+    buf, offsets = draw.integers(97, 123, 9_000).astype(np.uint8), np.array([0, 5_000, 5_050, 9_000])
+    whole = [np.concatenate(c).tolist() for c in zip(*suffix_refine.anchors(buf, offsets, 60, 15), strict=True)]
+    monkeypatch.setattr(suffix_refine, "PIECE", 113)
+    parts = [np.concatenate(c).tolist() for c in zip(*suffix_refine.anchors(buf, offsets, 60, 15), strict=True)]
+    assert parts == whole and len(set(zip(*whole[:2], strict=True))) == len(whole[0])
+
+
+def test_long_texts_do_not_repeat_themselves(spark):
+    draw = np.random.default_rng(9)
+    text = draw.integers(97, 123, 5 << 18).astype(np.uint8).tobytes().decode()
+    df = spark.createDataFrame([(1, text), (2, "head" + text[700_000:700_500])], "doc_id long, text string")
+    got = [(r.doc_id, r.n_removed, r.n_spans) for r in suffix_refine.repeat_digests(df).collect()]
+    assert sorted(got) == [(1, 500, 1), (2, 500, 1)]
+
+
 def test_archives(spark):
     given = [(1, "http://a b/", "<p>x</p>"), (2, None, None), (3, "http://c/", ""), (4, "http://d/", "<p>x</p>"), (None, "u", "<p>x</p>"), (6, "http://e/", "WARC/1.1\r\n\r\n\n" * 3)]
     given += [(r["page_id"] + 100, r["url"], r["html"]) for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()]
