@@ -11,8 +11,10 @@ length, fitted on labelled rows the counts do not know, makes them a score.
 
 Of the labelled rows that may be learned from, one fold, in it at most ``CURVE_ROWS`` with the
 least hash of their id, fits the curve, and the others give the class counts.
-Counts are sums per cell of a table of ``CELLS`` cells, which bounds the model (8 MB) whatever the size
-of the corpus; the sums themselves cover every document and every learnable label.
+Counts are a table with a row for each different word, from which one with a row for each different spelling step
+is made (keyed by 64-bit hashes of its bytes); both grow with the corpus, and discounts, totals and
+continuation counts are aggregations of it. Each word's log ratios are added up by a join. The values of the
+most frequent words, ``BROADCAST_ROWS`` at most, are broadcast; all others are joined to the documents.
 
 Defined cases: a null or empty text has both differences 0 and gets the score the curve gives there; without
 labels of both classes every score is 0; rows with a null id are not held out and never learned
@@ -25,13 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType, arrow_udf
 
-from tallyspan.llm.arrays import Hasher, slices
+from tallyspan.llm.arrays import Hasher, mix, slices
 from tallyspan.llm.labelled import fold, logistic, with_label
-from tallyspan.llm.staging import bounded_batches, map_arrow
+from tallyspan.llm.staging import bounded_batches, map_arrow, staged
 
 FOLDS = 5
 HELD_OUT = 0
@@ -40,16 +42,21 @@ CURVE_FOLD = 4
 LONGEST = 10
 #: Spaces put around each text.
 PAD = 3
-CELLS = 1 << 21
-#: Cells in a batch of counts.
-CELLS_A_BATCH = 1 << 16
+#: Units whose steps are made at once.
+UNITS_A_BATCH = 1 << 14
+#: Rows that a broadcast may hold at most; what is more is joined.
+BROADCAST_ROWS = 1 << 20
+#: Log ratios are kept in whole parts of a nat: their sums do not depend on the order of rows.
+NAT = 1 << 24
 #: How many observations the shared distribution weighs in a class.
 SHARED_WEIGHT = 30
 #: Nats that a word must exceed to add to a text's evidence.
 WORD_FLOOR = 1.5
+FLOOR = int(WORD_FLOOR * NAT)
 #: Bytes and words added to a text's length before a difference is divided by it.
 BYTE_PRIOR, WORD_PRIOR = 50, 10
 CURVE_ROWS = 20_000
+SCORE = "_toxicity_score"
 
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[97:123] = _LETTERS[65:91] = np.arange(97, 123)
@@ -68,120 +75,220 @@ def normal(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, places + PAD * np.arange(len(places))
 
 
-def spelled(buf: np.ndarray, offsets: np.ndarray) -> tuple:
-    """The steps of spelling all words, the space after them included.
+def units(buf: np.ndarray, offsets: np.ndarray) -> tuple:
+    """The words of all texts, each with the space before and after it.
 
-    Returns where each stands, its cell (the word so far with the byte), whether it begins a word, the cell of the
-    word so far, its last three bytes as a number, and where each text's spaces and bytes begin.
+    Returns the normal bytes, where each text's begin, and of each unit the text, the first byte, the first one that
+    is spelled, the end, and a hash of all that.
     """
     out, places = normal(buf, offsets)
     space = out == 32
-    last = np.maximum.accumulate(np.where(space, np.arange(len(out)), 0))
-    at = np.arange(1, len(out))
-    begin = last[:-1]  # the space before the word
-    real = (at - begin <= LONGEST) & ~(space[1:] & space[:-1])
-    at, begin = at[real], begin[real]
-    hashes = Hasher(out)
-    mod = np.uint64(CELLS)
-    step = (hashes.spans(begin, at + 1) % mod).astype(np.int64)
-    before = (hashes.spans(begin, at) % mod).astype(np.int64)
-    wide = out.astype(np.int64)
-    three = (wide[np.maximum(at - 2, 0)] << 16) | (wide[at - 1] << 8) | wide[at]
-    return at, step, at == begin + 1, before, three, places
+    start = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    after = np.flatnonzero(~space[:-1] & space[1:]) + 1
+    begin, first, end = start - 1, start, np.minimum(start - 1 + LONGEST, after) + 1
+    unit = mix(Hasher(out).spans(begin, end) + (first - begin).astype(np.uint64))
+    return out, places, np.searchsorted(places, first, "right") - 1, begin, first, end, unit
+
+
+def steps(column: pa.Array, lead: np.ndarray) -> tuple:
+    """The spelling steps of units: the unit's row, hashes of the bytes before with and without the byte, the last three bytes."""
+    (_, _, buf, offsets), = slices(column, 1 << 40)
+    count = np.diff(offsets) - lead
+    row = np.repeat(np.arange(len(count)), count)
+    at = np.arange(len(row)) + np.repeat(offsets[:-1] + lead - (np.cumsum(count) - count), count)
+    begin = np.maximum(offsets[:-1][row], at - LONGEST)
+    hashes = Hasher(buf)
+    wide = buf.astype(np.int32)
+    third = np.where(at - 2 >= offsets[:-1][row], wide[np.maximum(at - 2, 0)], 32)
+    return row, hashes.spans(begin, at + 1), hashes.spans(begin, at), (third << 16) | (wide[at - 1] << 8) | wide[at]
+
+
+_UNITS = "unit long, lead int, word binary, ordinary long, toxic long, every long"
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of ``text, class``: counts of spelling steps by cell, of class 0, of class 1, and of class 2."""
-    counts = np.zeros((3, CELLS), np.int32)  # of one task
-    context, tail = np.full(CELLS, -1, np.int32), np.zeros(CELLS, np.int32)
+    """Of ``text, class``: how often each unit is in class 0, in class 1, and in class 2, slice by slice."""
     for batch in batches:
         kinds = batch.column(1).to_numpy(zero_copy_only=False)
         for first, last, buf, offsets in slices(batch.column(0)):
-            at, step, _, before, three, places = spelled(buf, offsets)
-            kind = kinds[first:last][np.minimum(np.searchsorted(places, at, "right") - 1, last - first - 1)]
-            context[step], tail[step] = before, three
-            np.add.at(counts, (kind, step), 1)
-    used = np.flatnonzero(context >= 0).astype(np.int32)
-    for k in range(0, len(used), CELLS_A_BATCH):
-        at = used[k : k + CELLS_A_BATCH]
-        columns = (at, context[at], tail[at], *counts[:, at])
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "context", "tail", "ordinary", "toxic", "every"])
+            out, _, text, begin, spelled, end, unit = units(buf, offsets)
+            found, one, which = np.unique(unit, return_index=True, return_inverse=True)
+            counts = np.bincount(kinds[first:last][text] * len(found) + which, minlength=3 * len(found)).reshape(3, -1)
+            size = (end - begin)[one]
+            bounds = np.concatenate(([0], np.cumsum(size)))
+            data = out[np.arange(bounds[-1]) + np.repeat(begin[one] - bounds[:-1], size)]
+            words = pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
+            columns = [pa.array(found.view(np.int64)), pa.array((spelled - begin)[one].astype(np.int32)), words, *map(pa.array, counts)]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _UNITS.split(", ")])
 
 
 def gather(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The corpus's counts by cell: of all documents, and of the learnable ones of each class."""
+    """How often each unit is in all documents, and in the learnable ones of each class."""
     learn = with_label(documents, labels, "toxic").withColumn("_fold", fold("doc_id", FOLDS))
     learn = learn.where(~F.col("_fold").isin(HELD_OUT, CURVE_FOLD)).select("text", "label")
     every = documents.select(F.col("text").cast("string").alias("text"), F.lit(2).alias("label"))
-    schema = "cell int, context int, tail int, ordinary int, toxic int, every int"
-    counted = map_arrow(every, _count_batches, schema).unionByName(map_arrow(learn, _count_batches, schema))
-    sums = [F.sum(c).alias(c) for c in ("ordinary", "toxic", "every")]
-    return counted.groupBy("cell").agg(F.min("context").alias("context"), F.min("tail").alias("tail"), *sums)
+    counted = map_arrow(every, _count_batches, _UNITS).unionByName(map_arrow(learn, _count_batches, _UNITS))
+    return counted.groupBy("unit", "lead", "word").agg(*(F.sum(c).alias(c) for c in ("ordinary", "toxic", "every")))
 
 
-def _by(keys: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
-    """Sums over equal keys, given back to each element."""
-    _, which = np.unique(keys, return_inverse=True)
-    return np.bincount(which, weights)[which]
+def step_counts(found: DataFrame) -> DataFrame:
+    """``step, context, tail, ordinary, toxic, every`` of all different spelling steps."""
 
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more, kept between 0 and the count."""
-    n1, n2, n3, n4 = (max(1, int((counts == k).sum())) for k in (1, 2, 3, 4))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, UNITS_A_BATCH):
+                part = batch.slice(k, UNITS_A_BATCH)
+                row, step, context, tail = steps(part.column(0), part.column(1).to_numpy())
+                counts = (part.column(c).to_numpy()[row] for c in (2, 3, 4))
+                columns = (step.view(np.int64), context.view(np.int64), tail, *counts)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["step", "context", "tail", "ordinary", "toxic", "every"])
+
+    schema = "step long, context long, tail int, ordinary long, toxic long, every long"
+    rows = map_arrow(found.select("word", "lead", "ordinary", "toxic", "every"), run, schema)
+    rows = rows.groupBy("step", "context", "tail").agg(*(F.sum(c).alias(c) for c in ("ordinary", "toxic", "every")))
+    return rows.withColumn("every", F.greatest("every", F.col("ordinary") + F.col("toxic")))
+
+
+def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
+    """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more, from how many counts are 1 to 4; between 0 and the count."""
+    n1, n2, n3, n4 = (max(1, n) for n in (n1, n2, n3, n4))
     y = n1 / (n1 + 2 * n2)
-    found = [0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    found = [min(max(d, 0.1 * (k > 0)), k) for k, d in enumerate(found)]
-    return np.array(found)[np.minimum(counts, 3)]
+    found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+    return [min(max(d, 0.1), k) for k, d in enumerate(found, 1)]
 
 
-def log_ratios(context: np.ndarray, tail: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray, every: np.ndarray) -> np.ndarray:
-    """log P(byte | word so far, toxic) - log P(... | ordinary) of each spelling step."""
+def _smoothed(name: str, discounts: list[float], lower: Column, weight: float) -> Column:
+    """Discounted probabilities; what the discounts free, and ``weight``, is dealt out as in ``lower``."""
+    count, after = F.col(name), Window.partitionBy("context")
+    one, two, more = discounts
+    # numbers of counts are added, not fractions: sums do not depend on the order of rows
+    freed = sum((F.sum((c).cast("long")).over(after) * F.lit(d) for c, d in ((count == 1, one), (count == 2, two), (count > 2, more))), F.lit(0.0))
+    discount = F.when(count == 0, 0.0).when(count == 1, one).when(count == 2, two).otherwise(more)
+    return (F.greatest(count - discount, F.lit(0.0)) + (freed + weight) * lower) / (F.sum(count).over(after) + weight)
+
+
+def log_ratios(counts: DataFrame) -> DataFrame | None:
+    """``step, value``: log P(byte | bytes before, toxic) - log P(... | ordinary) in units of 1 / ``NAT``; None without a class."""
+    names = ("every", "ordinary", "toxic")
+    sums = [F.sum((F.col(c) == k).cast("long")).alias(f"{c}{k}") for c in names for k in (1, 2, 3, 4)]
+    found = counts.agg(*sums, F.max("ordinary").alias("o"), F.max("toxic").alias("t")).first()
+    if not found["o"] or not found["t"]:
+        return None
+    discounts = {c: _discounts(*(found[f"{c}{k}"] for k in (1, 2, 3, 4))) for c in names}
     # lowest order: after how many different beginnings the last three bytes stand
-    three, which, kinds = np.unique(tail, return_inverse=True, return_counts=True)
-    total, types = _by(three >> 8, kinds), _by(three >> 8)
-    lowest = ((np.maximum(kinds - 0.5, 0) + 0.5 * types / 64) / total)[which]
-    shared = _smoothed(context, np.maximum(every, ordinary + toxic), lowest, 0.01)
-    return np.log(_smoothed(context, toxic, shared, SHARED_WEIGHT)) - np.log(_smoothed(context, ordinary, shared, SHARED_WEIGHT))
+    last = Window.partitionBy(F.shiftright("tail", 8))
+    lowest = (F.greatest(F.col("kinds") - 0.5, F.lit(0.0)) + F.count(F.lit(1)).over(last) * 0.5 / 64) / F.sum("kinds").over(last)
+    tails = staged(counts.groupBy("tail").agg(F.count(F.lit(1)).alias("kinds")).select("tail", lowest.alias("lowest")), "toxicity-tails")
+    rows = counts.join(_small(tails), "tail")
+    rows = rows.select("step", "context", "ordinary", "toxic", _smoothed("every", discounts["every"], F.col("lowest"), 0.01).alias("shared"))
+    toxic, ordinary = (_smoothed(c, discounts[c], F.col("shared"), SHARED_WEIGHT) for c in ("toxic", "ordinary"))
+    return rows.select("step", F.round((F.log(toxic) - F.log(ordinary)) * NAT).cast("long").alias("value"))
 
 
-def _smoothed(context: np.ndarray, counts: np.ndarray, lower: np.ndarray, weight: float) -> np.ndarray:
-    """Discounted probabilities; what the discounts free, and ``weight``, is dealt out as in ``lower``."""
-    given, discount = _by(context, counts), _discounts(counts)
-    freed = _by(context, np.minimum(discount, counts))
-    return (np.maximum(counts - discount, 0) + (freed + weight) * lower) / (given + weight)
+def _small(df: DataFrame) -> DataFrame:
+    """A staged table, for a broadcast if it is small."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
 
+def unit_values(found: DataFrame, ratios: DataFrame) -> DataFrame:
+    """``unit, value, every``: the sum of each unit's log ratios, and how often it is there."""
 
-def train_table(documents: DataFrame, labels: DataFrame) -> np.ndarray | None:
-    """The log ratio of each cell; None if a class has no learnable document."""
-    rows = gather(documents, labels).toArrow()  # at most CELLS rows
-    at, *columns = (rows.column(k).to_numpy() for k in range(6))
-    del rows
-    if not columns[2].sum() or not columns[3].sum():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, UNITS_A_BATCH):
+                part = batch.slice(k, UNITS_A_BATCH)
+                row, step, _, _ = steps(part.column(0), part.column(1).to_numpy())
+                columns = (part.column(2).to_numpy()[row], part.column(3).to_numpy()[row], step.view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["unit", "every", "step"])
+
+    rows = map_arrow(found.select("word", "lead", "unit", "every"), run, "unit long, every long, step long")
+    return rows.join(_small(ratios), "step").groupBy("unit").agg(F.sum("value").alias("value"), F.max("every").alias("every"))
+
+
+class Words:
+    """Values of the most frequent units, for a broadcast; those of all others stay a table, ``rest``."""
+
+    def __init__(self, values: DataFrame):
+        high = F.floor(F.log2("every"))
+        level, total = 0, 0
+        for power, n in sorted(map(tuple, values.groupBy(high).count().collect()), reverse=True):
+            total += n
+            if total > BROADCAST_ROWS:
+                level = power + 1
+                break
+        top = values.where(high >= level).select("unit", "value").toArrow().sort_by("unit")
+        arrays = top.column(0).to_numpy(), top.column(1).to_numpy()
+        self.top = values.sparkSession.sparkContext.broadcast(arrays)
+        self.rest = values.where(high < level).select("unit", "value") if level else None
+
+
+def train_table(documents: DataFrame, labels: DataFrame) -> Words | None:
+    """The value of each unit; None if a class has no learnable document."""
+    found = staged(gather(documents, labels), "toxicity-units")
+    ratios = log_ratios(staged(step_counts(found), "toxicity-steps"))
+    if ratios is None:
         return None
-    table = np.zeros(CELLS, np.float32)
-    table[at] = log_ratios(*columns)
-    return table
-
-
-def features(table: np.ndarray, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A row for each text: difference of the whole, of the worst word, evidence a word, evidence, words."""
-    at, step, begins, _, _, places = spelled(buf, offsets)
-    n, length = len(offsets) - 1, np.diff(places) - PAD
-    out = np.zeros((n, 5))
-    if len(at):
-        bounds = np.searchsorted(at, places + 1)
-        value = table[step].astype(np.float64)
-        sums = np.concatenate(([0.0], np.cumsum(value)))
-        first = np.flatnonzero(begins)
-        word = np.add.reduceat(value, first)
-        text = np.minimum(np.searchsorted(bounds, first, "right") - 1, n - 1)
-        words = np.bincount(text, minlength=n)
-        evidence = np.bincount(text, np.maximum(word - WORD_FLOOR, 0), n)
-        out[:, 0] = (sums[bounds[1:]] - sums[bounds[:-1]]) / (length + BYTE_PRIOR)
-        np.maximum.at(out[:, 1], text, word)
-        out[:, 2] = 10 * evidence / (words + WORD_PRIOR)
-        out[:, 3], out[:, 4] = np.log1p(evidence), np.log1p(words)
-    return out
+    return Words(staged(unit_values(found, staged(ratios, "toxicity-ratios")), "toxicity-values"))
+
+
+def sums(top: tuple, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """A row for each text: sum of values, that of the worst unit, evidence, units, bytes; and the units without a value."""
+    _, places, text, _, _, _, unit = units(buf, offsets)
+    out = np.zeros((len(offsets) - 1, 5), np.int64)
+    found, which = np.unique(unit.view(np.int64), return_inverse=True)
+    keys, given = top
+    at = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
+    known = keys[at] == found if len(keys) else np.zeros(len(found), bool)
+    value = np.where(known, given[at], 0)[which] if len(keys) else np.zeros(len(unit), np.int64)
+    np.add.at(out[:, 0], text, value)
+    np.maximum.at(out[:, 1], text, value)
+    np.add.at(out[:, 2], text, np.maximum(value - FLOOR, 0))
+    out[:, 3] = np.bincount(text, minlength=len(out))
+    out[:, 4] = np.diff(places) - PAD
+    other = ~known[which]
+    return out, (text[other], unit.view(np.int64)[other])
+
+
+def features(found: np.ndarray) -> np.ndarray:
+    """Of sums: difference of the whole, of the worst word, evidence a word, evidence, words."""
+    total, worst, evidence = (found[:, k] / NAT for k in range(3))
+    words, length = found[:, 3], found[:, 4]
+    ratio = 10 * evidence / (words + WORD_PRIOR)
+    return np.column_stack((total / (length + BYTE_PRIOR), worst, ratio, np.log1p(evidence), np.log1p(words)))
+
+
+_SUMS = ("total", "worst", "evidence", "words", "length")
+
+
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def text_sums(documents: DataFrame, words: Words) -> DataFrame:
+    """``key`` and the sums of each different text, with the units that are not broadcast joined to it."""
+    top = words.top
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            for first, last, buf, offsets in slices(batch.column(1)):
+                found, (text, unit) = sums(top.value, buf, offsets)
+                n = last - first
+                zero = np.zeros(len(unit), np.int64)
+                numbers = [np.concatenate((found[:, k], zero)) for k in range(5)]
+                columns = [np.concatenate((keys[first:last], keys[first:last][text])), *numbers, np.concatenate((np.ones(n, np.int64), zero))]
+                # a text's own row stands under its key, as nulls would meet in one task
+                columns.append(np.concatenate((keys[first:last], unit)))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", *_SUMS, "texts", "unit"])
+
+    rows = map_arrow(documents.select(F.xxhash64(_text()).alias("key"), _text().alias("text")), run, f"key long, {', '.join(f'{c} long' for c in _SUMS)}, texts long, unit long")
+    if words.rest is not None:
+        value = F.when(F.col("texts") == 0, F.coalesce("value", F.lit(0))).otherwise(0)
+        rows = rows.join(words.rest, "unit", "left").withColumn("total", F.col("total") + value).withColumn("worst", F.greatest("worst", value))
+        rows = rows.withColumn("evidence", F.col("evidence") + F.greatest(value - FLOOR, F.lit(0)))
+    # repeated texts are whole multiples
+    added = [(F.expr(f"sum({c}) div sum(texts)") if c in ("total", "evidence", "words", "length") else F.max(c)).alias(c) for c in _SUMS]
+    return rows.groupBy("key").agg(*added)
 
 
 class Curve:
@@ -195,55 +302,54 @@ class Curve:
         return 1 / (1 + np.exp(-np.clip((x - self.mean) / self.scale @ self.w[:-1] + self.w[-1], -30, 30)))
 
 
-def fit_curve(documents: DataFrame, labels: DataFrame, table) -> Curve | None:
+def fit_curve(documents: DataFrame, labels: DataFrame, words: Words) -> Curve | None:
     """The curve, from a bounded number of learnable rows; None if they lack one of the classes."""
     learnable = labels.where((fold("doc_id", FOLDS) == CURVE_FOLD) & F.col("toxic").isin(0, 1))
     chosen = learnable.select("doc_id", "toxic").distinct().orderBy(F.xxhash64("doc_id"), "toxic").limit(CURVE_ROWS)
-    rows = with_label(documents, chosen, "toxic").limit(CURVE_ROWS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, last, buf, offsets in slices(batch.column(0)):
-                x = [pa.array(c) for c in features(table.value, buf, offsets).T]
-                yield pa.RecordBatch.from_arrays([*x, batch.column(1).slice(first, last - first)], [*"abcde", "label"])
-
-    schema = "a double, b double, c double, d double, e double, label int"
-    found = map_arrow(rows.select("text", "label"), run, schema).toArrow().sort_by([(c, "ascending") for c in [*"abcde", "label"]])
+    rows = staged(with_label(documents, chosen, "toxic").limit(CURVE_ROWS).select("text", "label"), "toxicity-curve")
+    keyed = rows.select(F.xxhash64(_text()).alias("key"), "label")
+    found = keyed.join(text_sums(rows, words), "key").select(*_SUMS, "label").toArrow().sort_by([(c, "ascending") for c in (*_SUMS, "label")])
     *x, label = (found.column(k).to_numpy() for k in range(6))
     if len(set(label.tolist())) < 2:
         return None
-    return Curve(np.column_stack(x), label.astype(float))
-
-
-def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of each document."""
-    scorer = _scorer(documents, labels)
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    held = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out")
-    scored = rows.select("doc_id", held, scorer("text").alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
-
-
-def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose score is under 0.5, with all their columns."""
-    return documents.where(_scorer(documents, labels)(F.col("text").cast("string")) < 0.5)
+    return Curve(features(np.column_stack(x)), label.astype(float))
 
 
-def _scorer(documents: DataFrame, labels: DataFrame):
-    table = train_table(documents, labels)
-    if table is None:
-        return lambda text: F.lit(0.0)
-    table = documents.sparkSession.sparkContext.broadcast(table)
-    curve = fit_curve(documents, labels, table)
+def _scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents with their score."""
+    words = train_table(documents, labels)
+    curve = words and fit_curve(documents, labels, words)
     if curve is None:
-        return lambda text: F.lit(0.0)
+        return documents.withColumn(SCORE, F.lit(0.0))
+    top = words.top
 
     def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
             out = np.zeros(len(column))
             for first, last, buf, offsets in slices(column):
-                out[first:last] = curve(features(table.value, buf, offsets))
+                out[first:last] = curve(features(sums(top.value, buf, offsets)[0]))
             yield pa.array(out)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.column_stack([batch.column(k).to_numpy() for k in range(1, 6)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(curve(features(x)))], ["_key", SCORE])
+
     bounded_batches(documents.sparkSession)
-    return arrow_udf(scores, "double", ArrowUDFType.SCALAR_ITER)
+    if words.rest is None:
+        return documents.withColumn(SCORE, arrow_udf(scores, "double", ArrowUDFType.SCALAR_ITER)(F.col("text").cast("string")))
+    found = map_arrow(text_sums(documents, words), run, f"_key long, {SCORE} double")
+    return documents.withColumn("_key", F.xxhash64(_text())).join(found, "_key").drop("_key")
+
+
+def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of each document."""
+    held = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out")
+    scored = _scored(documents.select("doc_id", "text"), labels)
+    scored = scored.select(F.col("doc_id").cast("long").alias("doc_id"), held, F.col(SCORE).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents whose score is under 0.5, with all their columns."""
+    return _scored(documents, labels).where(F.col(SCORE) < 0.5).select(*documents.columns)

@@ -349,6 +349,36 @@ def test_scores_of_odd_rows(spark, odd, empty, module, name):
     assert module.score_documents(empty, labels).count() == 0
 
 
+def spelling_steps(text):
+    """The bytes before each byte of a word, at most LONGEST, and the byte."""
+    for word in re.findall(r"[a-z]+", text.translate(LOWER)):
+        word = f" {word} "
+        for k in range(1, len(word)):
+            yield word[max(0, k - toxicity.LONGEST) : k + 1]
+
+
+def test_every_spelling_step_has_a_count_of_its_own(spark):
+    draw = np.random.default_rng(11)
+    texts = [" ".join(bytes(draw.integers(97, 123, 9).astype(np.uint8)).decode() for _ in range(600)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, toxic int")
+    learnt = [Counter(x for k, t in enumerate(texts) if zlib.crc32(str(k).encode()) % 5 in (1, 2, 3) and k % 2 == c for x in spelling_steps(t)) for c in (0, 1)]
+    every = Counter(x for t in texts for x in spelling_steps(t))
+    got = toxicity.step_counts(toxicity.gather(df, labels)).collect()
+    assert sorted((r.ordinary, r.toxic, r.every) for r in got) == sorted((learnt[0][x], learnt[1][x], n) for x, n in every.items())
+    assert len({r.context for r in got}) == len({x[:-1] for x in every})
+
+
+def test_words_that_are_not_broadcast_are_joined(spark, odd, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    expected, kept = rows(toxicity.score_documents(docs, labels)), rows(toxicity.drop_toxic(docs, labels))
+    assert len({x[2] for x in expected}) > 100
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", 50)
+    assert rows(toxicity.score_documents(docs, labels)) == expected
+    assert rows(toxicity.drop_toxic(docs, labels)) == kept
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     before = docs.count()
