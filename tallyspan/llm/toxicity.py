@@ -1,7 +1,8 @@
 """Operator 1: toxicity by two class-conditional Kneser-Ney models.
 
-The models spell words: they give the probability of each next byte after all bytes of the word so far, up to
-``LONGEST``, over lower-cased letters with all else as one space. Each class has its own discounted counts;
+The models spell words: they give the probability of each of the first ``LONGEST`` bytes of a word after all bytes of the word so far,
+and of each later one after the last ``SLIDING`` bytes, over lower-cased letters with all else as one space. Bytes of other
+scripts are letters; a long word or run is spelled to its end, and weighed in units of ``UNIT`` bytes. Each class has its own discounted counts;
 what the discounts free goes to one shared distribution after the same bytes, counted over *all*
 documents, whose own discounts go to Kneser-Ney continuation counts of the last two bytes. An
 expression that is rare in a class is thus smoothed by what all documents say, and speaks for
@@ -38,8 +39,10 @@ from tallyspan.llm.staging import bounded_batches, map_arrow, staged
 FOLDS = 5
 HELD_OUT = 0
 CURVE_FOLD = 4
-#: Bytes of a word that are spelled.
-LONGEST = 10
+#: Bytes of a word, the space included, that are spelled after all before them, and after how many the later ones are.
+LONGEST, SLIDING = 10, 6
+#: Bytes of a word, or of a run in a script without spaces, that are weighed as one.
+UNIT = 30
 #: Spaces put around each text.
 PAD = 3
 #: Units whose steps are made at once.
@@ -76,7 +79,7 @@ def normal(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def units(buf: np.ndarray, offsets: np.ndarray) -> tuple:
-    """The words of all texts, each with the space before and after it.
+    """The words of all texts, spaces after them included, cut every ``UNIT`` bytes; each with the bytes it is spelled after.
 
     Returns the normal bytes, where each text's begin, and of each unit the text, the first byte, the first one that
     is spelled, the end, and a hash of all that.
@@ -85,9 +88,12 @@ def units(buf: np.ndarray, offsets: np.ndarray) -> tuple:
     space = out == 32
     start = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     after = np.flatnonzero(~space[:-1] & space[1:]) + 1
-    begin, first, end = start - 1, start, np.minimum(start - 1 + LONGEST, after) + 1
+    parts = (after - start) // UNIT + 1
+    word = np.repeat(np.arange(len(start)), parts)
+    first = start[word] + UNIT * (np.arange(len(word)) - np.repeat(np.cumsum(parts) - parts, parts))
+    begin, end = np.maximum(first - SLIDING, start[word] - 1), np.minimum(first + UNIT, after[word] + 1)
     unit = mix(Hasher(out).spans(begin, end) + (first - begin).astype(np.uint64))
-    return out, places, np.searchsorted(places, first, "right") - 1, begin, first, end, unit
+    return out, places, (np.searchsorted(places, start, "right") - 1)[word], begin, first, end, unit
 
 
 def steps(column: pa.Array, lead: np.ndarray) -> tuple:
@@ -96,7 +102,8 @@ def steps(column: pa.Array, lead: np.ndarray) -> tuple:
     count = np.diff(offsets) - lead
     row = np.repeat(np.arange(len(count)), count)
     at = np.arange(len(row)) + np.repeat(offsets[:-1] + lead - (np.cumsum(count) - count), count)
-    begin = np.maximum(offsets[:-1][row], at - LONGEST)
+    begin = offsets[:-1][row]
+    begin = np.where((buf[begin] == 32) & (at - begin <= LONGEST), begin, at - SLIDING)
     hashes = Hasher(buf)
     wide = buf.astype(np.int32)
     third = np.where(at - 2 >= offsets[:-1][row], wide[np.maximum(at - 2, 0)], 32)

@@ -369,6 +369,34 @@ def test_every_spelling_step_has_a_count_of_its_own(spark):
     assert len({r.context for r in got}) == len({x[:-1] for x in every})
 
 
+def test_every_byte_of_a_word_is_spelled():
+    texts = ["", "a", "x" * 29, "x" * 30, "x" * 31, "ab " + "漢字" * 40 + ", " + "y" * 90, "Ж" * 50]
+    raw = [t.encode() for t in texts]
+    buf, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+    out, places, text, begin, first, end, _ = toxicity.units(buf, offsets)
+    given = np.zeros(len(out), int)
+    for a, b in zip(first, end, strict=True):
+        given[a:b] += 1
+    assert given.tolist() == [int(c != 32 or (k > 0 and out[k - 1] != 32)) for k, c in enumerate(out)]
+    assert all(out[a] == 32 or f - a == toxicity.SLIDING for a, f in zip(begin, first, strict=True))
+    assert Counter(text.tolist()) == {1: 1, 2: 1, 3: 2, 4: 2, 5: 1 + 9 + 4, 6: 4}
+
+
+def test_long_runs_are_read_to_their_end(spark):
+    draw = np.random.default_rng(13)
+    usual = ["".join(chr(0x4E00 + c) for c in draw.integers(0, 300, 2)) for _ in range(40)]
+    docs = []
+    for k in range(1000):
+        text = [usual[c] for c in draw.integers(0, 40, 40)]
+        if k % 2:
+            text[20] = "汚語悪罵"
+        docs.append((k, "".join(text)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1000)], "doc_id long, toxic int")
+    got = [r for r in toxicity.score_documents(df, labels).collect() if r.held_out]
+    assert np.mean([r.predicted == r.doc_id % 2 for r in got]) >= 0.9
+
+
 def test_words_that_are_not_broadcast_are_joined(spark, odd, monkeypatch):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
