@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from tallyspan.llm import arc_warc, bloom_dedup, chunked_bpe, label_shards, mil_quality, partenum, suffix_refine, token_files, toxicity, winnowing
+from tallyspan.llm import (
+    arc_warc, bloom_dedup, chunked_bpe, fenwick_fim, label_shards, line_dedup, mil_quality, partenum, prefix_trie, suffix_refine,
+    token_files, toxicity, winnowing,
+)
+from tallyspan.llm.oracle import LINE_SQL, MIDDLE_SQL, TRIE_SQL
 from tallyspan.llm.staging import table
 
 
@@ -47,11 +51,24 @@ def op10_suffix_refine(spark, sf_dir):
     return suffix_refine.repeat_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_fenwick_fim(spark, sf_dir):
+    return fenwick_fim.fim_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_line_dedup(spark, sf_dir):
+    return line_dedup.line_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_chunked_bpe, op3_partenum, op4_arc_warc, op5_label_shards, op6_bloom_dedup,
         op7_token_files, op8_winnowing, op9_mil_quality, op10_suffix_refine,
+        op11_fenwick_fim, op12_line_dedup, op13_prefix_trie,
     )
 }
 
@@ -62,4 +79,7 @@ ORACLE = {
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op11_fenwick_fim": MIDDLE_SQL,
+    "op12_line_dedup": LINE_SQL,
+    "op13_prefix_trie": TRIE_SQL,
 }
