@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,22 +16,37 @@ def load_time(ts: dt.datetime) -> Column:
     return F.expr(f"TIMESTAMP_NTZ'{ts.isoformat(sep=' ')}'")
 
 
+# The spellings of a date; files and requests take the same.
+_TIME = r"([T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?( ?(Z|[+-][0-9]{2}:?[0-9]{2}))?)?"
+YEAR_FIRST = rf"([0-9]{{4}})[-/]([0-9]{{1,2}})[-/]([0-9]{{1,2}}){_TIME}"
+PACKED = r"([0-9]{4})([0-9]{2})([0-9]{2})"
+MONTH_FIRST = r"([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})"
+
+
 def parse_date(text: Column) -> Column:
     """Text to DATE: year-month-day (``-`` or ``/``, with or without leading zeros, a time of
     day is dropped), eight digits, or month/day/year. Anything else gives NULL."""
     body = F.btrim(text)
-    # ``rlike`` on its own would let the cast see "2025" or "2025-06", which it accepts.
-    year_first = body.rlike(r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}([T ][0-9:.+Zz -]*)?$")
-    packed = body.rlike(r"^[0-9]{8}$")
-    month_first = body.rlike(r"^[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{4}$")
-    return (
-        F.when(year_first, F.replace(body, F.lit("/"), F.lit("-")).try_cast("date"))
-        .when(packed, F.regexp_replace(body, r"^(....)(..)(..)$", "$1-$2-$3").try_cast("date"))
-        .when(
-            month_first,
-            F.regexp_replace(body, r"^([0-9]+)[-/]([0-9]+)[-/]([0-9]+)$", "$3-$1-$2").try_cast("date"),
-        )
-    )
+
+    day = None
+    for pattern, parts in ((YEAR_FIRST, "$1-$2-$3"), (PACKED, "$1-$2-$3"), (MONTH_FIRST, "$3-$1-$2")):
+        whole = rf"^{pattern}\z"
+        hit, found = body.rlike(whole), F.regexp_replace(body, whole, parts).try_cast("date")
+        day = F.when(hit, found) if day is None else day.when(hit, found)
+    return day
+
+
+def parse_day(text: str | dt.date) -> dt.date:
+    """:func:`parse_date` for one text, which raises where that gives NULL. Dates stay."""
+    if isinstance(text, dt.datetime):
+        return text.date()
+    if isinstance(text, dt.date):
+        return text
+    body = text.strip(" ")
+    for pattern, order in ((YEAR_FIRST, (1, 2, 3)), (PACKED, (1, 2, 3)), (MONTH_FIRST, (3, 1, 2))):
+        if found := re.fullmatch(pattern, body):
+            return dt.date(*(int(found[k]) for k in order))
+    raise ValueError(f"not a date: {text!r}")
 
 
 def round_to_second(ts: Column) -> Column:

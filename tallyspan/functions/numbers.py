@@ -86,4 +86,41 @@ def finite_or_raise(amount: str) -> str:
 
 def joined_amount(whole: str, fraction: str) -> str:
     """SQL text of the DOUBLE made from summed parts, exact to 9 decimals."""
-    return f"double(CAST({whole} AS DECIMAL(38, 9)) + CAST({fraction} AS DECIMAL(38, 9)))"
+    return f"double({exact_amount(whole, fraction)})"
+
+
+# A total to 9 decimals, a count, and a fixed-point KPI value to 12. Larger ones fail the query.
+AMOUNT, COUNT, FIXED = "DECIMAL(26, 9)", "DECIMAL(19, 0)", "DECIMAL(30, 12)"
+
+
+def exact_amount(whole: str, fraction: str) -> str:
+    """SQL text of the decimal made from summed parts, exact to 9 decimals."""
+    return f"CAST(CAST({whole} AS DECIMAL(38, 9)) + CAST({fraction} AS DECIMAL(38, 9)) AS {AMOUNT})"
+
+
+def fixed_ratio(numerator: str, denominator: str, guard: str = "nonzero") -> str:
+    """SQL text of :func:`ratio` on decimals: the quotient to 12 decimals, half away from zero.
+
+    Spark cuts the scale of a decimal quotient when its operands are wide. The remainder's share is
+    below one, so taken by itself it keeps all the decimals.
+    """
+    if guard not in ("nonzero", "positive"):
+        raise ValueError(f"guard must be 'nonzero' or 'positive', not {guard!r}")
+    d = f"nullif({denominator}, 0)"
+    if guard == "positive":
+        d = f"CASE WHEN {denominator} > 0 THEN {denominator} END"
+    rest = f"({numerator}) % ({d})"
+    whole = f"CAST((({numerator}) - {rest}) / ({d}) AS DECIMAL(18, 0))"
+    return f"CAST({whole} + CAST(({rest}) / ({d}) AS DECIMAL(13, 12)) AS {FIXED})"
+
+
+def rounded_share(part: str, of: str, scale: int, digits: int) -> str:
+    """SQL text of ``scale * part / of`` rounded half away from zero to ``digits`` decimals, as a
+    DOUBLE; NULL where ``of`` is zero. The operands are fixed-point; the tie is decided on the
+    remainder, not on a quotient that was rounded before."""
+    n = f"(CAST({part} AS {FIXED}) * CAST({scale * 10**digits} AS DECIMAL(5, 0)))"
+    d = f"nullif({of}, 0)"
+    rest = f"({n} % {d})"
+    away = f"CASE WHEN 2 * abs({rest}) < abs({d}) THEN 0 WHEN ({n} < 0) = ({d} < 0) THEN 1 ELSE -1 END"
+    step = f"CAST({10.0**-digits:.4f} AS DECIMAL(5, 4))"
+    return f"double((CAST(({n} - {rest}) / {d} AS DECIMAL(30, 0)) + {away}) * {step})"

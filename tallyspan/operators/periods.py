@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspan.functions.dates import parse_day
+
 DEFAULT_DAYS = 30
 
 
@@ -69,20 +70,6 @@ def explicit_periods(start: dt.date | None, end: dt.date | None) -> Periods:
     return Periods(start, end, start - length, end - length)
 
 
-def parse_day(text: str | dt.date) -> dt.date:
-    """Year-month-day text, leading zeros optional, or eight digits. Anything else raises."""
-    if isinstance(text, dt.datetime):
-        return text.date()
-    if isinstance(text, dt.date):
-        return text
-    found = re.fullmatch(r"\s*(\d{4})-(\d{1,2})-(\d{1,2})\s*", text) or re.fullmatch(
-        r"\s*(\d{4})(\d{2})(\d{2})\s*", text
-    )
-    if not found:
-        raise ValueError(f"not a date: {text!r}")
-    return dt.date(*map(int, found.groups()))
-
-
 def window_periods(
     start: str | dt.date | None,
     end: str | dt.date | None,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +11,14 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.dates import parse_date
 from tallyspan.functions.text import canon_platform, initcap_alnum
-from tallyspan.operators import audit, kpi, merge, periods, rows
+from tallyspan.operators import audit, kpi, many, merge, periods, rows
 from tallyspan.operators.clean import cast_typed, clean_numbers, stamp_provenance
 from tallyspan.plans.pipeline import dedupe_table, run_ingest, table_metrics, upsert_table
-from tallyspan.plans.views import create_views
+from tallyspan.plans.views import create_live_views, create_views
 from tallyspan.schema import FACT_COLUMNS, FILE_COLUMNS, SEQ
 from tallyspan.session import shared_folder
 from tallyspan.sinks.json_rows import metrics_json
-from tallyspan.sources.fact_table import read_table, write_snapshot
+from tallyspan.sources.fact_table import publish_table, read_table, write_snapshot
 from tallyspan.sources.star import ads_from_events, ads_from_lineitem, text_rows_from_events
 from tallyspan.streaming.ingest_stream import ingest_stream
 
@@ -26,6 +27,8 @@ FIRST_LOAD = dt.datetime(2025, 7, 1, 8, 0, 0)
 SECOND_LOAD = dt.datetime(2025, 7, 2, 8, 0, 0)
 BATCH_FROM, TARGET_BEFORE = dt.date(2000, 7, 1), dt.date(2001, 1, 1)
 
+SUMMARY_NAMES = {"value_current": "last_30", "value_prior": "prior_30", "abs_delta": "delta_abs"}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -58,6 +61,38 @@ def kpi_by_country_device(spark, sf_dir):
     return kpi.kpi_by(ads, ["country", "device"])
 
 
+def kpi_by_rounding_ties(spark, sf_dir):
+    """Orders as campaigns of a handful of conversions: half of the changes of two and two end in half a
+    cent, which is rounded away from zero."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    ads = items.select(
+        F.when(F.col("l_linenumber") % 2 == 0, F.lit(dt.date(2001, 6, 30))).otherwise(F.lit(dt.date(2001, 5, 31))).alias("date"),
+        F.col("l_orderkey").cast("string").alias("campaign"),
+        F.col("l_extendedprice").alias("spend"),
+        F.lit(1).alias("conversions"),
+    )
+    return kpi.kpi_by(ads, ["campaign"])
+
+
+def kpi_by_platform_gaps(spark, sf_dir):
+    """Platforms that are partly unknown, and refunds."""
+    ads = ads_from_lineitem(spark, sf_dir, (*KPI_COLUMNS, SEQ))
+    gaps = ads.withColumns(
+        {
+            "platform": F.when(F.col(f"{SEQ}.l_partkey") % 3 > 0, F.col("platform")),
+            "spend": F.when(F.col(f"{SEQ}.l_suppkey") % 5 == 0, -F.col("spend")).otherwise(F.col("spend")),
+        }
+    )
+    return kpi.kpi_by(gaps)
+
+
+def kpi_30d_refunds(spark, sf_dir):
+    """Spend below zero throughout, conversions in part."""
+    ads = ads_from_lineitem(spark, sf_dir, (*KPI_COLUMNS, SEQ))
+    less = F.when(F.col(f"{SEQ}.l_suppkey") % 2 == 0, -F.col("conversions")).otherwise(F.col("conversions"))
+    return kpi.kpi_30d_vs_prior(ads.withColumns({"spend": -F.col("spend"), "conversions": less}))
+
+
 def kpi_summary(spark, sf_dir):
     return kpi.kpi_summary(_kpi_input(spark, sf_dir))
 
@@ -83,6 +118,30 @@ def metrics_end_only(spark, sf_dir):
     return kpi.metrics_request(_kpi_input(spark, sf_dir), '{"end": "2001-03-31"}')
 
 
+def metrics_many(spark, sf_dir):
+    """A week's window from every order date."""
+    day = F.col("o_orderdate").cast("date")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    requests = orders.select(day.alias("start"), F.date_add(day, 6).alias("end")).distinct()
+    return many.metrics_many(_kpi_input(spark, sf_dir), requests)
+
+
+def metrics_many_requests(spark, sf_dir):
+    """A JSON request per order: bounds in several spellings, missing, null or reversed."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    start, end = F.date_format(day, "yyyy/M/d"), F.date_format(F.date_add(day, (key % 40).cast("int") - 3), "M/d/yyyy")
+    stamp = F.date_format(day, "yyyy-MM-dd'T'00:00:00'Z'")
+    asked = (
+        F.when(key % 4 == 0, F.format_string('{"start": "%s", "end": "%s"}', start, end))
+        .when(key % 4 == 1, F.format_string('{"start": "%s"}', stamp))
+        .when(key % 4 == 2, F.format_string('{"end": "%s", "start": null}', F.date_format(day, "yyyyMMdd")))
+        .otherwise("{}")
+    )
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    requests = many.parse_requests(orders.select(key.alias("request_id"), asked.alias("request")))
+    return many.metrics_many(_kpi_input(spark, sf_dir), requests).drop("start", "end")
+
+
 def metrics_response(spark, sf_dir):
     return metrics_json(metrics_window(spark, sf_dir))
 
@@ -92,7 +151,7 @@ def ads_daily(spark, sf_dir):
 
 
 def ads_daily_view(spark, sf_dir):
-    create_views(ads_from_lineitem(spark, sf_dir, FILE_COLUMNS))
+    create_views(ads_from_lineitem(spark, sf_dir, FILE_COLUMNS), ["v_ads_daily"])
     return spark.sql(
         """
         SELECT country, device, count(*) AS ads, count(cac) AS ads_with_cac,
@@ -104,14 +163,28 @@ def ads_daily_view(spark, sf_dir):
 
 
 def kpi_summary_view(spark, sf_dir):
-    create_views(ads_from_lineitem(spark, sf_dir, FILE_COLUMNS))
+    create_views(_kpi_input(spark, sf_dir), ["kpi_30d_vs_prior"])
+    rows = spark.table("kpi_30d_vs_prior").filter(F.col("metric").isin("CAC", "ROAS"))
+    percent = F.round(F.col("pct_delta") * 100, 2)
+    return rows.select("metric", *[F.col(c).alias(n) for c, n in SUMMARY_NAMES.items()], percent.alias("delta_pct"))
+
+
+def live_views(spark, sf_dir):
+    """Views made over a stored table before half of its rows came."""
+    ads = _ordered(spark, sf_dir)
+    table, staged = shared_folder(spark, "table"), shared_folder(spark, "staged")
+    name = f"ads_{uuid.uuid4().hex}"
+    write_snapshot(merge.dedupe_latest(ads.filter(F.col("date") < F.lit(BATCH_FROM))), table)
+    publish_table(spark, table, name)
+    create_live_views(spark, name, [f"{name}_daily", f"{name}_kpi"])
+    ads.filter(F.col("date") >= F.lit(BATCH_FROM)).write.parquet(staged)
+    upsert_table(table, spark.read.parquet(staged), SECOND_LOAD)
     return spark.sql(
-        """
-        SELECT metric, value_current AS last_30, value_prior AS prior_30, abs_delta AS delta_abs,
-               round(100 * pct_delta, 2) AS delta_pct
-        FROM kpi_30d_vs_prior
-        WHERE metric IN ('CAC', 'ROAS')
-        ORDER BY metric
+        f"""
+        SELECT metric AS name, value_current, value_prior, abs_delta, pct_delta FROM {name}_kpi
+        UNION ALL
+        SELECT country, round(max(cac), 4), round(max(roas), 4), double(count(*)), double(count(cac))
+        FROM {name}_daily GROUP BY country
         """
     )
 
@@ -131,6 +204,23 @@ def upsert_batch(spark, sf_dir):
     return merge.upsert(target, batch, SECOND_LOAD)
 
 
+def upsert_null_keys(spark, sf_dir):
+    """A batch whose keys are partly incomplete, on a table that already holds such rows."""
+    ads = ads_from_lineitem(spark, sf_dir, (*FACT_COLUMNS, SEQ))
+    known, part = F.col("platform"), F.col(f"{SEQ}.l_partkey")
+    ads = ads.withColumns(
+        {
+            "platform": F.when(part % 4 > 0, known),
+            "date": F.when(part % 7 > 0, F.col("date")),
+            "load_date": F.when(part % 2 == 0, F.col("load_date")),
+        }
+    )
+    line = F.col(f"{SEQ}.l_linenumber")
+    complete = merge.dedupe_latest(ads.filter(line <= 3).filter("platform IS NOT NULL AND date IS NOT NULL"))
+    incomplete = ads.filter(line <= 3).filter("platform IS NULL OR date IS NULL").select(*FACT_COLUMNS)
+    return merge.upsert(complete.unionByName(incomplete), ads.filter(line >= 3), SECOND_LOAD)
+
+
 def row_count(spark, sf_dir):
     return audit.row_count(ads_from_lineitem(spark, sf_dir, ("date",)))
 
@@ -150,6 +240,13 @@ def file_provenance(spark, sf_dir):
     )
 
 
+def file_provenance_unnamed(spark, sf_dir):
+    """Some rows do not know their file."""
+    ads = ads_from_lineitem(spark, sf_dir, ("load_date", "source_file_name", SEQ))
+    name = F.when(F.col(f"{SEQ}.l_linenumber") % 3 != 0, F.col("source_file_name"))
+    return audit.file_provenance(ads.withColumn("source_file_name", name))
+
+
 def clean_number_text(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     text = items.select(
@@ -290,23 +387,31 @@ QUERIES: dict[str, Query] = {
         kpi_30d_vs_prior,
         kpi_by_platform,
         kpi_by_country_device,
+        kpi_by_rounding_ties,
+        kpi_by_platform_gaps,
+        kpi_30d_refunds,
         kpi_summary,
         metrics_window,
         metrics_window_renamed,
         metrics_default,
         metrics_start_only,
         metrics_end_only,
+        metrics_many,
+        metrics_many_requests,
         metrics_response,
         ads_daily,
         ads_daily_view,
         kpi_summary_view,
+        live_views,
         dedupe_latest,
         duplicate_keys,
         upsert_batch,
+        upsert_null_keys,
         row_count,
         load_batches,
         load_batches_subsecond,
         file_provenance,
+        file_provenance_unnamed,
         clean_number_text,
         typed_rows,
         rejected_rows,

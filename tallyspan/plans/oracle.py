@@ -56,31 +56,49 @@ def _explicit(start: str, end: str) -> str:
 )"""
 
 
+# Amounts are whole numbers of 0.0001, KPI values whole numbers of 10**-12, all HUGEINT.
+_UNITS, _FIXED = 4, 12
+
+
 def _exact(condition: str) -> str:
-    return f"CAST(sum(CAST(spend AS DECIMAL(18, 4))) FILTER ({condition}) AS DOUBLE)"
+    units = f"CAST(CAST(spend AS DECIMAL(18, {_UNITS})) * {10**_UNITS} AS HUGEINT)"
+    return f"CAST(sum({units}) FILTER ({condition}) AS HUGEINT)"
+
+
+def _whole(condition: str) -> str:
+    return f"CAST(sum(conversions) FILTER ({condition}) AS HUGEINT)"
+
+
+def _half(n: str, d: str) -> str:
+    """n / d as a whole number, half away from zero; NULL for d = 0."""
+    return f"sign({n}) * sign({d}) * ((2 * abs({n}) + abs({d})) // nullif(2 * abs({d}), 0))"
 
 
 _TOTALS = f"""tot AS (
-  SELECT {_exact("date BETWEEN c0 AND c1")} AS s1,
-         {_exact("date BETWEEN p0 AND p1")} AS s0,
-         CAST(sum(conversions) FILTER (date BETWEEN c0 AND c1) AS DOUBLE) AS n1,
-         CAST(sum(conversions) FILTER (date BETWEEN p0 AND p1) AS DOUBLE) AS n0
+  SELECT {_exact("date BETWEEN c0 AND c1")} AS s1, {_exact("date BETWEEN p0 AND p1")} AS s0,
+         {_whole("date BETWEEN c0 AND c1")} AS n1, {_whole("date BETWEEN p0 AND p1")} AS n0
   FROM ads, win
   WHERE date BETWEEN p0 AND c1
 )"""
 
+
+def _cac(w: int) -> str:
+    return _half(f"(s{w} * {10 ** (_FIXED - _UNITS)}::HUGEINT)", f"n{w}")
+
+
+def _roas(w: int) -> str:
+    return _half(f"(n{w} * {100 * 10 ** (_FIXED + _UNITS)}::HUGEINT)", f"s{w}")
+
+
 _NONZERO = {
-    "CAC": ("s1 / nullif(n1, 0)", "s0 / nullif(n0, 0)"),
-    "Conversions": ("n1", "n0"),
-    "ROAS": ("n1 * CAST(100 AS DOUBLE) / nullif(s1, 0)", "n0 * CAST(100 AS DOUBLE) / nullif(s0, 0)"),
-    "Spend": ("s1", "s0"),
+    "CAC": (_cac(1), _cac(0)),
+    "Conversions": tuple(f"n{w} * {10**_FIXED}::HUGEINT" for w in (1, 0)),
+    "ROAS": (_roas(1), _roas(0)),
+    "Spend": tuple(f"s{w} * {10 ** (_FIXED - _UNITS)}::HUGEINT" for w in (1, 0)),
 }
 _POSITIVE = {
-    "CAC": ("CASE WHEN n1 > 0 THEN s1 / n1 END", "CASE WHEN n0 > 0 THEN s0 / n0 END"),
-    "ROAS": (
-        "CASE WHEN s1 > 0 THEN n1 * CAST(100 AS DOUBLE) / s1 END",
-        "CASE WHEN s0 > 0 THEN n0 * CAST(100 AS DOUBLE) / s0 END",
-    ),
+    "CAC": tuple(f"CASE WHEN n{w} > 0 THEN {_cac(w)} END" for w in (1, 0)),
+    "ROAS": tuple(f"CASE WHEN s{w} > 0 THEN {_roas(w)} END" for w in (1, 0)),
 }
 
 
@@ -93,14 +111,18 @@ def _report(formulas, names, scale, pct_digits, by=(), digits=None) -> str:
         f"SELECT {dims}'{m}' AS metric, {digits[m]} AS d, {a} AS x1, {b} AS x0 FROM tot"
         for m, (a, b) in formulas.items()
     )
-    # The number of decimals must be constant for round().
     def rounded(x, alias):
-        cases = " ".join(f"WHEN {k} THEN round({x}, {k})" for k in sorted(set(digits.values())))
+        cases = " ".join(
+            f"WHEN {k} THEN CAST({_half(x, f'{10 ** (_FIXED - k)}::HUGEINT')} AS DOUBLE) / CAST({10**k} AS DOUBLE)"
+            for k in sorted(set(digits.values()))
+        )
         return f"CASE d {cases} END AS {alias}"
 
+    share = _half(f"((x1 - x0) * {scale * 10**pct_digits}::HUGEINT)", "x0")
+    cells = cells.replace("\n", "")
     return f"""cells AS ({cells})
-SELECT {dims}metric, {rounded("x1", now)}, {rounded("x0", before)}, {rounded("x1 - x0", change)},
-  round((x1 - x0) * CAST({scale} AS DOUBLE) / nullif(x0, 0), {pct_digits}) AS {pct}
+SELECT {dims}metric, {rounded("x1", now)}, {rounded("x0", before)}, {rounded("(x1 - x0)", change)},
+  CAST({share} AS DOUBLE) / CAST({10**pct_digits} AS DOUBLE) AS {pct}
 FROM cells ORDER BY ALL"""
 
 
@@ -115,19 +137,19 @@ def _metrics(start: str, end: str, names=_METRIC_NAMES) -> str:
     return f"WITH {_ADS}, {_explicit(start, end)}, {_TOTALS}, {body}"
 
 
-def _by(dims: dict[str, str]) -> str:
+def _by(dims: dict[str, str], ads: str = _ADS) -> str:
     keys = ", ".join(f"{expr} AS {name}" for name, expr in dims.items())
     half = """{w} AS (
-  SELECT {names}, {s} AS s, CAST(sum(conversions) AS DOUBLE) AS n
+  SELECT {names}, {s} AS s, {n} AS n
   FROM (SELECT {keys}, date, spend, conversions FROM ads), win
   WHERE date BETWEEN {lo} AND {hi} GROUP BY ALL
 )"""
     names = ", ".join(dims)
-    s = _exact("true")
-    now = half.format(w="l", names=names, keys=keys, s=s, lo="c0", hi="c1")
-    before = half.format(w="p", names=names, keys=keys, s=s, lo="p0", hi="p1")
+    sums = {"s": _exact("true"), "n": _whole("true")}
+    now = half.format(w="l", names=names, keys=keys, lo="c0", hi="c1", **sums)
+    before = half.format(w="p", names=names, keys=keys, lo="p0", hi="p1", **sums)
     body = _report(_POSITIVE, _THIRTY_NAMES, 100, 2, by=tuple(dims), digits=_THIRTY_DIGITS)
-    return f"""WITH {_ADS}, {_rolling(30)}, {now}, {before}, tot AS (
+    return f"""WITH {ads}, {_rolling(30)}, {now}, {before}, tot AS (
   SELECT {names}, l.s AS s1, l.n AS n1, p.s AS s0, p.n AS n0 FROM l FULL JOIN p USING ({names})
 ), {body}"""
 
@@ -142,10 +164,15 @@ def _initcap(x: str) -> str:
     )
 
 
-_CANON = f"""CASE
-    WHEN lower(trim(platform)) IN ('google', 'google ads', 'googleads', 'adwords') THEN 'Google'
-    WHEN lower(trim(platform)) IN ('meta', 'facebook', 'fb', 'facebook ads', 'fb ads') THEN 'Meta'
-    ELSE {_initcap("trim(platform)")} END"""
+# Spellings, and the name they stand for.
+_SPELLINGS = """spellings(spelling, name) AS (VALUES
+  ('google', 'Google'), ('google ads', 'Google'), ('googleads', 'Google'), ('adwords', 'Google'),
+  ('meta', 'Meta'), ('facebook', 'Meta'), ('fb', 'Meta'), ('facebook ads', 'Meta'), ('fb ads', 'Meta')
+)"""
+_NAMED_ADS = f"""{_ADS.replace("ads AS (", "raw_ads AS (", 1)}, {_SPELLINGS}, ads AS (
+  SELECT raw_ads.* EXCLUDE (platform), platform AS raw, coalesce(name, {_initcap("trim(platform)")}) AS platform
+  FROM raw_ads LEFT JOIN spellings ON spelling = lower(trim(platform))
+)"""
 
 # ---- ingest ---------------------------------------------------------------------------------
 
@@ -177,7 +204,7 @@ ORACLE: dict[str, str] = {
     + _report(_NONZERO, _COMPACT_NAMES, 1, 4),
     "kpi_30d_vs_prior": f"WITH {_ADS}, {_rolling(30)}, {_TOTALS}, "
     + _report(_POSITIVE, _THIRTY_NAMES, 100, 2, digits=_THIRTY_DIGITS),
-    "kpi_by_platform": _by({"platform": _CANON}),
+    "kpi_by_platform": _by({"platform": "platform"}, _NAMED_ADS),
     "kpi_by_country_device": _by({"country": "country", "device": "device"}),
     "kpi_summary": f"WITH {_ADS}, {_rolling(30)}, {_TOTALS}, "
     + _report(
@@ -256,8 +283,8 @@ FROM dirty WHERE reason IS NULL GROUP BY date, platform""",
 SELECT CASE WHEN date BETWEEN c0 AND c1 THEN 'last' WHEN date BETWEEN p0 AND p1 THEN 'prev' END AS period,
   count(*) AS ads
 FROM ads, win GROUP BY 1""",
-    "canonical_platforms": f"""WITH {_ADS}
-SELECT platform AS raw, {_CANON} AS platform, count(*) AS ads FROM ads GROUP BY ALL""",
+    "canonical_platforms": f"""WITH {_NAMED_ADS}
+SELECT raw, platform, count(*) AS ads FROM ads GROUP BY ALL""",
     "capitalised_text": f"SELECT o_orderkey, {_initcap('o_orderpriority')} AS priority FROM orders",
     "parsed_dates": """SELECT o_orderkey,
   CASE WHEN o_orderkey % 4 < 3 THEN CAST(o_orderdate AS DATE) END AS day
@@ -273,3 +300,91 @@ FROM orders""",
 ), {_explicit("top - 29", "top")}, {_TOTALS}, {_report(_NONZERO, _METRIC_NAMES, 100, 2)}""",
 }
 ORACLE["kpi_summary_view"] = ORACLE["kpi_summary"]
+
+# ---- cases that the tables do not hold as they are -------------------------------------------
+
+_TIES = """ads AS (
+  SELECT CASE WHEN l_linenumber % 2 = 0 THEN DATE '2001-06-30' ELSE DATE '2001-05-31' END AS date,
+    CAST(l_orderkey AS VARCHAR) AS campaign, l_extendedprice AS spend, 1 AS conversions
+  FROM lineitem
+)"""
+ORACLE["kpi_by_rounding_ties"] = _by({"campaign": "campaign"}, _TIES)
+# A NULL key column matches nothing in the full join, as in the comparison.
+_GAPS = _NAMED_ADS.replace("AS platform\n", "AS platform_name\n") + """, gaps AS (
+  SELECT ads.* REPLACE (CASE WHEN l_suppkey % 5 = 0 THEN -spend ELSE spend END AS spend),
+    CASE WHEN l_partkey % 3 > 0 THEN platform_name END AS platform FROM ads
+)"""
+ORACLE["kpi_by_platform_gaps"] = _by({"platform": "platform"}, _GAPS).replace("FROM ads), win", "FROM gaps), win")
+ORACLE["kpi_30d_refunds"] = (
+    f"WITH {_ADS.replace('ads AS (', 'paid AS (', 1)}, ads AS (SELECT * REPLACE (-spend AS spend, "
+    f"CASE WHEN l_suppkey % 2 = 0 THEN -conversions ELSE conversions END AS conversions) FROM paid), {_rolling(30)}, {_TOTALS}, "
+    + _report(_POSITIVE, _THIRTY_NAMES, 100, 2, digits=_THIRTY_DIGITS)
+)
+ORACLE["file_provenance_unnamed"] = f"""WITH {_ADS}
+SELECT CASE WHEN l_linenumber % 3 = 0 THEN '(null)' ELSE source_file_name END AS file,
+  min(load_date) AS first_load, max(load_date) AS last_load, count(*) AS rows FROM ads GROUP BY 1"""
+# The join does not match NULLs; of several rows with one key, the one in the table has to be found first.
+ORACLE["upsert_null_keys"] = f"""WITH {_ADS.replace("ads AS (", "whole AS (", 1)}, ads AS (
+  SELECT * REPLACE (CASE WHEN l_partkey % 4 > 0 THEN platform END AS platform,
+    CASE WHEN l_partkey % 7 > 0 THEN date END AS date, CASE WHEN l_partkey % 2 = 0 THEN load_date END AS load_date) FROM whole
+), complete AS (SELECT * FROM ads WHERE platform IS NOT NULL AND date IS NOT NULL),
+incomplete AS (SELECT * FROM ads WHERE platform IS NULL OR date IS NULL),
+target AS (
+  SELECT * FROM complete WHERE l_linenumber <= 3
+  QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY load_date DESC NULLS LAST, {_POSITION}) = 1
+), incoming AS (
+  SELECT *, count(*) OVER (PARTITION BY {_KEY}) AS copies FROM complete WHERE l_linenumber >= 3
+  QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY {_POSITION}) = 1
+)
+SELECT {_FACTS} FROM target ANTI JOIN incoming USING ({_KEY})
+UNION ALL
+SELECT {_KEY}, i.spend, i.clicks, i.impressions, i.conversions,
+  CASE WHEN i.copies > 1 OR t.spend IS NOT NULL THEN TIMESTAMP '{_SECOND}' ELSE coalesce(i.load_date, TIMESTAMP '{_SECOND}') END,
+  i.source_file_name
+FROM incoming i LEFT JOIN target t USING ({_KEY})
+UNION ALL
+SELECT {_FACTS} FROM incomplete WHERE l_linenumber <= 3
+UNION ALL
+SELECT {_FACTS.replace("load_date", f"coalesce(load_date, TIMESTAMP '{_SECOND}')")} FROM incomplete WHERE l_linenumber >= 3"""
+
+# ---- many windows ----------------------------------------------------------------------------
+
+
+def _many(windows: str, out: str) -> str:
+    """``windows`` selects bounds c0 and c1 beside the columns of ``out``."""
+    report = _report(_NONZERO, _METRIC_NAMES, 100, 2, by=("c0", "c1"))
+    cells, report = report.replace("ORDER BY ALL", "").split("\n", 1)
+    return f"""WITH {_ADS}, days AS (
+  SELECT date, {_exact("true")} AS s, {_whole("true")} AS n FROM ads GROUP BY date
+), asked AS ({windows}), win AS (
+  SELECT *, c0 - CAST(c1 - c0 + 1 AS INTEGER) AS p0, c0 - 1 AS p1 FROM (SELECT DISTINCT c0, c1 FROM asked)
+), tot AS (
+  SELECT c0, c1, CAST(sum(s) FILTER (date BETWEEN c0 AND c1) AS HUGEINT) AS s1, CAST(sum(s) FILTER (date BETWEEN p0 AND p1) AS HUGEINT) AS s0,
+    CAST(sum(n) FILTER (date BETWEEN c0 AND c1) AS HUGEINT) AS n1, CAST(sum(n) FILTER (date BETWEEN p0 AND p1) AS HUGEINT) AS n0
+  FROM win LEFT JOIN days ON date BETWEEN p0 AND c1 GROUP BY c0, c1
+), {cells}, report AS ({report})
+SELECT {out}, metric, {", ".join(_METRIC_NAMES)} FROM asked JOIN report USING (c0, c1)"""
+
+
+ORACLE["metrics_many"] = _many(
+    "SELECT DISTINCT CAST(o_orderdate AS DATE) AS c0, CAST(o_orderdate AS DATE) + 6 AS c1 FROM orders", 'c0 AS "start", c1 AS "end"'
+)
+ORACLE["metrics_many_requests"] = _many(
+    """SELECT o_orderkey AS request_id,
+    CASE WHEN o_orderkey % 4 < 2 THEN CAST(o_orderdate AS DATE) ELSE top - 29 END AS c0,
+    CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 - 3 AS INTEGER)
+      WHEN 2 THEN CAST(o_orderdate AS DATE) ELSE top END AS c1
+  FROM orders, (SELECT max(date) AS top FROM ads)""",
+    "request_id",
+)
+ORACLE["live_views"] = f"""WITH {_ADS.replace("ads AS (", "every AS (", 1)}, ads AS (
+  SELECT * FROM every WHERE date < DATE '2000-07-01'
+  QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY load_date DESC NULLS LAST, {_POSITION}) = 1
+  UNION ALL
+  SELECT * FROM every WHERE date >= DATE '2000-07-01'
+  QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY {_POSITION}) = 1
+), {_rolling(30)}, {_TOTALS}, {_report(_NONZERO, _COMPACT_NAMES, 1, 4).replace("ORDER BY ALL", "").replace("SELECT metric, CASE", "SELECT metric AS name, CASE", 1)}
+UNION ALL
+SELECT country, round(max(spend / conversions) FILTER (conversions > 0), 4), round(max(conversions * CAST(100 AS DOUBLE) / spend) FILTER (spend > 0), 4),
+  CAST(count(*) AS DOUBLE), CAST(count(*) FILTER (conversions > 0) AS DOUBLE)
+FROM ads GROUP BY country"""

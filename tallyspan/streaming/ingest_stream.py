@@ -1,8 +1,9 @@
 """Ingest of files as they arrive.
 
-The table is the only state, so there is no watermark. A micro-batch that is replayed after a
-failure is recognised by the tag of its commit and not applied again. The tag names the query,
-which a new checkpoint makes anew even at a path used before.
+The table is the only state, so there is no watermark. The newest commit says which batch of each
+query came last, so one that is replayed after a failure is not applied again, and finding that out reads
+one commit however many there are. A query is known by its id, which a new checkpoint makes anew even
+at a path used before.
 """
 
 from __future__ import annotations
@@ -32,19 +33,25 @@ def ingest_stream(
     blank: str = "zero",
     clock: Callable[[], dt.datetime] = utc_now,
     rejects_path: str | None = None,
+    source: str | None = None,
+    multi_line: bool = False,
+    grain: str = "month",
 ) -> StreamingQuery:
     """Upsert every new file of ``folder`` and stop when there is none left.
 
     With ``on_error="reject"`` each micro-batch has its own folder of rejects under
     ``rejects_path``, written again if the batch is replayed.
 
+    ``source`` stands in for the name of the file, ``multi_line`` allows line breaks in quoted fields,
+    and ``grain`` counts when the first batch makes the table.
+
     Files must have exactly the ten input columns, in order; any other header fails the query.
     """
     if on_error == "reject" and not rejects_path:
         raise ValueError("on_error='reject' needs a rejects_path, or the rows would be lost")
     rows = (
         spark.readStream.schema(text_schema(list(FILE_COLUMNS)))
-        .options(**csv_options())
+        .options(**csv_options(multi_line))
         .option("maxFilesPerTrigger", max_files)
         .csv(folder)
         .select(
@@ -57,20 +64,24 @@ def ingest_stream(
         )
     )
 
+    # Made with the checkpoint, so it is there when the first batch comes, and stays.
+    known: dict[str, str] = {}
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        query_id = _query_id(batch.sparkSession, checkpoint)
+        query_id = known.get("id") or known.setdefault("id", _query_id(batch.sparkSession, checkpoint))
         tag = f"{query_id}#{batch_id}"
         if not has_tag(batch.sparkSession, table, tag):
-            aside = rejects_path and f"{rejects_path.rstrip('/')}/query={query_id}/batch={batch_id}"
             load_rows(
                 with_position(batch),
                 table,
                 clock(),
+                source,
                 on_error=on_error,
                 blank=blank,
-                rejects_path=aside,
-                rejects_mode="overwrite",
+                rejects_path=rejects_path,
+                rejects_folder=f"query={query_id}/batch={batch_id}",
                 tag=tag,
+                grain=grain,
             )
 
     return (

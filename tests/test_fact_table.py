@@ -93,6 +93,42 @@ def test_tags(spark, facts, table):
     assert ft.has_tag(spark, table, "one") and not ft.has_tag(spark, table, "two")
 
 
+def test_streams_keep_their_last_batch(spark, facts, table):
+    ft.write_snapshot(facts({}), table, tag="a#0")
+    ft.write_snapshot(facts({}), table, tag="b#4")
+    ft.write_snapshot(facts({}), table, tag="a#1")
+    assert ft.table_state(spark, table).streams == {"a": 1, "b": 4}
+    assert [ft.has_tag(spark, table, t) for t in ("a#0", "a#1", "a#2", "b#4", "c#0")] == [True, True, False, True, False]
+
+
+def test_the_cost_of_a_write_does_not_grow_with_the_commits_before_it(spark, facts, table, monkeypatch):
+    read = []
+    rows_of = ft._commit_rows
+    monkeypatch.setattr(ft, "_commit_rows", lambda *a: read.append(a[2]) or rows_of(*a))
+    monkeypatch.setattr(ft, "_newest_listed", lambda *a: pytest.fail("all commits were listed") if read[1:] else 0)
+    looks = []
+    for version in range(1, 21):
+        read.clear()
+        state = ft.table_state(spark, table)
+        assert state.version == version - 1
+        ft.commit(spark, table, state, ft.TableState(grain="month", streams={"s": version}))
+        looks.append(len(read))
+    # Looks at single commits, twice as many as the version has binary digits at most, and one that is read.
+    assert max(looks) <= 2 * 5 + 1
+    assert ft.table_state(spark, table).streams == {"s": 20}
+
+
+def test_first_commits_may_be_taken_away(spark, facts, table):
+    for i in range(4):
+        ft.write_snapshot(facts({"spend": float(i)}), table)
+    import shutil
+
+    for version in (1, 2):
+        shutil.rmtree(f"{table}/commits/version={version}")
+    assert ft.table_state(spark, table).version == 4
+    assert [r["spend"] for r in ft.read_table(spark, table).collect()] == [3.0]
+
+
 def test_grain_is_kept(spark, facts, table):
     ft.write_snapshot(facts({}), table, grain="day")
     upsert_table(table, facts({"date": D(2025, 6, 29)}, seq=True), NOW)

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspan.functions.dates import load_time, parse_date, round_to_second
+from tallyspan.functions.dates import load_time, parse_date, parse_day, round_to_second
 from tallyspan.functions.numbers import joined_amount, parse_number, ratio, split_amount
 from tallyspan.functions.text import blank_to, canon_platform, initcap_alnum
 
@@ -161,3 +161,20 @@ def test_amounts_add_up_exactly(spark):
     assert sums.selectExpr(joined_amount("w", "f")).first()[0] == 1000038931835.98
     none = df.filter("a IS NULL").selectExpr(f"sum({whole}) AS w", f"sum({fraction}) AS f")
     assert none.selectExpr(joined_amount("w", "f")).first()[0] is None
+
+
+def test_a_time_behind_a_date_must_be_one(spark):
+    texts = ["2025-06-30 ::::", "2025-06-30T", "2025-06-30 12:00", "2025-06-30T00:00:00Z", "2025-06-30 1:02:03.5 +02:00", "2025-06-30 Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    days = [r[0] for r in df.select(parse_date(F.col("t"))).collect()]
+    assert [d is not None for d in days] == [False, False, True, True, True, False]
+
+
+@pytest.mark.parametrize("text", ["2025/06/01", "6/1/2025", "2025-06-01T00:00:00Z", "20250601", " 2025-6-1 ", "06-01-2025", "x", "", "2025-6", "2025-06-01\n"])
+def test_requests_take_the_dates_that_files_take(spark, text):
+    in_files = spark.createDataFrame([(text,)], "t string").select(parse_date(F.col("t"))).first()[0]
+    try:
+        asked = parse_day(text)
+    except ValueError:
+        asked = None
+    assert asked == in_files

@@ -83,3 +83,26 @@ def test_rejected_rows_of_a_stream_are_kept(spark, tmp_path):
     run(spark, tmp_path, on_error="reject", rejects_path=str(tmp_path / "aside"))
     assert read_table(spark, str(tmp_path / "table")).count() == 1
     assert spark.read.json(str(tmp_path / "aside")).count() == 1
+
+
+def test_grain_source_and_line_breaks(spark, tmp_path):
+    put(tmp_path / "in", "one.csv", ROW.format(day=1, platform='"x\ny"', spend=1), ROW.format(day=2, platform="x", spend=2))
+    run(spark, tmp_path, multi_line=True, source="feed", grain="day")
+    table = str(tmp_path / "table")
+    assert table_state(spark, table).parts.keys() == {"2025-06-01", "2025-06-02"}
+    rows = read_table(spark, table).collect()
+    assert {r["platform"] for r in rows} == {"x\ny", "x"} and {r["source_file_name"] for r in rows} == {"feed"}
+
+
+def test_a_batch_reads_one_commit_however_many_there_are(spark, tmp_path, monkeypatch):
+    from tallyspan.sources import fact_table
+
+    for i in range(9):
+        put(tmp_path / "in", f"{i}.csv", ROW.format(day=1 + i, platform="x", spend=i))
+    collected = []
+    newest = fact_table._newest_version
+    monkeypatch.setattr(fact_table, "_newest_version", lambda *a: collected.append(newest(*a)) or collected[-1])
+    run(spark, tmp_path, max_files=1)
+    assert table_state(spark, str(tmp_path / "table")).version == 9
+    # Once to look for the tag and once to write, for each batch.
+    assert collected[:-1] == [v for v in range(9) for _ in range(2)]
