@@ -13,12 +13,13 @@ from tallyspan.functions.dates import parse_date
 from tallyspan.functions.text import canon_platform, initcap_alnum
 from tallyspan.operators import audit, kpi, many, merge, periods, rows
 from tallyspan.operators.clean import cast_typed, clean_numbers, stamp_provenance
-from tallyspan.plans.pipeline import dedupe_table, run_ingest, table_metrics, upsert_table
+from tallyspan.plans.pipeline import dedupe_table, run_ingest, table_kpi, table_metrics, upsert_table
 from tallyspan.plans.views import create_live_views, create_views
 from tallyspan.schema import FACT_COLUMNS, FILE_COLUMNS, SEQ
 from tallyspan.session import shared_folder
 from tallyspan.sinks.json_rows import metrics_json
-from tallyspan.sources.fact_table import publish_table, read_table, write_snapshot
+from tallyspan.sources import fact_table
+from tallyspan.sources.fact_table import publish_table, read_table, table_state, write_snapshot
 from tallyspan.sources.star import ads_from_events, ads_from_lineitem, text_rows_from_events
 from tallyspan.streaming.ingest_stream import ingest_stream
 
@@ -338,14 +339,46 @@ def parsed_dates(spark, sf_dir):
     return orders.select("o_orderkey", parse_date(text).alias("day"))
 
 
-def _event_files(spark, sf_dir):
-    folder = shared_folder(spark, "input")
-    text_rows_from_events(spark, sf_dir).write.options(
+def _files(rows):
+    folder = shared_folder(rows.sparkSession, "input")
+    rows.write.options(
         header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(folder)
     return folder
 
 
+def _event_files(spark, sf_dir):
+    return _files(text_rows_from_events(spark, sf_dir))
+
+
+def ingest_rejected(spark, sf_dir):
+    """What a load of faulty files stored and what it set aside, by reason."""
+    table, aside = shared_folder(spark, "table"), shared_folder(spark, "rejects")
+    files = _files(_dirty_rows(spark, sf_dir).select(*FILE_COLUMNS))
+    run_ingest(spark, files, table, batch_ts=FIRST_LOAD, on_error="reject", rejects_path=aside)
+    stored = read_table(spark, table).select(F.lit("stored").alias("reason"), "campaign")
+    rejects = spark.read.json(aside).select(F.col("_reason").alias("reason"), "campaign")
+    return stored.unionByName(rejects).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("campaign").alias("campaigns")
+    )
+
+
+def ingest_mixed_headers(spark, sf_dir):
+    """Files whose columns come in three orders, one of them with a column of its own."""
+    rows, table = text_rows_from_events(spark, sf_dir), shared_folder(spark, "table")
+    number = F.regexp_extract("campaign", r"([0-9]+)$", 1).cast("long") % 3
+    orders = [FILE_COLUMNS, (*FILE_COLUMNS[5:], *FILE_COLUMNS[:5]), ("account", *reversed(FILE_COLUMNS))]
+    files = []
+    for k, names in enumerate(orders):
+        some = rows.filter(number == k)
+        if k == 2:
+            names = ("note", *names[1:])
+            some = some.withColumn("note", F.lit("x, y"))
+        files.append(_files(some.select(*names)))
+    run_ingest(spark, files, table, batch_ts=FIRST_LOAD, source="ads_spend.csv", by_name=True)
+    return read_table(spark, table)
+
+
 def ingest_rerun(spark, sf_dir):
     """The same files ingested twice: only the load time moves."""
     files, table = _event_files(spark, sf_dir), shared_folder(spark, "table")
@@ -368,15 +401,32 @@ def ingest_streamed(spark, sf_dir):
     return read_table(spark, table).drop("source_file_name")
 
 
-def stored_metrics(spark, sf_dir):
-    """Line items stored, deduplicated in place, a batch upserted, then the default window."""
+def _stored(spark, sf_dir):
+    """Line items stored, deduplicated in place, and a batch upserted."""
     ads = _ordered(spark, sf_dir)
     table, staged = shared_folder(spark, "table"), shared_folder(spark, "staged")
     write_snapshot(ads, table)
     dedupe_table(spark, table)
     ads.filter(F.col("date") >= F.lit(BATCH_FROM)).write.parquet(staged)
     upsert_table(table, spark.read.parquet(staged), SECOND_LOAD)
-    return table_metrics(spark, table)
+    return table
+
+
+def stored_metrics(spark, sf_dir):
+    """The default window of a stored table, from its daily sums."""
+    return table_metrics(spark, _stored(spark, sf_dir))
+
+
+def stored_kpi_by_platform(spark, sf_dir):
+    """Platforms of a stored table, from its daily sums."""
+    return table_kpi(spark, _stored(spark, sf_dir), kpi.kpi_by)
+
+
+def stored_bounds(spark, sf_dir):
+    """Rows and dates of a stored table, from its file footers."""
+    table = _stored(spark, sf_dir)
+    state = table_state(spark, table)
+    return fact_table.stored_bounds(spark, table, state, state.parts)
 
 
 QUERIES: dict[str, Query] = {
@@ -422,7 +472,11 @@ QUERIES: dict[str, Query] = {
         parsed_dates,
         ingest_rerun,
         ingest_metrics,
+        ingest_rejected,
+        ingest_mixed_headers,
         ingest_streamed,
         stored_metrics,
+        stored_kpi_by_platform,
+        stored_bounds,
     )
 }

@@ -388,3 +388,21 @@ UNION ALL
 SELECT country, round(max(spend / conversions) FILTER (conversions > 0), 4), round(max(conversions * CAST(100 AS DOUBLE) / spend) FILTER (spend > 0), 4),
   CAST(count(*) AS DOUBLE), CAST(count(*) FILTER (conversions > 0) AS DOUBLE)
 FROM ads GROUP BY country"""
+
+# ---- stored tables ---------------------------------------------------------------------------
+
+_STORED = """ads AS (
+  SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {position}) = 1
+)"""
+ORACLE["stored_kpi_by_platform"] = _by(
+    {"platform": "platform"},
+    _NAMED_ADS.replace("raw_ads AS (", "every AS (", 1)
+    .replace("FROM raw_ads", "FROM stored")
+    .replace("raw_ads.*", "stored.*")
+    .replace(f", {_SPELLINGS}", ", " + _STORED.format(key=_KEY, position=_POSITION).replace("ads AS", "stored AS", 1) + f", {_SPELLINGS}"),
+)
+ORACLE["stored_bounds"] = f"""WITH {_ADS.replace("ads AS (", "every AS (", 1)}, {_STORED.format(key=_KEY, position=_POSITION)}
+SELECT count(*) AS rows, min(date) AS oldest, max(date) AS newest FROM ads"""
+ORACLE["ingest_rejected"] = f"""WITH {_DIRTY}
+SELECT coalesce(reason, 'stored') AS reason, count(*) AS rows, count(DISTINCT event_id) AS campaigns FROM dirty GROUP BY 1"""
+ORACLE["ingest_mixed_headers"] = _event_rows(_FIRST)

@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
@@ -142,7 +142,7 @@ def table_rows(spark: SparkSession, path: str, state: TableState | None = None)
 
 
 def stored_bounds(
-    spark: SparkSession, path: str, state: TableState, parts: Iterable[str]
+    spark: SparkSession, path: str, state: TableState, parts: Collection[str]
 ) -> DataFrame:
     """``rows``, ``oldest`` and ``newest`` of some parts. No row is read: the counts and bounds that Parquet
     keeps in each file's footer are enough, and Spark's newer file reader takes aggregates from there. A
@@ -151,9 +151,15 @@ def stored_bounds(
     older = footers.conf.get("spark.sql.sources.useV1SourceList").split(",")
     footers.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in older if s != "parquet"))
     footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    return _scan(footers, path, state, parts).agg(
-        F.count(F.lit(1)).alias("rows"), F.min("date").alias("oldest"), F.max("date").alias("newest")
-    )
+    rows, none = F.count(F.lit(1)).alias("rows"), F.lit(None).cast("date")
+    dated = _scan(footers, path, state, [p for p in parts if p != NO_DATE])
+    bounds = dated.agg(rows, F.min("date").alias("oldest"), F.max("date").alias("newest"))
+    if NO_DATE in parts:
+        # A file without any date has no bounds, and must not be asked for them.
+        undated = _scan(footers, path, state, [NO_DATE])
+        bounds = bounds.unionByName(undated.agg(rows).select("rows", none.alias("oldest"), none.alias("newest")))
+        bounds = bounds.agg(F.sum("rows").alias("rows"), F.min("oldest").alias("oldest"), F.max("newest").alias("newest"))
+    return bounds
 
 
 def daily_sums(
