@@ -2,8 +2,11 @@
 
 The pre-tokenizer's split depends on character classes only, so it is found by array operations;
 each distinct piece is encoded once by the library and its ids are kept in a bounded cache of the
-worker process. Texts with characters outside the checked range, or with the text of a special
-token, go to the library whole, and so does any text whose ids do not decode to its bytes.
+worker process. New pieces go to the library some hundred at a time, a line feed between each two:
+it is always a piece of its own before something that is no white space, so the ids between two line feeds
+are those of one piece. Pieces are found in the cache by hash and then compared byte for byte, and a piece's
+ids are decoded when it is learnt. Texts with characters outside the checked range, or with the text of a
+special token, go to the library whole, and so does any text with a piece that fails one of the comparisons.
 """
 
 from __future__ import annotations
@@ -16,8 +19,10 @@ import numpy as np
 
 from tallyspan.llm.arrays import Hasher
 
-#: Pieces kept by one worker process before it starts afresh (about 40 bytes each).
+#: Pieces kept by one worker process before it starts afresh (about 50 bytes each).
 CACHE_PIECES = 600_000
+#: New pieces that the library gets as one text.
+JOINED = 200
 
 LETTER, NUMBER, SPACE, OTHER, UNKNOWN = range(5)
 
@@ -85,7 +90,7 @@ def pieces(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     last[:-1] = (before == SPACE) & (here != SPACE) & ~first[1:-1]
     start |= last
     start |= first[:-1]
-    # contractions: an apostrophe that begins a piece
+    # contractions (fixed values): an apostrophe that begins a piece, then s, t, m or d, or re, ve or ll
     quote = np.flatnonzero(points == 39)
     if quote.size:
         prior = np.maximum(quote - 1, 0)
@@ -121,63 +126,101 @@ class Codec:
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.token_bytes = _token_bytes(self.tokenizer)
         self.decimals = [str(i) for i in range(len(self.token_bytes))]
+        self.line_feed = self.token_bytes.index(b"\n") if b"\n" in self.token_bytes else -1
         self.clear()
 
     def clear(self) -> None:
-        self._keys = np.zeros(0, np.uint64)  # sorted hashes of the pieces
-        self._places = np.zeros(0, np.int64)  # where each one's ids start
-        self._sizes = np.zeros(0, np.int64)
-        self._ids = np.zeros(0, np.uint32)
+        none = np.zeros(0, np.uint64), np.zeros((0, 4), np.int64)
+        # Sorted hashes of pieces, and for each the place and number of its ids, and of its bytes. What was learnt
+        # lately stands apart, so that learning little does not move much.
+        self._old, self._new = none, none
+        self._ids, self._bytes = _Growing(np.uint32), _Growing(np.uint8)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        if len(self._keys) + len(keys) > CACHE_PIECES:
-            self.clear()
-        found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-        places = len(self._ids) + np.cumsum(sizes) - sizes
-        all_keys = np.concatenate((self._keys, keys))
-        order = np.argsort(all_keys, kind="stable")
-        self._keys = all_keys[order]
-        self._places = np.concatenate((self._places, places))[order]
-        self._sizes = np.concatenate((self._sizes, sizes))[order]
-        self._ids = np.concatenate((self._ids, flat))
+    def _encode_pieces(self, pieces: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of each piece, and which pieces they do not decode to."""
+        texts = [p.decode("utf-8", "replace") for p in pieces]
+        order = [k for k, t in enumerate(texts) if not t.isspace()]
+        alone = [k for k, t in enumerate(texts) if t.isspace()]
+        found: list[np.ndarray | None] = [None] * len(pieces)
+        wrong = np.zeros(len(pieces), bool)
+        groups = [order[k : k + JOINED] for k in range(0, len(order), JOINED)]
+        made = self.tokenizer.encode_batch_fast(["\n".join([texts[k] for k in g]) for g in groups], add_special_tokens=False)
+        for group, encoded in zip(groups, made, strict=True):
+            ids = np.array(encoded.ids, np.uint32)
+            cuts = np.flatnonzero(ids == self.line_feed)
+            if len(cuts) != len(group) - 1 or self.decode(encoded.ids) != b"\n".join([pieces[k] for k in group]):
+                alone += group
+                continue
+            begins = np.concatenate(([0], cuts + 1)).tolist()
+            for k, a, b in zip(group, begins, [*cuts.tolist(), len(ids)], strict=True):
+                found[k] = ids[a:b]
+        for k, encoded in zip(alone, self.tokenizer.encode_batch_fast([texts[k] for k in alone], add_special_tokens=False), strict=True):
+            found[k] = np.array(encoded.ids, np.uint32)
+            wrong[k] = self.decode(encoded.ids) != pieces[k]
+        return found, wrong
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        """``keys`` are sorted and not known yet."""
+        found, wrong = self._encode_pieces(pieces)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        rows = np.empty((len(keys), 4), np.int64)
+        rows[:, 0] = self._ids.add(np.concatenate(found)) + np.cumsum(counts) - counts
+        rows[:, 1] = counts
+        rows[:, 2] = self._bytes.add(np.frombuffer(b"".join(pieces), np.uint8)) + np.cumsum(sizes) - sizes
+        # a size that no piece has, for a piece that is not to be found equal to any
+        rows[:, 3] = np.where(wrong, -1, sizes)
+        self._new = _merged(self._new, (keys, rows))
+        if len(self._new[0]) * 4 > len(self._old[0]):
+            self._old, self._new = _merged(self._old, self._new), (self._new[0][:0], self._new[1][:0])
 
     def _lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self._keys, keys)
-        at[at == len(self._keys)] = 0
-        return at, self._keys[at] == keys if len(self._keys) else np.zeros(len(keys), bool)
+        """The cache's rows of the keys, and which of them there are."""
+        rows, known = np.zeros((len(keys), 4), np.int64), np.zeros(len(keys), bool)
+        for have, stored in (self._old, self._new):
+            if len(have):
+                at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+                here = have[at] == keys
+                rows[here] = stored[at[here]]
+                known |= here
+        return rows, known
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> Encoded:
         starts, odd = pieces(buf, offsets)
+        raw = buf.tobytes()
         for special in self.specials:
-            if (raw := bytes(buf)).find(special) >= 0:
+            if raw.find(special) >= 0:
                 for d in range(len(offsets) - 1):
                     odd[d] |= raw.find(special, offsets[d], offsets[d + 1]) >= 0
+        if not len(starts):
+            return Encoded(self, buf, offsets, starts, np.zeros(1, np.int64), np.zeros(0, np.uint32), odd)
         ends = np.append(starts[1:], len(buf))
-        if len(starts):
-            ends[-1] = len(buf)
-        keys = Hasher(buf).spans(starts, ends) if len(starts) else np.zeros(0, np.uint64)
-        distinct, sample, which = np.unique(keys, return_index=True, return_inverse=True)
-        _, known = self._lookup(distinct) if len(self._keys) else (None, np.zeros(len(distinct), bool))
-        new = np.flatnonzero(~known)
-        if new.size:
-            if len(self._keys) + len(new) > CACHE_PIECES:
+        distinct, sample, which = np.unique(Hasher(buf).spans(starts, ends), return_index=True, return_inverse=True)
+        rows, known = self._lookup(distinct)
+        if not known.all():
+            if len(self._old[0]) + len(self._new[0]) + int((~known).sum()) > CACHE_PIECES:
                 self.clear()
-                new = np.arange(len(distinct))
-            text = [bytes(buf[s:e]).decode("utf-8", "replace") for s, e in zip(starts[sample[new]], ends[sample[new]], strict=True)]
-            self._learn(distinct[new], text)
-        at, _ = self._lookup(distinct) if len(distinct) else (np.zeros(0, np.int64), None)
-        sizes = self._sizes[at][which] if len(at) else np.zeros(0, np.int64)
-        places = self._places[at][which] if len(at) else np.zeros(0, np.int64)
-        token_ends = np.cumsum(sizes)
-        total = int(token_ends[-1]) if len(sizes) else 0
-        pick = np.arange(total) + np.repeat(places - (token_ends - sizes), sizes)
-        flat = self._ids[pick] if total else np.zeros(0, np.uint32)
-        return Encoded(self, buf, offsets, starts, np.concatenate(([0], token_ends)), flat, odd)
+                known[:] = False
+            new = np.flatnonzero(~known)
+            bounds = zip(starts[sample[new]].tolist(), ends[sample[new]].tolist(), strict=True)
+            self._learn(distinct[new], [raw[s:e] for s, e in bounds])
+            rows, _ = self._lookup(distinct)
+        places, counts, at, sizes = rows[which].T
+        token_ends = np.cumsum(counts)
+        pick = np.arange(int(token_ends[-1])) + np.repeat(places - (token_ends - counts), counts)
+        # every piece is the stored one, byte for byte
+        lengths = ends - starts
+        same = sizes == lengths
+        source = np.repeat(np.where(same, at, 0) - starts, lengths) + np.arange(len(buf))
+        stored = self._bytes.taken(np.minimum(source, self._bytes.size - 1) if not same.all() else source)
+        if not same.all() or not np.array_equal(stored, buf):
+            differs = np.add.reduceat((stored != buf).astype(np.int32), starts) > 0
+            wrong = starts[differs | ~same]
+            odd[np.searchsorted(offsets, wrong, "right") - 1] = True
+        return Encoded(self, buf, offsets, starts, np.concatenate(([0], token_ends)), self._ids.taken(pick), odd)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
@@ -194,15 +237,42 @@ class Encoded:
     def text(self, d: int) -> bytes:
         return self.buf[self.offsets[d] : self.offsets[d + 1]].tobytes()
 
+    def array(self, d: int) -> np.ndarray:
+        """Ids of one text."""
+        if self.odd[d]:
+            return self.codec.whole(self.text(d).decode("utf-8", "replace"))
+        return self.flat[self.tokens[self.first[d]] : self.tokens[self.first[d + 1]]]
+
     def ids(self, d: int) -> tuple[list[int], bytes]:
         """Ids of one text, and the bytes they decode to."""
-        text = self.text(d)
-        if not self.odd[d]:
-            ids = self.flat[self.tokens[self.first[d]] : self.tokens[self.first[d + 1]]].tolist()
-            if (back := self.codec.decode(ids)) == text:
-                return ids, back
-        ids = self.codec.whole(text.decode("utf-8", "replace")).tolist()
-        return ids, decoded(self.codec, ids)
+        ids = self.array(d).tolist()
+        return ids, decoded(self.codec, ids) if self.odd[d] else self.text(d)
+
+
+class _Growing:
+    """An array that is added to, with room for more than it holds."""
+
+    def __init__(self, kind):
+        self._values, self.size = np.zeros(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> int:
+        """Where the values begin."""
+        begin, self.size = self.size, self.size + len(values)
+        if self.size > len(self._values):
+            room = np.empty(max(self.size, len(self._values) * 3 // 2), self._values.dtype)
+            room[:begin] = self._values[:begin]
+            self._values = room
+        self._values[begin : self.size] = values
+        return begin
+
+    def taken(self, at: np.ndarray) -> np.ndarray:
+        return self._values[at]
+
+
+def _merged(a: tuple, b: tuple) -> tuple:
+    """Two tables of sorted keys and their rows as one."""
+    at = np.searchsorted(a[0], b[0])
+    return np.insert(a[0], at, b[0]), np.insert(a[1], at, b[1], axis=0)
 
 
 def decoded(codec: Codec, ids: list[int]) -> bytes:

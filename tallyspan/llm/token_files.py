@@ -35,7 +35,8 @@ from tallyspan.session import shared_folder
 
 MAGIC = b"TALLYTOK"
 END_ID = 2
-#: The dictionary: its size, how many documents it is trained on, and the ids taken of each.
+#: The dictionary: its size, how many documents it is trained on, and the ids taken of each, from a place
+#: in the text that its hash gives.
 DICTIONARY_BYTES = 32 << 10
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_IDS = 2048
@@ -60,7 +61,9 @@ def train_dictionary(documents: DataFrame, path: str) -> bytes:
     key = F.xxhash64("doc_id")
     chosen = documents.select(key.alias("_key")).distinct().orderBy("_key").limit(SAMPLE_DOCUMENTS)
     some = documents.withColumn("_key", key).join(F.broadcast(chosen), "_key", "left_semi")
-    some = some.select(F.substring("text", 1, 8 * SAMPLE_IDS).alias("text")).limit(SAMPLE_DOCUMENTS)
+    # from anywhere in the text, as its beginning need not be like the rest
+    begin = F.pmod(F.xxhash64("doc_id", "text"), F.greatest(F.length("text") - 8 * SAMPLE_IDS + 1, F.lit(1)))
+    some = some.select(F.substr("text", (begin + 1).cast("int"), F.lit(8 * SAMPLE_IDS)).alias("text")).limit(SAMPLE_DOCUMENTS)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, samples = bpe.codec(path), []
@@ -107,9 +110,8 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer_path: str | N
             for a, _, buf, offsets in slices(batch.column(1)):
                 encoded = codec.encode(buf, offsets)
                 for d in range(len(offsets) - 1):
-                    ids = encoded.ids(d)[0]
-                    ids.append(END_ID)
-                    packed = compressor.compress(np.array(ids, "<u4").tobytes())
+                    ids = np.append(encoded.array(d), END_ID).astype("<u4")
+                    packed = compressor.compress(ids.tobytes())
                     doc_id = doc_ids[a + d]
                     entries.append((doc_id or 0, doc_id is not None, size, len(ids), start))
                     payloads.append(packed)
