@@ -26,6 +26,7 @@ table gives files without records; further columns are not read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -275,8 +276,9 @@ def warc_record(
     return "\r\n".join(lines).encode() + separator + block
 
 
-def write_warc(records: DataFrame, folder: str) -> None:
-    """Writes the records to WARC files under ``folder``, revisits without their payload. ``records`` should be stored."""
+def write_warc(records: DataFrame, folder: str, compression: str = "gzip") -> None:
+    """Writes the records to WARC files under ``folder``, revisits without their payload; ``compression`` is ``gzip`` or
+    ``none``. ``records`` should be stored."""
     revisits = find_revisits(records)
     small = revisits.limit(BROADCAST_REVISITS + 1).count() <= BROADCAST_REVISITS
     joined = records.join(F.broadcast(revisits) if small else revisits, "record_id", "left")
@@ -294,11 +296,13 @@ def write_warc(records: DataFrame, folder: str) -> None:
 
     columns = ("record_id", "kind", "info_id", "url", "ip", "date", "head", "payload", "digest", "refers_to")
     made = map_arrow(joined.select(*columns), run, "content binary")
-    made.select(F.col("content").cast("string")).write.option("lineSep", _SEPARATOR).text(folder)
+    made.select(F.col("content").cast("string")).write.option("lineSep", _SEPARATOR).text(folder, compression=compression)
 
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record."""
+    """Headers and block of each record of a file, compressed or not."""
+    if content[:2] == b"\x1f\x8b":
+        content = gzip.decompress(content)
     at, separator = 0, _SEPARATOR.encode()
     while at < len(content):
         end = content.index(separator, at)

@@ -70,12 +70,14 @@ def test_damage_in_a_table_of_archives(spark):
         arc_warc.read_arc(arcs, on_damage="ignore")
 
 
-def test_what_a_warc_file_holds(spark, tmp_path):
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_what_a_warc_file_holds(spark, tmp_path, compression):
     pages = spark.createDataFrame([(1, "http://x/", "<p>a</p>"), (2, "http://y/", "<p>a</p>")], "page_id long, url string, html string").coalesce(1)
     arcs = arc_warc.pages_to_arc(pages)
-    arc_warc.write_warc(arc_warc.staged(arc_warc.read_arc(arcs), "test"), str(tmp_path / "w"))
-    content = b"".join(f.read_bytes() for f in sorted((tmp_path / "w").glob("part-*")))
-    records = list(arc_warc.parse_warc(content))
+    arc_warc.write_warc(arc_warc.staged(arc_warc.read_arc(arcs), "test"), str(tmp_path / "w"), compression)
+    files = [f.read_bytes() for f in sorted((tmp_path / "w").glob("part-*"))]
+    records = [r for content in files for r in arc_warc.parse_warc(content)]
+    assert all((f[:2] == b"\x1f\x8b") == (compression == "gzip") for f in files)
     info, one, two = (h for h, _ in records)
     assert [h["WARC-Type"] for h in (info, one, two)] == ["warcinfo", "revisit", "response"]
     assert info["WARC-Filename"].endswith(".arc") and records[0][1].startswith(b"1 0 tallyspan\n")
