@@ -1,25 +1,34 @@
-"""Operator 1: toxicity by two class-conditional Kneser-Ney models.
-
-The models spell words: they give the probability of each of the first ``LONGEST`` bytes of a word after all bytes of the word so far,
-and of each later one after the last ``SLIDING`` bytes, over lower-cased letters with all else as one space. Bytes of other
-scripts are letters; a long word or run is spelled to its end, and weighed in units of ``UNIT`` bytes. Each class has its own discounted counts;
-what the discounts free goes to one shared distribution after the same bytes, counted over *all*
-documents, whose own discounts go to Kneser-Ney continuation counts of the last two bytes. An
-expression that is rare in a class is thus smoothed by what all documents say, and speaks for
-neither. Documents are compared by length-normalised differences of the log-likelihoods: of the whole text, of
-its most toxic word, and of what its words exceed ``WORD_FLOOR`` by. A logistic curve over these and the
-length, fitted on labelled rows the counts do not know, makes them a score.
-
-Of the labelled rows that may be learned from, one fold, in it at most ``CURVE_ROWS`` with the
-least hash of their id, fits the curve, and the others give the class counts.
-Counts are a table with a row for each different word, from which one with a row for each different spelling step
-is made (keyed by 64-bit hashes of its bytes); both grow with the corpus, and discounts, totals and
-continuation counts are aggregations of it. Each word's log ratios are added up by a join. The values of the
-most frequent words, ``BROADCAST_ROWS`` at most, are broadcast; all others are joined to the documents.
-
-Defined cases: a null or empty text has both differences 0 and gets the score the curve gives there; without
-labels of both classes every score is 0; rows with a null id are not held out and never learned
-from; an empty table gives an empty result.
+"""Operator 1: toxicity by class-conditional Kneser-Ney models.
+
+**Models.** A text is lower-cased, with white space as single spaces; digits, marks and the bytes of all scripts stay. Two
+kinds of event are counted. *Spelling*: each byte of a word, and the space after it, follows the up to ``CONTEXT``
+bytes before it back to the space before the word. *Junction*: the first two bytes of a word follow the last three of the
+word before, so that an expression of several words has a probability too. An event is the exact bytes, packed into
+one integer; nothing is hashed.
+
+The shared model is interpolated Kneser-Ney over *all* documents: an order's discounts go to the next lower one, a byte
+at a time, down to single bytes; lower orders count how many different bytes stand before an event, or how often it is there if
+it begins with the space before a word, as nothing else can. Each class has discounted counts of its own at the full context, and what
+its discounts free goes to the shared probabilities, with a weight of ``SHARED_WEIGHT`` observations: an
+expression that is rare in a class is smoothed by what all documents say, and speaks for neither class.
+
+**Score.** The difference of the two log-likelihoods, taken over the whole text and divided by its length, is compared with
+zero; so are, per word, the difference of the most toxic word and what words exceed ``WORD_FLOOR`` by, and the same of
+junctions. A logistic curve over these and the length, fitted on labelled rows that the class counts do not know, makes them one
+score.
+
+**Plan.** Events are counted within a task over many texts before they are shuffled, so a third of all rows from one source
+shuffle as little as any other. The orders are made from the table of events by aggregations and joins of at most 256 rows
+a key. What the models gather is as many rows as the corpus has different events. To score, the log ratios are
+broadcast in slices of at most ``SLICE`` rows, one slice at a time; a pass over the texts adds up each word's ratios of a
+slice. With more than one slice the sums of words are stored and added up text by text.
+
+Of the labelled rows that may be learned from, one fold, in it at most ``CURVE_ROWS`` with the least hash of
+their id, fits the curve, and all others give the class counts.
+
+Defined cases: a null or empty text has differences of 0 and gets the score the curve gives there; without
+labels of both classes there is nothing to tell them apart by, and every score is 0; rows with a null id are not held out and never learned
+from; further columns stay in :func:`drop_toxic` and may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,36 +48,42 @@ from tallyspan.llm.staging import bounded_batches, map_arrow, staged
 FOLDS = 5
 HELD_OUT = 0
 CURVE_FOLD = 4
-#: Bytes of a word, the space included, that are spelled after all before them, and after how many the later ones are.
-LONGEST, SLIDING = 10, 6
+#: Bytes that a spelled byte is given after, at most; with it they fill seven bytes of an integer.
+CONTEXT = 6
 #: Bytes of a word, or of a run in a script without spaces, that are weighed as one.
 UNIT = 30
-#: Spaces put around each text.
-PAD = 3
-#: Units whose steps are made at once.
-UNITS_A_BATCH = 1 << 14
-#: Rows that a broadcast may hold at most; what is more is joined.
-BROADCAST_ROWS = 1 << 20
+#: Spaces put around each text: a junction looks back over the space and three bytes more.
+PAD = 4
+#: Marks the events of junctions.
+JUNCTION = 1 << 56
+#: Different events that a task holds before it hands them on.
+HELD_EVENTS = 1 << 21
+#: Tasks of the counting pass are made of so many splits, as events repeat the more the longer a task reads.
+SPLITS_A_TASK = 4
+#: Log ratios that are broadcast at once (12 bytes each).
+SLICE = 1 << 22
 #: Log ratios are kept in whole parts of a nat: their sums do not depend on the order of rows.
-NAT = 1 << 24
+NAT = 1 << 20
 #: How many observations the shared distribution weighs in a class.
-SHARED_WEIGHT = 30
+SHARED_WEIGHT = 100
 #: Nats that a word must exceed to add to a text's evidence.
 WORD_FLOOR = 1.5
 FLOOR = int(WORD_FLOOR * NAT)
 #: Bytes and words added to a text's length before a difference is divided by it.
 BYTE_PRIOR, WORD_PRIOR = 50, 10
 CURVE_ROWS = 20_000
-SCORE = "_toxicity_score"
 
-_LETTERS = np.full(256, 32, np.uint8)
-_LETTERS[97:123] = _LETTERS[65:91] = np.arange(97, 123)
-_LETTERS[128:] = np.arange(128, 256)
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[:33] = _FOLD[127] = 32
+_FOLD[65:91] += 32
+
+
+# ---- events -----------------------------------------------------------------------------------
 
 
 def normal(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Letters in lower case (Latin-1 letters too), all else single spaces; spaces around each text."""
-    out = _LETTERS[buf]
+    """Lower case (Latin-1 letters too), white space as single spaces; spaces around each text."""
+    out = _FOLD[buf]
     accents = np.flatnonzero((buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E)) + 1
     out[accents] += 0x20
     keep = np.ones(len(out), bool)
@@ -91,69 +106,107 @@ def units(buf: np.ndarray, offsets: np.ndarray) -> tuple:
     parts = (after - start) // UNIT + 1
     word = np.repeat(np.arange(len(start)), parts)
     first = start[word] + UNIT * (np.arange(len(word)) - np.repeat(np.cumsum(parts) - parts, parts))
-    begin, end = np.maximum(first - SLIDING, start[word] - 1), np.minimum(first + UNIT, after[word] + 1)
+    begin, end = np.maximum(first - CONTEXT, start[word] - 1), np.minimum(first + UNIT, after[word] + 1)
     unit = mix(Hasher(out).spans(begin, end) + (first - begin).astype(np.uint64))
     return out, places, (np.searchsorted(places, start, "right") - 1)[word], begin, first, end, unit
 
 
-def steps(column: pa.Array, lead: np.ndarray) -> tuple:
-    """The spelling steps of units: the unit's row, hashes of the bytes before with and without the byte, the last three bytes."""
-    (_, _, buf, offsets), = slices(column, 1 << 40)
-    count = np.diff(offsets) - lead
+def spelled(out: np.ndarray, begin: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spelling events of units: the unit's number, and the bytes. ``begin`` is the space before the word, or
+    ``CONTEXT`` bytes before ``first``."""
+    count = end - first
     row = np.repeat(np.arange(len(count)), count)
-    at = np.arange(len(row)) + np.repeat(offsets[:-1] + lead - (np.cumsum(count) - count), count)
-    begin = offsets[:-1][row]
-    begin = np.where((buf[begin] == 32) & (at - begin <= LONGEST), begin, at - SLIDING)
-    hashes = Hasher(buf)
-    wide = buf.astype(np.int32)
-    third = np.where(at - 2 >= offsets[:-1][row], wide[np.maximum(at - 2, 0)], 32)
-    return row, hashes.spans(begin, at + 1), hashes.spans(begin, at), (third << 16) | (wide[at - 1] << 8) | wide[at]
-
-
-_UNITS = "unit long, lead int, word binary, ordinary long, toxic long, every long"
+    at = np.arange(len(row)) + np.repeat(first - (np.cumsum(count) - count), count)
+    depth = at - begin[row]
+    event = out[at].astype(np.uint64)
+    for k in range(1, CONTEXT + 1):
+        inside = depth >= k
+        byte = np.where(inside, out[at - np.minimum(k, depth)], 0)
+        event |= byte.astype(np.uint64) << np.uint64(8 * k)
+    return row, event
+
+
+def junctions(out: np.ndarray, begin: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The junction events: the units that begin a word, and three bytes before its space with its first two."""
+    which = np.flatnonzero(out[first - 1] == 32)
+    at = first[which]
+    event = np.full(len(at), JUNCTION, np.uint64)
+    for k, step in enumerate((1, 0, -2, -3, -4)):
+        event |= out[at + step].astype(np.uint64) << np.uint64(8 * k)
+    return which, event
+
+
+class _Counts:
+    """Counts of events by class, gathered over many slices."""
+
+    def __init__(self):
+        self.events, self.counts, self.more = np.zeros(0, np.uint64), np.zeros((0, 3), np.int64), []
+
+    def add(self, events: np.ndarray, kinds: np.ndarray) -> None:
+        tagged, n = np.unique((events << np.uint64(2)) | kinds.astype(np.uint64), return_counts=True)
+        self.more.append((tagged, n))
+        if sum(len(t) for t, _ in self.more) > HELD_EVENTS // 2:
+            self._settle()
+
+    def _settle(self) -> None:
+        if not self.more:
+            return
+        tagged = np.concatenate([t for t, _ in self.more])
+        counts = np.zeros((len(tagged), 3), np.int64)
+        counts[np.arange(len(tagged)), (tagged & np.uint64(3)).astype(np.int64)] = np.concatenate([n for _, n in self.more])
+        events = np.concatenate((self.events, tagged >> np.uint64(2)))
+        counts = np.concatenate((self.counts, counts))
+        order = np.argsort(events, kind="stable")
+        events, counts = events[order], counts[order]
+        first = np.flatnonzero(np.concatenate(([True], events[1:] != events[:-1])))
+        self.events, self.counts, self.more = events[first], np.add.reduceat(counts, first, axis=0), []
+
+    def taken(self, at_least: int) -> Iterator[pa.RecordBatch]:
+        self._settle()
+        if len(self.events) < at_least:
+            return
+        for k in range(0, len(self.events), 1 << 16):
+            some = slice(k, k + (1 << 16))
+            columns = [self.events[some].view(np.int64), *self.counts[some].T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["event", "ordinary", "toxic", "every"])
+        self.events, self.counts = self.events[:0], self.counts[:0]
+
+
+_EVENTS = "event long, ordinary long, toxic long, every long"
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of ``text, class``: how often each unit is in class 0, in class 1, and in class 2, slice by slice."""
+    """Of ``text, class``: how often each event is in class 0, in class 1, and in class 2."""
+    held = _Counts()
     for batch in batches:
         kinds = batch.column(1).to_numpy(zero_copy_only=False)
         for first, last, buf, offsets in slices(batch.column(0)):
-            out, _, text, begin, spelled, end, unit = units(buf, offsets)
-            found, one, which = np.unique(unit, return_index=True, return_inverse=True)
-            counts = np.bincount(kinds[first:last][text] * len(found) + which, minlength=3 * len(found)).reshape(3, -1)
-            size = (end - begin)[one]
-            bounds = np.concatenate(([0], np.cumsum(size)))
-            data = out[np.arange(bounds[-1]) + np.repeat(begin[one] - bounds[:-1], size)]
-            words = pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
-            columns = [pa.array(found.view(np.int64)), pa.array((spelled - begin)[one].astype(np.int32)), words, *map(pa.array, counts)]
-            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _UNITS.split(", ")])
+            out, _, text, begin, spelt, end, _ = units(buf, offsets)
+            if not len(text):
+                continue
+            kind = kinds[first:last][text]
+            row, event = spelled(out, begin, spelt, end)
+            held.add(event, kind[row])
+            which, event = junctions(out, begin, spelt)
+            held.add(event, kind[which])
+        if len(held.events) >= HELD_EVENTS:
+            yield from held.taken(1)
+    yield from held.taken(1)
 
 
 def gather(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """How often each unit is in all documents, and in the learnable ones of each class."""
+    """How often each event is in all documents, and in the learnable ones of each class."""
     learn = with_label(documents, labels, "toxic").withColumn("_fold", fold("doc_id", FOLDS))
     learn = learn.where(~F.col("_fold").isin(HELD_OUT, CURVE_FOLD)).select("text", "label")
     every = documents.select(F.col("text").cast("string").alias("text"), F.lit(2).alias("label"))
-    counted = map_arrow(every, _count_batches, _UNITS).unionByName(map_arrow(learn, _count_batches, _UNITS))
-    return counted.groupBy("unit", "lead", "word").agg(*(F.sum(c).alias(c) for c in ("ordinary", "toxic", "every")))
+    splits = every.rdd.getNumPartitions()
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    fewer = min(splits, max(2 * cores, -(-splits // SPLITS_A_TASK)))
+    rows = map_arrow(every.coalesce(fewer), _count_batches, _EVENTS).unionByName(map_arrow(learn.coalesce(fewer), _count_batches, _EVENTS))
+    return rows.groupBy("event").agg(*(F.sum(c).alias(c) for c in ("ordinary", "toxic", "every")))
 
 
-def step_counts(found: DataFrame) -> DataFrame:
-    """``step, context, tail, ordinary, toxic, every`` of all different spelling steps."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, UNITS_A_BATCH):
-                part = batch.slice(k, UNITS_A_BATCH)
-                row, step, context, tail = steps(part.column(0), part.column(1).to_numpy())
-                counts = (part.column(c).to_numpy()[row] for c in (2, 3, 4))
-                columns = (step.view(np.int64), context.view(np.int64), tail, *counts)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["step", "context", "tail", "ordinary", "toxic", "every"])
-
-    schema = "step long, context long, tail int, ordinary long, toxic long, every long"
-    rows = map_arrow(found.select("word", "lead", "ordinary", "toxic", "every"), run, schema)
-    rows = rows.groupBy("step", "context", "tail").agg(*(F.sum(c).alias(c) for c in ("ordinary", "toxic", "every")))
-    return rows.withColumn("every", F.greatest("every", F.col("ordinary") + F.col("toxic")))
+# ---- models -----------------------------------------------------------------------------------
 
 
 def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
@@ -164,138 +217,194 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     return [min(max(d, 0.1), k) for k, d in enumerate(found, 1)]
 
 
-def _smoothed(name: str, discounts: list[float], lower: Column, weight: float) -> Column:
+def _few(name: str) -> list[Column]:
+    """How many counts are 1 to 4."""
+    return [F.sum((F.col(name) == k).cast("long")).alias(f"{name}{k}") for k in (1, 2, 3, 4)]
+
+
+def _smoothed(name: str, discounts: list[float], lower: Column, weight: float, context: str) -> Column:
     """Discounted probabilities; what the discounts free, and ``weight``, is dealt out as in ``lower``."""
-    count, after = F.col(name), Window.partitionBy("context")
+    count, after = F.col(name), Window.partitionBy(context)
     one, two, more = discounts
     # numbers of counts are added, not fractions: sums do not depend on the order of rows
-    freed = sum((F.sum((c).cast("long")).over(after) * F.lit(d) for c, d in ((count == 1, one), (count == 2, two), (count > 2, more))), F.lit(0.0))
+    freed = sum((F.sum(c.cast("long")).over(after) * F.lit(d) for c, d in ((count == 1, one), (count == 2, two), (count > 2, more))), F.lit(0.0))
     discount = F.when(count == 0, 0.0).when(count == 1, one).when(count == 2, two).otherwise(more)
     return (F.greatest(count - discount, F.lit(0.0)) + (freed + weight) * lower) / (F.sum(count).over(after) + weight)
 
 
+def _shared(events: DataFrame, orders: list[int], last: int, purpose: str) -> DataFrame:
+    """``event, lower``: for each event the shared model's probability of its last ``last`` bytes after the order
+    below the highest one. ``orders`` are lengths of events in bytes, from the longest down."""
+    tables = [events.select("event", F.col("every").alias("n"))]
+    for length in orders[1:]:
+        # before an event that fills its bytes anything may stand; others begin at the space before a word
+        n = F.when(F.col("event") >= F.lit(1 << (8 * length)), F.lit(1).cast("long")).otherwise(F.col("n"))
+        shorter = tables[-1].select(F.col("event").bitwiseAND(F.lit((1 << (8 * length)) - 1)).alias("event"), n.alias("n"))
+        tables.append(staged(shorter.groupBy("event").agg(F.sum("n").alias("n")), f"{purpose}-{length}"))
+    known: DataFrame | None = None
+    for length, table in reversed(list(zip(orders[1:], tables[1:], strict=True))):
+        found = _discounts(*table.agg(*_few("n")).first())
+        if known is None:
+            rows = table.withColumn("lower", F.lit(1.0 / 256**last))
+        else:
+            rows = _below(table, known, length - 1)
+        # an event shorter than the order has no context here beyond the one it had in the order below
+        whole = (F.col("event") >= F.lit(1 << (8 * (length - 1)))) if known is not None else F.lit(True)
+        rows = rows.withColumn("context", F.when(whole, F.shiftrightunsigned("event", 8 * last)).otherwise(-F.col("event") - 1))
+        p = F.when(whole, _smoothed("n", found, F.col("lower"), 0.01, "context")).otherwise(F.col("lower"))
+        known = staged(rows.select("event", p.alias("p")), f"{purpose}-p{length}")
+    return _below(events, known, orders[1])
+
+
+def _below(rows: DataFrame, known: DataFrame, length: int) -> DataFrame:
+    """Adds ``lower``, the probability of each event cut to its last ``length`` bytes. At most 256 events are cut to
+    the same."""
+    end = F.col("event").bitwiseAND(F.lit((1 << (8 * length)) - 1))
+    return rows.withColumn("_end", end).join(known.select(F.col("event").alias("_end"), F.col("p").alias("lower")), "_end").drop("_end")
+
+
 def log_ratios(counts: DataFrame) -> DataFrame | None:
-    """``step, value``: log P(byte | bytes before, toxic) - log P(... | ordinary) in units of 1 / ``NAT``; None without a class."""
-    names = ("every", "ordinary", "toxic")
-    sums = [F.sum((F.col(c) == k).cast("long")).alias(f"{c}{k}") for c in names for k in (1, 2, 3, 4)]
-    found = counts.agg(*sums, F.max("ordinary").alias("o"), F.max("toxic").alias("t")).first()
+    """``event, value``: log P(toxic) - log P(ordinary) in units of 1 / ``NAT`` of each event, where it is not 0; None
+    without a class."""
+    found = counts.agg(*_few("ordinary"), *_few("toxic"), *_few("every"), F.max("ordinary").alias("o"), F.max("toxic").alias("t")).first()
     if not found["o"] or not found["t"]:
         return None
-    discounts = {c: _discounts(*(found[f"{c}{k}"] for k in (1, 2, 3, 4))) for c in names}
-    # lowest order: after how many different beginnings the last three bytes stand
-    last = Window.partitionBy(F.shiftright("tail", 8))
-    lowest = (F.greatest(F.col("kinds") - 0.5, F.lit(0.0)) + F.count(F.lit(1)).over(last) * 0.5 / 64) / F.sum("kinds").over(last)
-    tails = staged(counts.groupBy("tail").agg(F.count(F.lit(1)).alias("kinds")).select("tail", lowest.alias("lowest")), "toxicity-tails")
-    rows = counts.join(_small(tails), "tail")
-    rows = rows.select("step", "context", "ordinary", "toxic", _smoothed("every", discounts["every"], F.col("lowest"), 0.01).alias("shared"))
-    toxic, ordinary = (_smoothed(c, discounts[c], F.col("shared"), SHARED_WEIGHT) for c in ("toxic", "ordinary"))
-    return rows.select("step", F.round((F.log(toxic) - F.log(ordinary)) * NAT).cast("long").alias("value"))
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """A staged table, for a broadcast if it is small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
-def unit_values(found: DataFrame, ratios: DataFrame) -> DataFrame:
-    """``unit, value, every``: the sum of each unit's log ratios, and how often it is there."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, UNITS_A_BATCH):
-                part = batch.slice(k, UNITS_A_BATCH)
-                row, step, _, _ = steps(part.column(0), part.column(1).to_numpy())
-                columns = (part.column(2).to_numpy()[row], part.column(3).to_numpy()[row], step.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["unit", "every", "step"])
-
-    rows = map_arrow(found.select("word", "lead", "unit", "every"), run, "unit long, every long, step long")
-    return rows.join(_small(ratios), "step").groupBy("unit").agg(F.sum("value").alias("value"), F.max("every").alias("every"))
-
-
-class Words:
-    """Values of the most frequent units, for a broadcast; those of all others stay a table, ``rest``."""
-
-    def __init__(self, values: DataFrame):
-        high = F.floor(F.log2("every"))
-        level, total = 0, 0
-        for power, n in sorted(map(tuple, values.groupBy(high).count().collect()), reverse=True):
-            total += n
-            if total > BROADCAST_ROWS:
-                level = power + 1
-                break
-        top = values.where(high >= level).select("unit", "value").toArrow().sort_by("unit")
-        arrays = top.column(0).to_numpy(), top.column(1).to_numpy()
-        self.top = values.sparkSession.sparkContext.broadcast(arrays)
-        self.rest = values.where(high < level).select("unit", "value") if level else None
-
-
-def train_table(documents: DataFrame, labels: DataFrame) -> Words | None:
-    """The value of each unit; None if a class has no learnable document."""
-    found = staged(gather(documents, labels), "toxicity-units")
-    ratios = log_ratios(staged(step_counts(found), "toxicity-steps"))
-    if ratios is None:
-        return None
-    return Words(staged(unit_values(found, staged(ratios, "toxicity-ratios")), "toxicity-values"))
+    discounts = {c: _discounts(*(found[f"{c}{k}"] for k in (1, 2, 3, 4))) for c in ("every", "ordinary", "toxic")}
+    plain = F.col("event") < JUNCTION
+    parts = []
+    for some, orders, last, purpose in (
+        (counts.where(plain), list(range(CONTEXT + 1, 0, -1)), 1, "toxicity-spelling"),
+        (counts.where(~plain).withColumn("event", F.col("event") - JUNCTION), [5, 4, 3, 2], 2, "toxicity-junction"),
+    ):
+        rows = _shared(some, orders, last, purpose).withColumn("context", F.shiftrightunsigned("event", 8 * last))
+        whole = F.col("event") >= F.lit(1 << (8 * (orders[0] - 1)))
+        p = F.when(whole, _smoothed("every", discounts["every"], F.col("lower"), 0.01, "context")).otherwise(F.col("lower"))
+        shared = rows.withColumn("shared", p)
+        toxic, ordinary = (_smoothed(c, discounts[c], F.col("shared"), SHARED_WEIGHT, "context") for c in ("toxic", "ordinary"))
+        value = F.round((F.log(toxic) - F.log(ordinary)) * NAT).cast("int")
+        event = F.col("event") if last == 1 else F.col("event") + JUNCTION
+        parts.append(shared.select(event.alias("event"), value.alias("value")))
+    return parts[0].unionByName(parts[1]).where("value <> 0")
+
+
+def train_table(documents: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """The stored log ratios; None if a class has no learnable document."""
+    counts = staged(gather(documents, labels), "toxicity-events")
+    ratios = log_ratios(counts.withColumn("every", F.greatest("every", F.col("ordinary") + F.col("toxic"))))
+    return None if ratios is None else staged(ratios, "toxicity-ratios")
+
+
+# ---- scores -----------------------------------------------------------------------------------
+
+
+def ratio_slices(ratios: DataFrame) -> list[Column]:
+    """Conditions that cut the ratios into slices of ``SLICE`` rows at most."""
+    n = max(1, -(-ratios.count() // max(1, SLICE * 3 // 4)))
+    while n > 1:
+        which = F.pmod(F.xxhash64("event"), F.lit(n))
+        if ratios.groupBy(which.alias("slice")).count().agg(F.max("count")).first()[0] <= SLICE:
+            break
+        n += 1
+    return [F.pmod(F.xxhash64("event"), F.lit(n)) == k for k in range(n)]
+
+
+def _broadcast(ratios: DataFrame):
+    """A slice of the ratios, sorted."""
+    table = ratios.toArrow().sort_by("event")
+    arrays = table.column(0).to_numpy().view(np.uint64), table.column(1).to_numpy()
+    return ratios.sparkSession.sparkContext.broadcast(arrays)
+
+
+def _values(ratios: tuple[np.ndarray, np.ndarray], events: np.ndarray) -> np.ndarray:
+    keys, given = ratios
+    if not len(keys):
+        return np.zeros(len(events), np.int64)
+    at = np.minimum(np.searchsorted(keys, events), len(keys) - 1)
+    return np.where(keys[at] == events, given[at], 0).astype(np.int64)
+
+
+def unit_sums(ratios: tuple, buf: np.ndarray, offsets: np.ndarray) -> tuple:
+    """Of each unit its text, and the ratios of its spelling and of its junction; and the bytes of each text."""
+    out, places, text, begin, first, end, unit = units(buf, offsets)
+    length = np.diff(places) - PAD
+    if not len(unit):
+        return text, np.zeros(0, np.int64), np.zeros(0, np.int64), length
+    _, one, which = np.unique(unit, return_index=True, return_inverse=True)
+    row, event = spelled(out, begin[one], first[one], end[one])
+    spelling = np.zeros(len(one), np.int64)
+    np.add.at(spelling, row, _values(ratios, event))
+    joined = np.zeros(len(unit), np.int64)
+    at, event = junctions(out, begin, first)
+    joined[at] = _values(ratios, event)
+    return text, spelling[which], joined, length
+
+
+def features(text: np.ndarray, spelling: np.ndarray, joined: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Of each text: difference of the whole, of the worst word, evidence a word, evidence, words; worst junction, and
+    their evidence a word."""
+    n = len(length)
+    words = np.bincount(text, minlength=n)
+
+    def added(x: np.ndarray) -> np.ndarray:
+        # sums of whole numbers below 2**53 are exact
+        return np.bincount(text, x, minlength=n) / NAT
+
+    def worst(x: np.ndarray) -> np.ndarray:
+        top = np.zeros(n, np.int64)
+        np.maximum.at(top, text, x)
+        return top / NAT
+
+    evidence, more = added(np.maximum(spelling - FLOOR, 0)), added(np.maximum(joined - FLOOR, 0))
+    return np.column_stack((
+        added(spelling + joined) / (length + BYTE_PRIOR), worst(spelling), 10 * evidence / (words + WORD_PRIOR), np.log1p(evidence),
+        np.log1p(words), worst(joined), 10 * more / (words + WORD_PRIOR),
+    ))
+
+
+N_FEATURES = 7
 
 
-def sums(top: tuple, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """A row for each text: sum of values, that of the worst unit, evidence, units, bytes; and the units without a value."""
-    _, places, text, _, _, _, unit = units(buf, offsets)
-    out = np.zeros((len(offsets) - 1, 5), np.int64)
-    found, which = np.unique(unit.view(np.int64), return_inverse=True)
-    keys, given = top
-    at = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
-    known = keys[at] == found if len(keys) else np.zeros(len(found), bool)
-    value = np.where(known, given[at], 0)[which] if len(keys) else np.zeros(len(unit), np.int64)
-    np.add.at(out[:, 0], text, value)
-    np.maximum.at(out[:, 1], text, value)
-    np.add.at(out[:, 2], text, np.maximum(value - FLOOR, 0))
-    out[:, 3] = np.bincount(text, minlength=len(out))
-    out[:, 4] = np.diff(places) - PAD
-    other = ~known[which]
-    return out, (text[other], unit.view(np.int64)[other])
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
-def features(found: np.ndarray) -> np.ndarray:
-    """Of sums: difference of the whole, of the worst word, evidence a word, evidence, words."""
-    total, worst, evidence = (found[:, k] / NAT for k in range(3))
-    words, length = found[:, 3], found[:, 4]
-    ratio = 10 * evidence / (words + WORD_PRIOR)
-    return np.column_stack((total / (length + BYTE_PRIOR), worst, ratio, np.log1p(evidence), np.log1p(words)))
+def _key() -> Column:
+    """128 bits that stand for a text."""
+    return F.struct(F.xxhash64(_text()).alias("a"), F.xxhash64(F.lit(1), _text()).alias("b"))
 
 
-_SUMS = ("total", "worst", "evidence", "words", "length")
+def _stored_sums(documents: DataFrame, ratios: DataFrame, conditions: list[Column]) -> DataFrame:
+    """``key, sums``: for each different text the sums of its units, added up over all slices: a pass over the texts
+    for each slice, which is broadcast for that pass only."""
+    texts = documents.select(_key().alias("key"), _text().alias("text"))
+    parts = []
+    for condition in conditions:
+        given = _broadcast(ratios.where(condition))
 
+        def run(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for first, last, buf, offsets in slices(batch.column(1)):
+                    text, spelling, joined, length = unit_sums(given.value, buf, offsets)
+                    bounds = np.searchsorted(text, np.arange(len(length) + 1))
+                    made = [np.concatenate((length[k : k + 1], spelling[a:b], joined[a:b])).tobytes() for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(made, pa.binary())], ["key", "sums"])
 
-def _text() -> Column:
-    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+        # copies of a text have the same sums; they are settled within a task first
+        made = map_arrow(texts, run, "key struct<a: long, b: long>, sums binary").groupBy("key").agg(F.first("sums").alias("sums"))
+        parts.append(staged(made, "toxicity-sums"))
+        given.destroy(blocking=True)
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows.groupBy("key").agg(F.collect_list("sums").alias("sums"))
 
 
-def text_sums(documents: DataFrame, words: Words) -> DataFrame:
-    """``key`` and the sums of each different text, with the units that are not broadcast joined to it."""
-    top = words.top
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, last, buf, offsets in slices(batch.column(1)):
-                found, (text, unit) = sums(top.value, buf, offsets)
-                n = last - first
-                zero = np.zeros(len(unit), np.int64)
-                numbers = [np.concatenate((found[:, k], zero)) for k in range(5)]
-                columns = [np.concatenate((keys[first:last], keys[first:last][text])), *numbers, np.concatenate((np.ones(n, np.int64), zero))]
-                # a text's own row stands under its key, as nulls would meet in one task
-                columns.append(np.concatenate((keys[first:last], unit)))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", *_SUMS, "texts", "unit"])
-
-    rows = map_arrow(documents.select(F.xxhash64(_text()).alias("key"), _text().alias("text")), run, f"key long, {', '.join(f'{c} long' for c in _SUMS)}, texts long, unit long")
-    if words.rest is not None:
-        value = F.when(F.col("texts") == 0, F.coalesce("value", F.lit(0))).otherwise(0)
-        rows = rows.join(words.rest, "unit", "left").withColumn("total", F.col("total") + value).withColumn("worst", F.greatest("worst", value))
-        rows = rows.withColumn("evidence", F.col("evidence") + F.greatest(value - FLOOR, F.lit(0)))
-    # repeated texts are whole multiples
-    added = [(F.expr(f"sum({c}) div sum(texts)") if c in ("total", "evidence", "words", "length") else F.max(c)).alias(c) for c in _SUMS]
-    return rows.groupBy("key").agg(*added)
+def _combined(sums: list[bytes]) -> np.ndarray:
+    """Features of one text from its sums in all slices."""
+    rows = np.array([np.frombuffer(s, np.int64) for s in sums])
+    length, added = rows[:1, 0], rows[:, 1:].sum(0)
+    n = len(added) // 2
+    return features(np.zeros(n, np.int64), added[:n], added[n:], length)
 
 
 class Curve:
@@ -309,54 +418,77 @@ class Curve:
         return 1 / (1 + np.exp(-np.clip((x - self.mean) / self.scale @ self.w[:-1] + self.w[-1], -30, 30)))
 
 
-def fit_curve(documents: DataFrame, labels: DataFrame, words: Words) -> Curve | None:
+class Scorer:
+    """Gives each document a value that depends on the features of its text."""
+
+    def __init__(self, ratios: DataFrame):
+        self.ratios, self.conditions = ratios, ratio_slices(ratios)
+        self.given = _broadcast(ratios) if len(self.conditions) == 1 else None
+
+    def scored(self, documents: DataFrame, name: str, of_features, kind: str) -> DataFrame:
+        """``documents`` with column ``name``: ``of_features`` takes rows of features and returns an Arrow array of
+        ``kind``."""
+        if self.given is not None:
+            given = self.given
+
+            def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+                for column in texts:
+                    out = np.zeros((len(column), N_FEATURES))
+                    for first, last, buf, offsets in slices(column):
+                        out[first:last] = features(*unit_sums(given.value, buf, offsets))
+                    yield of_features(out)
+
+            bounded_batches(documents.sparkSession)
+            return documents.withColumn(name, arrow_udf(scores, kind, ArrowUDFType.SCALAR_ITER)(F.col("text").cast("string")))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = np.concatenate([_combined(s) for s in batch.column(1).to_pylist()]) if batch.num_rows else np.zeros((0, N_FEATURES))
+                yield pa.RecordBatch.from_arrays([batch.column(0), of_features(x)], ["key", "value"])
+
+        sums = _stored_sums(documents, self.ratios, self.conditions)
+        found = staged(map_arrow(sums, run, f"key struct<a: long, b: long>, value {kind}"), "toxicity-scores")
+        rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), _key().alias("key"))
+        columns = [F.col(f"row.`{c}`").alias(c) for c in documents.columns]
+        return rows.join(found, "key").select(*columns, F.col("value").alias(name))
+
+
+def fit_curve(documents: DataFrame, labels: DataFrame, scorer: Scorer) -> Curve | None:
     """The curve, from a bounded number of learnable rows; None if they lack one of the classes."""
     learnable = labels.where((fold("doc_id", FOLDS) == CURVE_FOLD) & F.col("toxic").isin(0, 1))
     chosen = learnable.select("doc_id", "toxic").distinct().orderBy(F.xxhash64("doc_id"), "toxic").limit(CURVE_ROWS)
-    rows = staged(with_label(documents, chosen, "toxic").limit(CURVE_ROWS).select("text", "label"), "toxicity-curve")
-    keyed = rows.select(F.xxhash64(_text()).alias("key"), "label")
-    found = keyed.join(text_sums(rows, words), "key").select(*_SUMS, "label").toArrow().sort_by([(c, "ascending") for c in (*_SUMS, "label")])
-    *x, label = (found.column(k).to_numpy() for k in range(6))
-    if len(set(label.tolist())) < 2:
+    rows = with_label(documents, chosen, "toxic").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(CURVE_ROWS)
+    rows = staged(rows.select("text", "label"), "toxicity-curve")
+    found = scorer.scored(rows, "x", lambda x: pa.array(x.tolist(), pa.list_(pa.float64())), "array<double>")
+    got = sorted((tuple(r["x"]), r["label"]) for r in found.select("x", "label").collect())
+    if len({label for _, label in got}) < 2:
         return None
-    return Curve(features(np.column_stack(x)), label.astype(float))
+    return Curve(np.array([x for x, _ in got]), np.array([label for _, label in got], float))
 
 
-def _scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents with their score."""
-    words = train_table(documents, labels)
-    curve = words and fit_curve(documents, labels, words)
+def scored_documents(documents: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """The documents with their score as column ``name``."""
+    ratios = train_table(documents, labels)
+    if ratios is None:
+        return documents.withColumn(name, F.lit(0.0))
+    scorer = Scorer(ratios)
+    curve = fit_curve(documents, labels, scorer)
     if curve is None:
-        return documents.withColumn(SCORE, F.lit(0.0))
-    top = words.top
-
-    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in texts:
-            out = np.zeros(len(column))
-            for first, last, buf, offsets in slices(column):
-                out[first:last] = curve(features(sums(top.value, buf, offsets)[0]))
-            yield pa.array(out)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.column_stack([batch.column(k).to_numpy() for k in range(1, 6)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(curve(features(x)))], ["_key", SCORE])
-
-    bounded_batches(documents.sparkSession)
-    if words.rest is None:
-        return documents.withColumn(SCORE, arrow_udf(scores, "double", ArrowUDFType.SCALAR_ITER)(F.col("text").cast("string")))
-    found = map_arrow(text_sums(documents, words), run, f"_key long, {SCORE} double")
-    return documents.withColumn("_key", F.xxhash64(_text())).join(found, "_key").drop("_key")
+        return documents.withColumn(name, F.lit(0.0))
+    return scorer.scored(documents, name, lambda x: pa.array(curve(x)), "double")
 
 
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of each document."""
     held = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out")
-    scored = _scored(documents.select("doc_id", "text"), labels)
-    scored = scored.select(F.col("doc_id").cast("long").alias("doc_id"), held, F.col(SCORE).alias("score"))
+    scored = scored_documents(documents.select("doc_id", "text"), labels, "score")
+    scored = scored.select(F.col("doc_id").cast("long").alias("doc_id"), held, "score")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score is under 0.5, with all their columns."""
-    return _scored(documents, labels).where(F.col(SCORE) < 0.5).select(*documents.columns)
+    name = "score"
+    while name in documents.columns:
+        name += "_"
+    return scored_documents(documents, labels, name).where(F.col(name) < 0.5).drop(name)
