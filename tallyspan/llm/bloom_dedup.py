@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.staging import staged
+from tallyspan.llm.staging import boxed, staged, unboxed
 
 CELLS_PER_ROW = 16
 HASHES = 2
@@ -127,10 +127,10 @@ def duplicate_groups(documents: DataFrame) -> DataFrame:
 
 
 def drop_duplicates(documents: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    rows = marked(documents)
-    alone = rows.where("not _maybe").select(*documents.columns)
-    every = F.struct(*documents.columns)
-    order = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").cast("long").alias("id"))
-    tops = rows.where("_maybe").groupBy("_sha").agg(F.max_by(every, order).alias("_top"))
-    return alone.unionByName(tops.select("_top.*"))
+    """The documents that stay, with all their columns. Of rows with equal id and text the greatest by the other
+    columns stays, so these must have an order (no maps)."""
+    rows = marked(boxed(documents, text=F.col("text")))
+    alone = rows.where("not _maybe").select("row")
+    known = F.struct(F.col("row.doc_id").isNotNull().alias("known"), F.col("row.doc_id").cast("long").alias("id"), "row")
+    tops = rows.where("_maybe").groupBy("_sha").agg(F.max(known).alias("top"))
+    return unboxed(alone.unionByName(tops.select(F.col("top.row").alias("row"))), documents.columns)

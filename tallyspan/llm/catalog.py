@@ -6,7 +6,7 @@ from tallyspan.llm import (
     arc_warc, bloom_dedup, chunked_bpe, fenwick_fim, label_shards, line_dedup, mil_quality, partenum, prefix_trie, suffix_refine,
     token_files, toxicity, winnowing,
 )
-from tallyspan.llm.oracle import LINE_SQL, MIDDLE_SQL, TRIE_SQL
+from tallyspan.llm.oracle import ARCHIVE_SQL, HITS_SQL, LINE_SQL, MIDDLE_SQL, NEAR_SQL, REPEATS_SQL, TRIE_SQL
 from tallyspan.llm.staging import table
 
 
@@ -79,6 +79,10 @@ ORACLE = {
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op3_partenum": NEAR_SQL,
+    "op4_arc_warc": ARCHIVE_SQL,
+    "op8_winnowing": HITS_SQL,
+    "op10_suffix_refine": REPEATS_SQL,
     "op11_fenwick_fim": MIDDLE_SQL,
     "op12_line_dedup": LINE_SQL,
     "op13_prefix_trie": TRIE_SQL,

@@ -59,3 +59,78 @@ SELECT face AS conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, n_
   CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
 FROM v JOIN sub USING (face, d)
 """
+
+# Shingles are compared as text, and components found by a recursive walk over the links.
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, y FROM reach JOIN both_ways ON x = other
+)
+SELECT reach.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id
+"""
+
+# Every window of every item is looked up at every place of every document.
+HITS_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(ws), 13) AS size, array_to_string(ws[k:k + 12], ' ') AS s
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS k FROM i WHERE len(ws) > 0)
+), places AS (
+  SELECT doc_id, size, k, array_to_string(ws[k:k + size - 1], ' ') AS s
+  FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS k FROM d, (SELECT DISTINCT size FROM windows))
+), hits AS (SELECT doc_id, item_id, size, k FROM places JOIN windows USING (size, s)
+), words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS pos FROM (SELECT DISTINCT doc_id, size, k FROM hits)) GROUP BY doc_id
+), items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+# Base 32 by bit arithmetic on five hex digits at a time.
+ARCHIVE_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS x FROM pages),
+d AS (
+  SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, max(page_id) OVER (PARTITION BY x) AS top,
+    array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((CAST('0x' || substr(x, CAST(1 + 5 * (k // 4) AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM d
+"""
+
+# Every string of 400 bytes is counted, and every byte looks back for the start of a repeated one.
+REPEATS_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+starts AS (SELECT doc_id, p, md5(substr(x, 2 * p + 1, 800)) AS s FROM (SELECT doc_id, x, unnest(range(0, n - 399)) AS p FROM d WHERE n >= 400)),
+found AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY s) AS c FROM starts) WHERE c > 1),
+bytes AS (
+  SELECT b.doc_id, b.p, b.h, max(found.p) OVER (PARTITION BY b.doc_id ORDER BY b.p ROWS BETWEEN 399 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM (SELECT doc_id, p, substr(x, 2 * p + 1, 2) AS h FROM (SELECT doc_id, x, unnest(range(0, n)) AS p FROM d WHERE doc_id IN (SELECT doc_id FROM found))) b
+  LEFT JOIN found ON found.doc_id = b.doc_id AND found.p = b.p
+),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS begins FROM bytes),
+cut AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
+    coalesce(string_agg(h, '' ORDER BY p) FILTER (NOT gone), '') AS kept
+  FROM runs GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, x))) AS kept_sha256, n - coalesce(n_removed, 0) AS kept_bytes
+FROM d LEFT JOIN cut USING (doc_id)
+"""

@@ -11,13 +11,16 @@ two of those share one. Above ``SAMPLED`` shingles only ``PARTITIONS`` of the pa
 equal in two linked sets with a chance of 0.4 or more, so the chance that none is lies below 1e-14.
 Signatures of any one set number about 100 at most, whatever its size.
 
-Classes that share a signature meet in its bucket. A set does without its buckets over ``HOT`` only if it has
-more signatures in other buckets than a linked set can spoil, whichever that is: which partitions two sets
-share and which are hot is not independent, so no chance is reckoned with here. In each bucket all classes are compared with the one that
-meets most others, its head; whoever is then not in the same component as that is compared with the rest of the bucket, in rounds of ``PIVOTS``. As
+Classes that share a signature meet in its bucket. Where a bucket is hot, over ``HOT`` classes, all its
+classes are taken anew by all their partitions, and of these signatures each enters as many of the rarest as a linked set
+can spoil, and one more: any two linked sets share one of those (see ``_rarest``). So buckets that only a common
+passage fills are not compared, however many texts have it, and no chance is reckoned with.
+
+In each bucket all classes are compared with the one that
+meets most others, its head; whoever is then not in the same component as that is compared with the rest of the bucket, in rounds of
+more and more pivots, between which components are made anew: what has come together drops out. As
 the Jaccard distance is a metric, two classes whose distances to the head differ by more than
-a link allows need no comparison, nor do two whose min-hash sketches differ more than those of
-linked ones do but once in 10 ** 10. So copies of one text are compared once each, and no link is lost. Each
+a link allows need no comparison, nor do two whose sizes do. So copies of one text are compared once each. Each
 comparison is exact, from the texts.
 
 Defined cases: a null text counts as empty; sets of null and empty texts link with nothing; documents with fewer than
@@ -36,15 +39,15 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm.arrays import LOWER, Hasher, distinct_per_text, mix, runs, slices, windows
 from tallyspan.llm.components import components
-from tallyspan.llm.staging import map_arrow, staged, with_keys
+from tallyspan.llm.skewed import join_heavy
+from tallyspan.llm.staging import boxed, map_arrow, staged, unboxed, with_keys
 
 SHINGLE = 5
 #: A link: PERCENT * union <= 100 * intersection.
 PERCENT = 75
 SAMPLED, PARTITIONS = 96, 64
-HOT, PIVOTS = 8, 512
-#: Longs of a class's sketch, and how many of its bits linked classes share: 6.5 deviations under the mean.
-SKETCH, ALIKE = 16, 827
+#: Buckets of more sets are hot; so many of a bucket's sets are compared with all others at first, then four times as many.
+HOT, PIVOTS = 8, 16
 
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -82,8 +85,9 @@ def most_different(size: np.ndarray) -> np.ndarray:
     return (size + size * 100 // PERCENT) * (100 - PERCENT) // (100 + PERCENT)
 
 
-def signatures(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(set, signature, band, needed) as arrays; single shingles have ``needed`` 0."""
+def signatures(values: np.ndarray, bounds: np.ndarray, sampled: bool = True) -> tuple[np.ndarray, ...]:
+    """(set, signature, band, needed) as arrays; single shingles have ``needed`` 0. ``sampled=False`` enters all
+    partitions of large sets as well."""
     size = np.diff(bounds)
     top = np.maximum(size, 3)
     own = np.floor(np.log2(top / 3) + 1e-9).astype(np.int64)
@@ -97,22 +101,30 @@ def signatures(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]
         at = np.arange(len(row)) + np.repeat(bounds[member] - (np.cumsum(count) - count), count)
         x, level = values[at], band[member]
         base = 3 * 2**level
-        parts = np.where(base >= SAMPLED, (base / 1.25).astype(np.int64), base).astype(np.uint64)
-        entered = np.minimum(parts, np.where(base >= SAMPLED, PARTITIONS, 1 << 40).astype(np.uint64)).astype(np.int64)
+        if sampled:
+            parts = np.where(base >= SAMPLED, (base / 1.25).astype(np.int64), base).astype(np.uint64)
+        else:
+            # sets of up to 8/3 of the base come into a band, and differ from a linked one in up to a third of that
+            parts = (base * 5 // 4).astype(np.uint64)
+        limit = PARTITIONS if sampled else 1 << 40
+        entered = np.minimum(parts, np.where(base >= SAMPLED, limit, 1 << 40).astype(np.uint64)).astype(np.int64)
         spread = mix(x + mix(level.astype(np.uint64) + np.uint64(1000))[row])
         part = (spread % parts[row]).astype(np.int64)
-        use = part < entered[row]
-        width = int(entered.max())
-        place = row[use] * width + part[use]
-        total, seen = np.zeros(len(member) * width, np.uint64), np.bincount(place, minlength=len(member) * width)
+        use = np.flatnonzero(part < entered[row])
+        # partitions of one set lie together, so that no table is wider than its set needs
+        first = np.cumsum(entered) - entered
+        place = first[row[use]] + part[use]
+        total, seen = np.zeros(int(entered.sum()), np.uint64), np.bincount(place, minlength=int(entered.sum()))
         np.add.at(total, place, mix(x[use] + np.uint64(13)))
         full = np.flatnonzero(seen)
-        owner = full // width
-        # out of reach for sampled sets with more differences than entered partitions
-        need = np.minimum(most_different(count), PARTITIONS) + 1
-        tag = mix((full % width).astype(np.uint64) + (level[owner].astype(np.uint64) << np.uint64(32)) + np.uint64(1 << 50))
+        owner = np.searchsorted(first, full, "right") - 1
+        need = most_different(count) + 1
+        if sampled:
+            # out of reach for sampled sets with more differences than entered partitions
+            need = np.minimum(need, PARTITIONS + 1)
+        tag = mix((full - first[owner]).astype(np.uint64) + (level[owner].astype(np.uint64) << np.uint64(32)) + np.uint64(1 << 50))
         out.append((member[owner], mix(total[full] + tag), level[owner], need[owner]))
-        few = (np.bincount(owner, minlength=len(member)) < need) & (base < SAMPLED)
+        few = (np.bincount(owner, minlength=len(member)) < need) & ((base < SAMPLED) | (not sampled))
         lone = few[row]
         out.append((member[row[lone]], mix(x[lone] + mix(level[row[lone]].astype(np.uint64) + np.uint64(77))), level[row[lone]], np.zeros(int(lone.sum()), np.int64)))
     if not out:
@@ -138,34 +150,60 @@ def document_sets(documents: DataFrame) -> DataFrame:
     return map_arrow(rows, run, "doc_id long, text_key long, class long, n_shingles long")
 
 
-def _signature_rows(documents: DataFrame) -> DataFrame:
+def _signature_rows(texts: DataFrame, sampled: bool = True) -> DataFrame:
+    """``signature, class, band, needed`` of each row's ``text``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, buf, offsets in slices(batch.column(0)):
                 values, bounds = shingle_sets(buf, offsets)
-                member, signature, band, needed = signatures(values, bounds)
-                columns = [signature.view(np.int64), set_hashes(values, bounds).view(np.int64)[member], band.astype(np.int8), needed.astype(np.int16)]
+                member, signature, band, needed = signatures(values, bounds, sampled)
+                columns = [signature.view(np.int64), set_hashes(values, bounds).view(np.int64)[member], band.astype(np.int8), needed.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["signature", "class", "band", "needed"])
 
-    return map_arrow(documents.select(_text().alias("text")), run, "signature long, class long, band byte, needed short")
+    return map_arrow(texts.select("text"), run, "signature long, class long, band byte, needed int")
 
 
-def _members(documents: DataFrame) -> DataFrame:
+def _members(documents: DataFrame, sets: DataFrame) -> DataFrame:
     """``bucket, class`` of all buckets in which classes have to be compared."""
-    rows = _signature_rows(documents)
+    rows = _signature_rows(documents.select(_text().alias("text")))
     buckets = rows.groupBy("signature").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count(F.lit(1)).alias("n"))
-    kept = staged(rows.join(buckets.where("a <> b").select("signature", "n"), "signature").distinct(), "partenum-buckets")
+    kept = staged(rows.join(buckets.where("a <> b").select("signature", "n"), "signature").select("signature", "class", "n").distinct(), "partenum-buckets")
     # sets count once, though copies were counted above: a bucket is hot by its distinct sets
     sizes = kept.where(F.col("n") > HOT).groupBy("signature").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > HOT)
-    hot = staged(kept.join(sizes.select("signature"), "signature"), "partenum-hot")
-    calm = kept.join(hot.select("signature").distinct(), "signature", "left_anti")
-    # every entered partition counts, those in which the set is alone too
-    held = hot.where("needed > 0").groupBy("class", "band").agg(F.count(F.lit(1)).alias("lost"), F.max("needed").alias("needed"))
-    entered = with_keys(rows.where("needed > 0"), hot.select("class").distinct(), "class")
-    entered = entered.groupBy("class", "band", "signature").agg(F.lit(1).alias("one")).groupBy("class", "band").agg(F.count(F.lit(1)).alias("entered"))
-    at_ease = held.join(entered, ["class", "band"]).where("entered - lost >= needed").select("class", "band")
-    needy = hot.join(at_ease, ["class", "band"], "left_anti")
-    return calm.unionByName(needy).select(F.col("signature").alias("bucket"), "class")
+    hot = staged(kept.join(sizes, "signature").select("signature", "class"), "partenum-hot")
+    calm = with_keys(kept, hot, "signature", "left_anti")
+    return calm.select(F.col("signature").alias("bucket"), "class").unionByName(_rarest(documents, sets, hot.select("class").distinct()))
+
+
+def _rarest(documents: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """``bucket, class`` of classes that have hot buckets, by all their partitions and without chance.
+
+    A set that a linked one differs from in d shingles at most shares all its partitions' signatures but d. So in any
+    order of the signatures that is the same for all sets, the first one that both share is among the first d + 1 of
+    each. Taken in the order of how many of these classes have them, it is the rarest ones that are kept: what a
+    passage or a large family has in common falls out, unless it is too much of the set to be left out.
+    """
+    wanted = staged(classes, "partenum-hot-classes")
+    keys = sets.groupBy("class").agg(F.min("text_key").alias("text_key"))
+    keys = staged(with_keys(keys, wanted, "class"), "partenum-hot-texts")
+    keyed = documents.select(F.xxhash64(_text()).alias("text_key"), _text().alias("text"))
+    texts = with_keys(keyed, keys, "text_key").dropDuplicates(["text_key"])
+    rows = staged(_signature_rows(texts, sampled=False), "partenum-all")
+    counts = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # heavy signatures are few; a class has as many rows as its set has partitions
+    counts = staged(counts, "partenum-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    shared = join_heavy(rows, counts, ["signature"], "n", total)
+    alone = rows.where("needed > 0").groupBy("class", "band").agg(F.count(F.lit(1)).alias("entered"))
+    # signatures of one class only come first in the order, and drop out by themselves
+    rank = F.row_number().over(Window.partitionBy("class", "band").orderBy("n", "signature"))
+    ranked = shared.where("needed > 0").withColumn("rank", rank).join(alone, ["class", "band"])
+    held = shared.where("needed > 0").groupBy("class", "band").agg(F.count(F.lit(1)).alias("held"))
+    ranked = ranked.join(held, ["class", "band"])
+    first = ranked.where(F.col("rank") + F.col("entered") - F.col("held") <= F.col("needed"))
+    single = shared.where("needed = 0")
+    return first.select(F.col("signature").alias("bucket"), "class").unionByName(single.select(F.col("signature").alias("bucket"), "class"))
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> tuple[float, bool]:
@@ -199,31 +237,12 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_arrow(both, run, "a long, b long, far double, linked boolean")
 
 
-_FACTORS = mix(np.arange(1, 64 * SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-
-
-def sketch(values: np.ndarray) -> np.ndarray:
-    """One bit of the least of the set's values under each of many hash functions, as longs."""
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(values), 256):
-        np.minimum(least, (values[k : k + 256, None] * _FACTORS[None, :]).min(axis=0), out=least)
-    return np.packbits((mix(least) & np.uint64(1)).astype(np.uint8)).view(np.int64)
-
-
-def _sketches(texts: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, last, buf, offsets in slices(batch.column(1)):
-                values, bounds = shingle_sets(buf, offsets)
-                made = [sketch(values[s:e]).tolist() for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(made, pa.list_(pa.int64()))], ["class", "sketch"])
-
-    return map_arrow(texts.select("class", "text"), run, "class long, sketch array<long>")
-
-
 def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
     """``class, component`` of the classes that are linked with another; None if there are none."""
-    members = staged(_members(documents), "partenum-members")
+    members = staged(_members(documents, sets), "partenum-members")
+    # a bucket that only one class is left in compares nothing
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = staged(members.join(sizes, "bucket"), "partenum-met")
     wanted = staged(members.select("class").distinct(), "partenum-classes")
     if wanted.isEmpty():
         return None
@@ -231,42 +250,47 @@ def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
     keys = staged(keys.join(wanted, "class"), "partenum-keys")
     keyed = documents.select(F.xxhash64(_text()).alias("text_key"), _text().alias("text"))
     texts = staged(with_keys(keyed, keys, "text_key").dropDuplicates(["text_key"]).join(keys, "text_key").drop("text_key"), "partenum-texts")
+    sized = keys.select("class", F.col("n_shingles").alias("n"))
 
     # the class that meets most others: of a text and its altered copies, most likely the text
-    meets = staged(members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket").groupBy("class").agg(F.sum("size").alias("meets")), "partenum-meets")
-    heads = staged(members.join(meets, "class").groupBy("bucket").agg(F.max_by("class", F.struct("meets", "class")).alias("a"), F.count(F.lit(1)).alias("size")), "partenum-heads")
-    pairs = members.join(heads, "bucket").where("class <> a").select("a", F.col("class").alias("b")).distinct()
-    stars = staged(_compared(pairs, texts), "partenum-stars")
+    meets = staged(members.groupBy("class").agg(F.sum("size").alias("meets")), "partenum-meets")
+    heads = staged(members.join(meets, "class").groupBy("bucket").agg(F.max_by("class", F.struct("meets", "class")).alias("a")), "partenum-heads")
+    near = members.join(heads, "bucket").where("class <> a").select("a", F.col("class").alias("b")).distinct()
+    near = near.join(sized.withColumnsRenamed({"class": "a", "n": "m"}), "a").join(sized.withColumnRenamed("class", "b"), "b")
+    stars = staged(_compared(near.where(_alike("n", "m")).select("a", "b"), texts), "partenum-stars")
     edges = staged(stars.where("linked").select("a", "b"), "partenum-links")
-    labels = components(edges).withColumnRenamed("node", "class")
-    placed = members.join(heads, "bucket").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    spread = placed.groupBy("bucket").agg(F.max(F.when(F.col("class") == F.col("a"), F.col("component"))).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     # two copies of a text share many of its buckets: hot ones with one head are taken as one
     bucket = F.when(F.col("size") > HOT, F.xxhash64("a")).otherwise(F.col("bucket")).alias("bucket")
-    open_ = placed.join(spread.where("lo <> hi"), "bucket").select(bucket, "class", "a", "component", "head").distinct().join(keys.select("class", F.col("n_shingles").alias("n")), "class")
+    met = members.join(heads, "bucket").select(bucket, "class", "a").distinct().join(sized, "class")
     far = stars.select("a", F.col("b").alias("class"), "far")
-    placed = open_.join(far, ["a", "class"], "left").select("bucket", "class", "component", "head", "n", F.coalesce("far", F.lit(0.0)).alias("far"), "a")
-    drawn = _sketches(texts.join(placed.select("class").distinct(), "class"))
-    placed = staged(placed.join(drawn, "class"), "partenum-open")
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
-    rest = placed.where("component <> head").select(
-        "bucket", F.col("class").alias("pivot"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("far").alias("out"), F.col("sketch").alias("drawn"), F.col("a").alias("by"), rank.alias("rank")
-    )
-    rest = staged(rest, "partenum-rest")
-    most = rest.agg(F.max("rank")).first()[0] or 0
-    limit = 1 - PERCENT / 100 + 1e-9
-    for begin in range(0, most, PIVOTS):
-        pivots = rest.where((F.col("rank") > begin) & (F.col("rank") <= begin + PIVOTS))
-        # a pivot meets all others once: members of the head's component, and pivots after it
-        meet = (placed["bucket"] == pivots["bucket"]) & (F.col("a") == F.col("by")) & (F.col("component") != F.col("of"))
-        meet &= (F.col("component") == F.col("head")) | (F.col("class") > F.col("pivot"))
-        meet &= (F.abs(F.col("far") - F.col("out")) <= limit) & (F.col("class") != F.col("a"))
-        meet &= F.least("n", "m") * 100 >= F.greatest("n", "m") * PERCENT
-        meet &= sum((F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("drawn")[k])) for k in range(SKETCH)), F.lit(0)) <= 64 * SKETCH - ALIKE
-        pairs = placed.join(pivots, meet).select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
+    met = staged(met.join(far, ["a", "class"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("class"))), "partenum-open")
+    done, width = 0, PIVOTS
+    while True:
+        labels = components(edges).withColumnRenamed("node", "class")
+        placed = met.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        spread = placed.groupBy("bucket").agg(
+            F.max(F.when(F.col("class") == F.col("a"), F.col("component"))).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")
+        )
+        placed = staged(placed.join(spread.where("lo <> hi").select("bucket", "head"), "bucket"), "partenum-placed")
+        # whoever is in the head's component has met what it must: the others come to it
+        rest = placed.where((F.col("component") != F.col("head")) & (F.col("rank") > done))
+        rest = rest.select("bucket", F.col("class").alias("pivot"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("far").alias("out"), F.col("rank").alias("turn"))
+        if rest.isEmpty():
+            return labels
+        pivots = rest.where(F.col("turn") <= done + width)
+        # a pivot meets the head's component, and pivots after it; a distance that is not known is no bound
+        meet = (F.col("component") != F.col("of")) & (F.col("class") != F.col("a"))
+        meet &= (F.col("component") == F.col("head")) | (F.col("rank") > F.col("turn"))
+        meet &= F.coalesce(F.abs(F.col("far") - F.col("out")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True)) & _alike("n", "m")
+        pairs = placed.join(pivots, "bucket").where(meet).select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
         found = _compared(pairs, texts).where("linked").select("a", "b")
         edges = staged(edges.unionByName(found).distinct(), "partenum-links")
-    return components(edges).withColumnRenamed("node", "class") if most else labels
+        done, width = done + width, 4 * width
+
+
+def _alike(n: str, m: str) -> Column:
+    """Whether sets of these sizes can be linked."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
 
 def similarity_classes(documents: DataFrame) -> DataFrame:
@@ -278,18 +302,34 @@ def similarity_classes(documents: DataFrame) -> DataFrame:
     else:
         sets = sets.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
     sets = staged(sets, "shingle-components")
-    least = sets.groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = staged(sets.groupBy("component").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("members")), "shingle-least")
     empty = F.col("n_shingles") == 0
-    return sets.join(least, "component").select(
+    # a component may hold a third of all documents
+    placed = join_heavy(sets, least, ["component"], "members", least.agg(F.sum("members")).first()[0] or 0)
+    return placed.select(
         "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
-        F.col("class").alias("set_class"), "text_key",
+        F.col("class").alias("set_class"), "text_key", "component",
     )
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """The documents without those linked to one with a smaller id, with all their columns."""
-    found = similarity_classes(documents)
-    gone = found.where("not (doc_id <=> component_id)")
-    gone = staged(gone.select(F.xxhash64("doc_id", "text_key").alias("_key")).distinct(), "near-copies")
-    tagged = documents.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(_text())))
-    return with_keys(tagged, gone, "_key", "left_anti").select(*documents.columns)
+    """One document of each component, with all its columns: the one with the smallest id, of rows with one id the one with
+    the least hash of its text, and of rows that have both in common the least by its other columns (which must have an
+    order). Rows without an id come after all others. Documents without words are linked with nothing and all stay.
+    """
+    found = staged(similarity_classes(documents), "near-found").where("n_shingles > 0")
+    key = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key")
+    keys = found.select("component", key.alias("key"))
+    tops = keys.groupBy("component").agg(F.min("key").alias("top"), F.count(F.lit(1)).alias("members"))
+    tops = staged(tops.where("members > 1"), "near-tops")
+    total = tops.agg(F.sum("members")).first()[0] or 0
+    placed = join_heavy(keys, tops, ["component"], "members", total)
+    gone = staged(placed.where("key <> top").select("key").distinct(), "near-copies")
+    # rows that have id and text in common with the one that stays
+    again = placed.where("key = top").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = staged(again.select("key"), "near-repeated")
+    doc_id = F.col("doc_id").cast("long")
+    own = F.struct(doc_id.isNull().alias("unknown"), doc_id.alias("doc_id"), F.xxhash64(_text()).alias("text_key"))
+    rows = with_keys(boxed(documents, key=own), gone, "key", "left_anti")
+    once = with_keys(rows, again, "key").groupBy("key").agg(F.min("row").alias("row"))
+    return unboxed(with_keys(rows, again, "key", "left_anti").select("row").unionByName(once.select("row")), documents.columns)

@@ -40,6 +40,15 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_BYTES)
 
 
+def boxed(documents: DataFrame, **more) -> DataFrame:
+    """The rows as one column ``row``, so that whatever is added beside it clashes with no name of theirs."""
+    return documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), *[c.alias(n) for n, c in more.items()])
+
+
+def unboxed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
+
+
 #: Keys (of eight bytes) that a broadcast may hold at most.
 BROADCAST_KEYS = 1 << 20
 

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.llm.arrays import Hasher, mix, slices
+from tallyspan.llm.skewed import join_heavy
 from tallyspan.llm.staging import map_arrow, staged, with_keys
 
 LENGTH = 400
@@ -154,18 +155,23 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, q: int = Q) -> DataFr
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "around", "key", "at", "fewest", "most"])
 
     schema = "gram long, around long, key long, at int, fewest short, most short"
-    rows = map_arrow(keyed.select("key", "text"), find, schema)
+    rows = staged(map_arrow(keyed.select("key", "text"), find, schema), "suffix-anchors")
     buckets = (
         rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("a"), F.max("around").alias("b"))
-        .where("n > 1").select("gram", (F.col("a") != F.col("b")).alias("mixed"))
+        .where("n > 1").select("gram", "n", (F.col("a") != F.col("b")).alias("mixed"))
     )
-    shared = staged(rows.join(buckets, "gram"), "suffix-buckets")
+    buckets = staged(buckets, "suffix-grams")
+    total = buckets.agg(F.sum("n")).first()[0] or 0
+    # a gram that a third of all anchors have is joined where its anchors are
+    shared = staged(join_heavy(rows, buckets, ["gram"], "n", total).drop("n"), "suffix-buckets")
     mixed = shared.where("mixed").drop("mixed")
     around = staged(
         mixed.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at", "fewest", "most")).alias("one")),
         "suffix-surroundings",
     )
-    same = mixed.join(around.where("n > 1").select("gram", "around"), ["gram", "around"])
+    repeated = staged(around.where("n > 1").select("gram", "around", "n"), "suffix-repeated")
+    total = repeated.agg(F.sum("n")).first()[0] or 0
+    same = join_heavy(mixed, repeated, ["gram", "around"], "n", total)
     whole = shared.where("not mixed").select(*mixed.columns).unionByName(same.select(*mixed.columns))
     spans = [whole.select("key", (F.col("at") - F.col("most")).alias("begin"), (F.col("at") - F.col("fewest") + length).alias("end"))]
     single = F.col("n") == 1
@@ -294,6 +300,6 @@ def cut_repeats(documents: DataFrame, length: int = LENGTH, q: int = Q) -> DataF
 
 
 def repeat_digests(documents: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame:
-    """How much of each document is removed, and a digest of what is left."""
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return _cut(documents, length, q, schema, lambda n, kept, runs: (n, n - len(kept), runs, hashlib.sha256(kept).hexdigest()))
+    """How much of each document is removed and kept, and a digest of what is left. ``n_bytes`` is the size of the input."""
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes long"
+    return _cut(documents, length, q, schema, lambda n, kept, runs: (n, n - len(kept), runs, hashlib.sha256(kept).hexdigest(), len(kept)))

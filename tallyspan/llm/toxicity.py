@@ -2,8 +2,8 @@
 
 **Models.** A text is lower-cased, with white space as single spaces; digits, marks and the bytes of all scripts stay. Two
 kinds of event are counted. *Spelling*: each byte of a word, and the space after it, follows the up to ``CONTEXT``
-bytes before it back to the space before the word. *Junction*: the first two bytes of a word follow the last three of the
-word before, so that an expression of several words has a probability too. An event is the exact bytes, packed into
+bytes before it back to the space before the word. *Junction*: the first two bytes of a word follow the three
+before its space, so that an expression of several words has a probability too. An event is the exact bytes, packed into
 one integer; nothing is hashed.
 
 The shared model is interpolated Kneser-Ney over *all* documents: an order's discounts go to the next lower one, a byte
@@ -73,6 +73,9 @@ FLOOR = int(WORD_FLOOR * NAT)
 BYTE_PRIOR, WORD_PRIOR = 50, 10
 CURVE_ROWS = 20_000
 
+#: An event's bytes after so many of context.
+_CUT = (np.uint64(1) << (np.arange(1, CONTEXT + 2, dtype=np.uint64) * np.uint64(8))) - np.uint64(1)
+
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:33] = _FOLD[127] = 32
 _FOLD[65:91] += 32
@@ -117,13 +120,14 @@ def spelled(out: np.ndarray, begin: np.ndarray, first: np.ndarray, end: np.ndarr
     count = end - first
     row = np.repeat(np.arange(len(count)), count)
     at = np.arange(len(row)) + np.repeat(first - (np.cumsum(count) - count), count)
-    depth = at - begin[row]
-    event = out[at].astype(np.uint64)
-    for k in range(1, CONTEXT + 1):
-        inside = depth >= k
-        byte = np.where(inside, out[at - np.minimum(k, depth)], 0)
-        event |= byte.astype(np.uint64) << np.uint64(8 * k)
-    return row, event
+    # each byte with the six before it, then cut to the bytes from the space before the word on
+    two = out.astype(np.uint64)
+    two[1:] |= two[:-1].copy() << np.uint64(8)
+    four = two.copy()
+    four[2:] |= two[:-2] << np.uint64(16)
+    seven = four.copy()
+    seven[4:] |= (four[:-4] & np.uint64(0xFFFFFF)) << np.uint64(32)
+    return row, seven[at] & _CUT[np.minimum(at - begin[row], CONTEXT)]
 
 
 def junctions(out: np.ndarray, begin: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,8 +323,13 @@ def _values(ratios: tuple[np.ndarray, np.ndarray], events: np.ndarray) -> np.nda
     keys, given = ratios
     if not len(keys):
         return np.zeros(len(events), np.int64)
-    at = np.minimum(np.searchsorted(keys, events), len(keys) - 1)
-    return np.where(keys[at] == events, given[at], 0).astype(np.int64)
+    # in ascending order the search stays in the processor's cache
+    order = np.argsort(events)
+    asked = events[order]
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    values = np.empty(len(events), np.int64)
+    values[order] = np.where(keys[at] == asked, given[at], 0)
+    return values
 
 
 def unit_sums(ratios: tuple, buf: np.ndarray, offsets: np.ndarray) -> tuple:

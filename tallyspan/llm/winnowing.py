@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.staging import staged, with_keys
+from tallyspan.llm.staging import boxed, staged, unboxed, with_keys
 
 WINDOW = 13
 K = 6
@@ -131,8 +131,8 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
     runs = hits(_keyed(documents), benchmark).groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
-    hit = staged(runs.select(F.col("key").alias("_key"), F.expr(_COVERED).alias("_n_hit")), "winnowing-counts")
-    tagged = documents.withColumn("_key", F.xxhash64(doc_id, doc_id.isNull(), text))
-    some = with_keys(tagged, hit, "_key").join(hit, "_key")
-    clean = some.where(20 * F.col("_n_hit") < F.size(words(F.col("text"))))
-    return with_keys(tagged, hit, "_key", "left_anti").select(*documents.columns).unionByName(clean.select(*documents.columns))
+    hit = staged(runs.select("key", F.expr(_COVERED).alias("n_hit")), "winnowing-counts")
+    rows = boxed(documents, key=F.xxhash64(doc_id, doc_id.isNull(), text))
+    some = with_keys(rows, hit, "key").join(hit, "key")
+    clean = some.where(20 * F.col("n_hit") < F.size(words(F.col("row.text")))).select("row")
+    return unboxed(with_keys(rows, hit, "key", "left_anti").select("row").unionByName(clean), documents.columns)

@@ -261,10 +261,10 @@ def test_contamination_runs_no_python(spark, small):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
-@pytest.mark.parametrize("bucket", [suffix_refine.BUCKET, 1])
-def test_repeated_strings(documents, bucket, monkeypatch):
+@pytest.mark.parametrize("bucket, length, q", [(suffix_refine.BUCKET, 60, 15), (1, 60, 15), (suffix_refine.BUCKET, suffix_refine.LENGTH, suffix_refine.Q)])
+def test_repeated_strings(documents, bucket, length, q, monkeypatch):
     monkeypatch.setattr(suffix_refine, "BUCKET", bucket)
-    length, docs, seen = 60, pairs(documents), Counter()
+    docs, seen = pairs(documents), Counter()
     raw = [(t or "").encode() for _, t in docs]
     for b in raw:
         seen.update(b[k : k + length] for k in range(len(b) - length + 1))
@@ -277,8 +277,8 @@ def test_repeated_strings(documents, bucket, monkeypatch):
                 till = k + length
         kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
         runs = len(re.findall(b"\1+", bytes(gone)))
-        expected.append((i, len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
-    assert rows(suffix_refine.repeat_digests(documents, length, 15)) == sorted(expected, key=repr)
+        expected.append((i, len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest(), len(kept)))
+    assert rows(suffix_refine.repeat_digests(documents, length, q)) == sorted(expected, key=repr)
 
 
 def test_anchors_of_pieces_come_once(monkeypatch):
@@ -349,26 +349,6 @@ def test_scores_of_odd_rows(spark, odd, empty, module, name):
     assert module.score_documents(empty, labels).count() == 0
 
 
-def spelling_steps(text):
-    """The bytes before each byte of a word, at most LONGEST, and the byte."""
-    for word in re.findall(r"[a-z]+", text.translate(LOWER)):
-        word = f" {word} "
-        for k in range(1, len(word)):
-            yield word[max(0, k - toxicity.LONGEST) : k + 1]
-
-
-def test_every_spelling_step_has_a_count_of_its_own(spark):
-    draw = np.random.default_rng(11)
-    texts = [" ".join(bytes(draw.integers(97, 123, 9).astype(np.uint8)).decode() for _ in range(600)) for _ in range(20)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, toxic int")
-    learnt = [Counter(x for k, t in enumerate(texts) if zlib.crc32(str(k).encode()) % 5 in (1, 2, 3) and k % 2 == c for x in spelling_steps(t)) for c in (0, 1)]
-    every = Counter(x for t in texts for x in spelling_steps(t))
-    got = toxicity.step_counts(toxicity.gather(df, labels)).collect()
-    assert sorted((r.ordinary, r.toxic, r.every) for r in got) == sorted((learnt[0][x], learnt[1][x], n) for x, n in every.items())
-    assert len({r.context for r in got}) == len({x[:-1] for x in every})
-
-
 def test_every_byte_of_a_word_is_spelled():
     texts = ["", "a", "x" * 29, "x" * 30, "x" * 31, "ab " + "漢字" * 40 + ", " + "y" * 90, "Ж" * 50]
     raw = [t.encode() for t in texts]
@@ -378,7 +358,7 @@ def test_every_byte_of_a_word_is_spelled():
     for a, b in zip(first, end, strict=True):
         given[a:b] += 1
     assert given.tolist() == [int(c != 32 or (k > 0 and out[k - 1] != 32)) for k, c in enumerate(out)]
-    assert all(out[a] == 32 or f - a == toxicity.SLIDING for a, f in zip(begin, first, strict=True))
+    assert all(out[a] == 32 or f - a == toxicity.CONTEXT for a, f in zip(begin, first, strict=True))
     assert Counter(text.tolist()) == {1: 1, 2: 1, 3: 2, 4: 2, 5: 1 + 9 + 4, 6: 4}
 
 
@@ -397,16 +377,6 @@ def test_long_runs_are_read_to_their_end(spark):
     assert np.mean([r.predicted == r.doc_id % 2 for r in got]) >= 0.9
 
 
-def test_words_that_are_not_broadcast_are_joined(spark, odd, monkeypatch):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
-    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
-    expected, kept = rows(toxicity.score_documents(docs, labels)), rows(toxicity.drop_toxic(docs, labels))
-    assert len({x[2] for x in expected}) > 100
-    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", 50)
-    assert rows(toxicity.score_documents(docs, labels)) == expected
-    assert rows(toxicity.drop_toxic(docs, labels)) == kept
-
-
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     before = docs.count()

@@ -1,0 +1,89 @@
+"""Hot buckets: large families, and passages that many documents share."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tallyspan.llm import partenum
+
+
+def plainly(docs):
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, docs)]
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(docs)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                parent[find(a)] = find(b)
+    least = defaultdict(list)
+    for k in range(len(docs)):
+        least[find(k)].append(k)
+    return sorted((k, min(least[find(k)])) for k in range(len(docs)))
+
+
+def altered(rng, words, n, tag):
+    words = list(words)
+    for k in range(n):
+        words[rng.randrange(len(words))] = f"{tag}e{k}"
+    return words
+
+
+@pytest.mark.parametrize("hot", [1, 8])
+def test_a_common_passage_and_families_within_it(spark, monkeypatch, hot):
+    """Documents of one passage and words of their own; some of them in families, whose members hold the passage too."""
+    monkeypatch.setattr(partenum, "HOT", hot)
+    monkeypatch.setattr(partenum, "PIVOTS", 2)
+    rng = random.Random(4)
+    passage = [f"p{k}" for k in range(60)]
+    docs = [" ".join(passage + [f"d{k}w{j}" for j in range(rng.randrange(40, 200))]) for k in range(150)]
+    for family in range(6):
+        text = passage + [f"f{family}w{j}" for j in range(60 + 50 * family)]
+        docs += [" ".join(altered(rng, text, rng.randrange(1, 9), f"f{family}v{k}")) for k in range(25)]
+        # linked with single members only, if with any
+        docs += [" ".join(altered(rng, docs[-1 - k].split(), 4 + 2 * family, f"f{family}o{k}")) for k in range(6)]
+    rng.shuffle(docs)
+    got = partenum.similarity_classes(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4))
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == plainly(docs)
+
+
+def test_a_passage_alone_is_not_compared(spark, monkeypatch):
+    """What is compared grows with the documents, not with their square."""
+    compared = []
+    real = partenum._compared
+    monkeypatch.setattr(partenum, "_compared", lambda pairs, texts: compared.append(pairs.count()) or real(pairs, texts))
+    passage = " ".join(f"p{k}" for k in range(45))
+    docs = [(k, passage + " " + " ".join(f"d{k}w{j}" for j in range(190))) for k in range(600)]
+    partenum.similarity_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sum(compared) < 3 * len(docs)
+
+
+def test_the_rarest_signatures_of_linked_sets_meet():
+    """In any order, the first d + 1 signatures of each of two linked sets have one in common."""
+    draw = np.random.default_rng(8)
+    for size in (5, 30, 100, 160, 400, 900):
+        for _ in range(12):
+            first = np.unique(draw.integers(0, 2**63, size).astype(np.uint64))
+            n = len(first)
+            cut = int(draw.integers(0, n // 4 + 1))
+            extra = (4 * (n - cut) - 3 * n) // 3
+            second = np.unique(np.concatenate((first[cut:], draw.integers(0, 2**63, max(0, extra)).astype(np.uint64))))
+            if not partenum.similarity(first, second)[1]:
+                continue
+            member, signature, band, needed = partenum.signatures(np.concatenate((first, second)), np.array([0, n, n + len(second)]), sampled=False)
+            order = dict(zip(np.unique(signature).tolist(), draw.permutation(len(np.unique(signature))).tolist(), strict=True))
+            kept = []
+            for m in (0, 1):
+                mine = set()
+                for b in set(band[member == m].tolist()):
+                    at = (member == m) & (band == b) & (needed > 0)
+                    ranked = sorted(signature[at].tolist(), key=order.get)
+                    mine |= set(ranked[: int(needed[at][0])]) | set(signature[(member == m) & (band == b) & (needed == 0)].tolist())
+                kept.append(mine)
+            assert kept[0] & kept[1], (size, cut)
