@@ -15,6 +15,7 @@ from tallyspan.operators.kpi import (
     metrics_request,
     period_totals,
 )
+from tallyspan.operators.many import metrics_many, parse_requests, running_totals
 from tallyspan.operators.merge import dedupe_latest, duplicate_keys, upsert
 from tallyspan.operators.periods import (
     Periods,
@@ -26,17 +27,29 @@ from tallyspan.operators.periods import (
 )
 from tallyspan.operators.rows import ads_daily
 from tallyspan.plans.pipeline import (
+    LoadCounts,
     dedupe_table,
+    load_rows,
     require_unique,
     run_ingest,
+    table_kpi,
     table_metrics,
+    table_metrics_many,
     table_response,
     upsert_table,
 )
-from tallyspan.plans.views import create_views
+from tallyspan.plans.views import create_live_views, create_views
 from tallyspan.schema import ADS_SPEND_SCHEMA, NATURAL_KEY
 from tallyspan.session import build_session
 from tallyspan.sinks.json_rows import metrics_json, write_json
 from tallyspan.sources.csv_files import read_ads_csv
-from tallyspan.sources.fact_table import read_table, table_anchor, write_snapshot
+from tallyspan.sources.fact_table import (
+    daily_sums,
+    publish_table,
+    read_table,
+    stored_bounds,
+    table_anchor,
+    table_rows,
+    write_snapshot,
+)
 from tallyspan.streaming.ingest_stream import ingest_stream

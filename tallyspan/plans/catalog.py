@@ -46,7 +46,9 @@ def kpi_compact(spark, sf_dir):
 
 
 def kpi_compact_events_15d(spark, sf_dir):
-    return kpi.kpi_compact(ads_from_events(spark, sf_dir), n_days=15)
+    # The newest day is that of the events themselves; their daily sums need not be made to find it.
+    days = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.to_date("ts").alias("date"))
+    return kpi.kpi_compact(ads_from_events(spark, sf_dir), n_days=15, anchor=periods.resolve_anchor(days))
 
 
 def kpi_30d_vs_prior(spark, sf_dir):

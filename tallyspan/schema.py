@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names and types of the columns, and which of them make the key.
 NATURAL_KEY = ("date", "platform", "account", "campaign", "country", "device")
 MEASURES = ("spend", "clicks", "impressions", "conversions")
 COUNTERS = ("clicks", "impressions", "conversions")
