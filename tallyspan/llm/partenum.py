@@ -20,7 +20,8 @@ In each bucket all classes are compared with the one that
 meets most others, its head; whoever is then not in the same component as that is compared with the rest of the bucket, in rounds of
 more and more pivots, between which components are made anew: what has come together drops out. As
 the Jaccard distance is a metric, two classes whose distances to the head differ by more than
-a link allows need no comparison, nor do two whose sizes do. So copies of one text are compared once each. Each
+a link allows need no comparison, nor do two whose sizes do, nor two of which more lanes differ (see ``lanes``) than shingles
+may: all three are bounds, not chances. So copies of one text are compared once each. Each
 comparison is exact, from the texts.
 
 Defined cases: a null text counts as empty; sets of null and empty texts link with nothing; documents with fewer than
@@ -48,6 +49,8 @@ PERCENT = 75
 SAMPLED, PARTITIONS = 96, 64
 #: Buckets of more sets are hot; so many of a bucket's sets are compared with all others at first, then four times as many.
 HOT, PIVOTS = 8, 16
+#: Groups of the domain by which two sets are told apart before they are compared.
+LANES = 512
 
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -137,27 +140,31 @@ def _text() -> Column:
 
 
 def document_sets(documents: DataFrame) -> DataFrame:
-    """``doc_id, text_key, class, n_shingles`` of each document; ``class`` is 0 for empty sets."""
+    """``doc_id, text_key, class, n_shingles, signatures`` of each document; ``class`` is 0 for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, buf, offsets in slices(batch.column(2)):
                 values, bounds = shingle_sets(buf, offsets)
-                made = [pa.array(set_hashes(values, bounds).view(np.int64)), pa.array(np.diff(bounds).astype(np.int64))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first), *made], ["doc_id", "text_key", "class", "n_shingles"])
+                member, signature, _, _ = signatures(values, bounds)
+                order = np.argsort(member, kind="stable")
+                ends = np.searchsorted(member[order], np.arange(len(bounds))).astype(np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(signature[order].view(np.int64)))
+                made = [pa.array(set_hashes(values, bounds).view(np.int64)), pa.array(np.diff(bounds).astype(np.int64)), listed]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first), *made], ["doc_id", "text_key", "class", "n_shingles", "signatures"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(_text()).alias("text_key"), _text().alias("text"))
-    return map_arrow(rows, run, "doc_id long, text_key long, class long, n_shingles long")
+    return map_arrow(rows, run, "doc_id long, text_key long, class long, n_shingles long, signatures array<long>")
 
 
-def _signature_rows(texts: DataFrame, sampled: bool = True) -> DataFrame:
-    """``signature, class, band, needed`` of each row's ``text``."""
+def _signature_rows(texts: DataFrame) -> DataFrame:
+    """``signature, class, band, needed`` of each row's ``text``, by all partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, buf, offsets in slices(batch.column(0)):
                 values, bounds = shingle_sets(buf, offsets)
-                member, signature, band, needed = signatures(values, bounds, sampled)
+                member, signature, band, needed = signatures(values, bounds, sampled=False)
                 columns = [signature.view(np.int64), set_hashes(values, bounds).view(np.int64)[member], band.astype(np.int8), needed.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["signature", "class", "band", "needed"])
 
@@ -166,7 +173,7 @@ def _signature_rows(texts: DataFrame, sampled: bool = True) -> DataFrame:
 
 def _members(documents: DataFrame, sets: DataFrame) -> DataFrame:
     """``bucket, class`` of all buckets in which classes have to be compared."""
-    rows = _signature_rows(documents.select(_text().alias("text")))
+    rows = sets.select("class", F.explode("signatures").alias("signature"))
     buckets = rows.groupBy("signature").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count(F.lit(1)).alias("n"))
     kept = staged(rows.join(buckets.where("a <> b").select("signature", "n"), "signature").select("signature", "class", "n").distinct(), "partenum-buckets")
     # sets count once, though copies were counted above: a bucket is hot by its distinct sets
@@ -189,7 +196,7 @@ def _rarest(documents: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFr
     keys = staged(with_keys(keys, wanted, "class"), "partenum-hot-texts")
     keyed = documents.select(F.xxhash64(_text()).alias("text_key"), _text().alias("text"))
     texts = with_keys(keyed, keys, "text_key").dropDuplicates(["text_key"])
-    rows = staged(_signature_rows(texts, sampled=False), "partenum-all")
+    rows = staged(_signature_rows(texts), "partenum-all")
     counts = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # heavy signatures are few; a class has as many rows as its set has partitions
     counts = staged(counts, "partenum-counts")
@@ -237,6 +244,44 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_arrow(both, run, "a long, b long, far double, linked boolean")
 
 
+def lanes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Four bits for each of ``LANES`` groups of the domain, for each set: the exclusive or of its shingles' bits.
+
+    A shingle that one of two sets has and the other has not changes one lane at most. So two sets differ in as many
+    shingles as lanes at least.
+    """
+    n = len(bounds) - 1
+    spread = mix(values + np.uint64(4242))
+    place = np.repeat(np.arange(n), np.diff(bounds)) * LANES + (spread % np.uint64(LANES)).astype(np.int64)
+    found = np.zeros(n * LANES, np.uint8)
+    np.bitwise_xor.at(found, place, (spread >> np.uint64(60)).astype(np.uint8))
+    return np.ascontiguousarray(found[::2] | (found[1::2] << 4)).view(np.int64).reshape(n, -1)
+
+
+def _laned(texts: DataFrame) -> DataFrame:
+    """``class, lanes`` of each class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, buf, offsets in slices(batch.column(1)):
+                made = lanes(*shingle_sets(buf, offsets))
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1, dtype=np.int32) * made.shape[1]), pa.array(made.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), listed], ["class", "lanes"])
+
+    return map_arrow(texts.select("class", "text"), run, "class long, lanes array<long>")
+
+
+def _lanes_apart() -> Column:
+    """In how many lanes ``lanes`` and ``drawn`` differ."""
+    ones = F.lit(0x1111111111111111)
+    total = F.lit(0)
+    for k in range(LANES // 16):
+        x = F.col("lanes")[k].bitwiseXOR(F.col("drawn")[k])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        total = total + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(ones))
+    return total
+
+
 def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
     """``class, component`` of the classes that are linked with another; None if there are none."""
     members = staged(_members(documents, sets), "partenum-members")
@@ -263,6 +308,7 @@ def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
     bucket = F.when(F.col("size") > HOT, F.xxhash64("a")).otherwise(F.col("bucket")).alias("bucket")
     met = members.join(heads, "bucket").select(bucket, "class", "a").distinct().join(sized, "class")
     far = stars.select("a", F.col("b").alias("class"), "far")
+    drawn = staged(_laned(texts), "partenum-lanes")
     met = staged(met.join(far, ["a", "class"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("class"))), "partenum-open")
     done, width = 0, PIVOTS
     while True:
@@ -271,17 +317,20 @@ def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
         spread = placed.groupBy("bucket").agg(
             F.max(F.when(F.col("class") == F.col("a"), F.col("component"))).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")
         )
-        placed = staged(placed.join(spread.where("lo <> hi").select("bucket", "head"), "bucket"), "partenum-placed")
+        placed = placed.join(spread.where("lo <> hi").select("bucket", "head"), "bucket")
         # whoever is in the head's component has met what it must: the others come to it
         rest = placed.where((F.col("component") != F.col("head")) & (F.col("rank") > done))
         rest = rest.select("bucket", F.col("class").alias("pivot"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("far").alias("out"), F.col("rank").alias("turn"))
+        rest = staged(rest, "partenum-rest")
         if rest.isEmpty():
             return labels
-        pivots = rest.where(F.col("turn") <= done + width)
+        pivots = rest.where(F.col("turn") <= done + width).join(drawn.withColumnsRenamed({"class": "pivot", "lanes": "drawn"}), "pivot")
+        placed = staged(with_keys(placed, rest, "bucket").join(drawn, "class"), "partenum-placed")
         # a pivot meets the head's component, and pivots after it; a distance that is not known is no bound
         meet = (F.col("component") != F.col("of")) & (F.col("class") != F.col("a"))
         meet &= (F.col("component") == F.col("head")) | (F.col("rank") > F.col("turn"))
         meet &= F.coalesce(F.abs(F.col("far") - F.col("out")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True)) & _alike("n", "m")
+        meet &= _lanes_apart() * (100 + PERCENT) <= (F.col("n") + F.col("m")) * (100 - PERCENT)
         pairs = placed.join(pivots, "bucket").where(meet).select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
         found = _compared(pairs, texts).where("linked").select("a", "b")
         edges = staged(edges.unionByName(found).distinct(), "partenum-links")

@@ -87,3 +87,25 @@ def test_the_rarest_signatures_of_linked_sets_meet():
                     mine |= set(ranked[: int(needed[at][0])]) | set(signature[(member == m) & (band == b) & (needed == 0)].tolist())
                 kept.append(mine)
             assert kept[0] & kept[1], (size, cut)
+
+
+def test_lanes_differ_in_no_more_than_shingles():
+    draw = np.random.default_rng(2)
+    for _ in range(60):
+        first = np.unique(draw.integers(0, 2**63, int(draw.integers(1, 700))).astype(np.uint64))
+        second = np.unique(np.concatenate((first[int(draw.integers(0, len(first))) :], draw.integers(0, 2**63, int(draw.integers(0, 400))).astype(np.uint64))))
+        bounds = np.array([0, len(first), len(first) + len(second)])
+        a, b = partenum.lanes(np.concatenate((first, second)), bounds).view(np.uint8).reshape(2, -1)
+        halves = [np.concatenate((x & 15, x >> 4)) for x in (a, b)]
+        assert (halves[0] != halves[1]).sum() <= len(np.setxor1d(first, second))
+        assert partenum.LANES == 2 * len(a)
+
+
+def test_lanes_apart_in_a_query(spark):
+    draw = np.random.default_rng(3)
+    rows = [(draw.integers(-(2**62), 2**62, partenum.LANES // 16).tolist(), draw.integers(-(2**62), 2**62, partenum.LANES // 16).tolist()) for _ in range(20)]
+    rows += [(a, [x ^ 1 for x in a[:3]] + a[3:]) for a, _ in rows]
+    got = spark.createDataFrame(rows, "lanes array<long>, drawn array<long>").select(partenum._lanes_apart().alias("n")).collect()
+    for (a, b), r in zip(rows, got, strict=True):
+        nibbles = [(x ^ y) >> (4 * k) & 15 for x, y in zip(a, b, strict=True) for k in range(16)]
+        assert r.n == sum(v > 0 for v in nibbles)
