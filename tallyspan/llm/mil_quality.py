@@ -1,14 +1,16 @@
 """Operator 9: quality by attention-based multiple-instance learning.
 
-A document is a bag of passages of ``PASSAGE_WORDS`` words. Each passage is encoded from counts of its bytes
-and words; a gated attention, softmax over w * (tanh(V h) * sigmoid(U h)), weighs the
-passages, and the weighted sum of their encodings is scored. All weights are learned from the labels of documents
-alone, by gradient descent on a bounded sample of labelled rows: the ``SAMPLE_DOCUMENTS`` with the least hash
-of their id. Every passage of every document is scored; encodings and weights are applied where a
-document is read, without a shuffle.
-
-Defined cases: a null or empty text is a bag of one empty passage; without labels of both classes
-every score is 1; rows with a null id are not held out and never learned from; an empty table gives an empty result.
+A document is a bag of passages of ``PASSAGE_WORDS`` words. A passage is encoded from what it says, its words and the
+three-byte strings in them, hashed into ``WORD_SLOTS`` and ``TRIPLE_SLOTS``, and from its form, shares of byte classes and
+word lengths: the encoder's rows for all these are learned embeddings, whose sum weighted by frequency goes
+through tanh. A gated attention, softmax over w * (tanh(V h) * sigmoid(U h)), weighs the
+passages, and the weighted sum of their encodings is scored. All weights, the embeddings too, are learned from the
+labels of documents alone, by gradient descent on a bounded sample of labelled rows: those with the least hash
+of their id, ``SAMPLE_DOCUMENTS`` at most and ``SAMPLE_PASSAGES`` passages in all. Every passage of every document is
+scored; encodings and weights are applied where a document is read, without a shuffle.
+
+Defined cases: a null or empty text is a bag of one empty passage; without labels of both classes nothing
+is known against any document, and every score is 1; rows with a null id are not held out and never learned from; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,9 +29,13 @@ from tallyspan.llm.staging import bounded_batches, map_arrow
 
 FOLDS, HELD_OUT = 3, 1
 PASSAGE_WORDS = 32
-SAMPLE_DOCUMENTS = 3000
+SAMPLE_DOCUMENTS, SAMPLE_PASSAGES = 3000, 20_000
 HIDDEN, ATTENTION = 16, 8
-EPOCHS, RATE, DECAY = 300, 0.03, 1e-4
+EPOCHS, RATE, DECAY = 150, 0.03, 1e-4
+#: Rows of the embedding for hashed words and for hashed three-byte strings.
+WORD_SLOTS, TRIPLE_SLOTS = 512, 256
+#: What a slot's weight is held back by, as there are many slots and few documents.
+SLOT_DECAY = 3e-3
 
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -44,7 +50,9 @@ _KINDS[[44, 46, 59, 58], 5] = True
 _KINDS[10, 6] = True
 _KINDS[[40, 41, 60, 62, 91, 93, 123, 125, 34], 7] = True
 _KINDS[128:, 8] = True
-FEATURES = 9 + 7
+FORM = 9 + 7
+SLOTS = WORD_SLOTS + TRIPLE_SLOTS
+FEATURES = FORM + SLOTS
 
 
 def passages(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +74,7 @@ def passages(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         sums = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
         return sums[hi] - sums[lo]
 
-    out = np.zeros((bounds[-1], FEATURES))
+    out = np.zeros((bounds[-1], FEATURES), np.float32)
     for k in range(9):
         out[:, k] = summed(_KINDS[:, k][buf], byte_lo, byte_hi) / size
     if len(starts):
@@ -74,6 +82,7 @@ def passages(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         keys = Hasher(LOWER[buf]).spans(starts, ends)
         owner = np.repeat(np.arange(bounds[-1]), np.maximum(word_hi - word_lo, 0))
         order = np.lexsort((keys, owner))
+        out[:, FORM:] = _slots(keys, owner, buf, byte_lo, byte_hi, n, size)
         repeat = np.zeros(len(keys), bool)
         repeat[order[1:]] = (keys[order][1:] == keys[order][:-1]) & (owner[order][1:] == owner[order][:-1])
         again = np.zeros(len(keys), bool)
@@ -89,22 +98,40 @@ def passages(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, bounds
 
 
+def _slots(keys: np.ndarray, owner: np.ndarray, buf: np.ndarray, byte_lo: np.ndarray, byte_hi: np.ndarray, words: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Frequencies of hashed words and hashed three-byte strings in each passage."""
+    n = len(byte_lo)
+    slot = (keys >> np.uint64(32)).astype(np.int64) % WORD_SLOTS
+    said = np.bincount(owner * WORD_SLOTS + slot, minlength=n * WORD_SLOTS).reshape(n, -1) / words[:, None]
+    low = LOWER[buf].astype(np.uint32)
+    triple = (low[:-2] << 16) | (low[1:-1] << 8) | low[2:]
+    slot = ((triple * np.uint32(0x9E3779B1)) >> np.uint32(20)).astype(np.int64) % TRIPLE_SLOTS
+    at = np.searchsorted(byte_lo, np.arange(len(triple)), "right") - 1
+    inside = np.arange(len(triple)) + 3 <= byte_hi[at]
+    spelt = np.bincount(at[inside] * TRIPLE_SLOTS + slot[inside], minlength=n * TRIPLE_SLOTS).reshape(n, -1) / size[:, None]
+    return np.concatenate((said, spelt), axis=1)
+
+
 class AttentionModel:
     """Gated attention over passages. ``p`` holds the weights by name."""
 
     def __init__(self, mean: np.ndarray, scale: np.ndarray, seed: int = 5):
         draw = np.random.default_rng(seed)
-        self.mean, self.scale = mean, scale
+        self.mean, self.scale = mean.astype(np.float32), scale.astype(np.float32)
+        self.decay = np.repeat([DECAY / 10, SLOT_DECAY], [FORM, len(mean) - FORM])[:, None]
         self.p = {
-            "E": draw.normal(0, 0.3, (FEATURES, HIDDEN)), "e": np.zeros(HIDDEN),
+            "E": np.concatenate((draw.normal(0, 0.3, (FORM, HIDDEN)), draw.normal(0, 0.02, (len(mean) - FORM, HIDDEN)))), "e": np.zeros(HIDDEN),
             "V": draw.normal(0, 0.3, (HIDDEN, ATTENTION)), "U": draw.normal(0, 0.3, (HIDDEN, ATTENTION)),
             "w": draw.normal(0, 0.3, ATTENTION), "c": draw.normal(0, 0.3, HIDDEN), "b": np.zeros(1),
         }
 
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -6, 6)
+
     def forward(self, x: np.ndarray, bounds: np.ndarray) -> dict:
+        """``x`` in standard form. Sums over features are in single precision, all else in double."""
         p, first = self.p, bounds[:-1]
-        x = np.clip((x - self.mean) / self.scale, -6, 6)
-        h = np.tanh(x @ p["E"] + p["e"])
+        h = np.tanh(x @ p["E"].astype(x.dtype) + p["e"])
         t, g = np.tanh(h @ p["V"]), 1 / (1 + np.exp(-h @ p["U"]))
         raw = (t * g) @ p["w"]
         bag = np.repeat(np.arange(len(first)), np.diff(bounds))
@@ -124,19 +151,20 @@ class AttentionModel:
         dh += dt @ p["V"].T + dg @ p["U"].T
         dx = dh * (1 - h**2)
         return {
-            "E": f["x"].T @ dx, "e": dx.sum(0), "V": h.T @ dt, "U": h.T @ dg, "w": (t * g).T @ draw,
+            "E": f["x"].T @ dx.astype(f["x"].dtype), "e": dx.sum(0), "V": h.T @ dt, "U": h.T @ dg, "w": (t * g).T @ draw,
             "c": f["z"].T @ d, "b": np.array([d.sum()]),
         }
 
     def fit(self, x: np.ndarray, bounds: np.ndarray, label: np.ndarray) -> None:
         """Adam on all bags at once; the rarer class weighs more, by the square root of its share."""
+        x = self.standard(x)
         share = np.array([(label == k).mean() for k in (0, 1)])
         weight = 1 / np.sqrt(share[label.astype(int)])
         weight /= weight.sum()
         m, v = ({k: np.zeros_like(q) for k, q in self.p.items()} for _ in range(2))
         for step in range(1, EPOCHS + 1):
             for k, d in self.gradient(self.forward(x, bounds), label, weight).items():
-                d = d + DECAY * self.p[k] / 10
+                d = d + (self.decay if k == "E" else DECAY / 10) * self.p[k]
                 m[k] = 0.9 * m[k] + 0.1 * d
                 v[k] = 0.99 * v[k] + 0.01 * d * d
                 self.p[k] -= RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
@@ -146,23 +174,35 @@ def train(documents: DataFrame, labels: DataFrame) -> AttentionModel | None:
     """A model from the bounded sample; None if it lacks one of the classes."""
     learnable = labels.where((fold("doc_id", FOLDS) != HELD_OUT) & F.col("quality").isin(0, 1))
     chosen = learnable.select("doc_id", "quality").distinct().orderBy(F.xxhash64("doc_id"), "quality").limit(SAMPLE_DOCUMENTS)
-    rows = with_label(documents, chosen, "quality")
+    rows = with_label(documents, chosen, "quality").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+    # ids and sizes come first: what is fetched is bounded in passages, however long a document is
+    sizes = rows.select("doc_id", F.xxhash64("doc_id").alias("turn"), F.xxhash64("text").alias("tie"), F.size(F.split("text", r"[\x20\x09-\x0D]+")).alias("n"))
+    fetched, room = [], SAMPLE_PASSAGES
+    for row in sizes.orderBy("turn", "tie").limit(SAMPLE_DOCUMENTS).collect():
+        room -= -(-row["n"] // PASSAGE_WORDS)
+        if room < 0:
+            break
+        fetched.append((row["doc_id"], row["tie"]))
+    wanted = documents.sparkSession.createDataFrame(fetched, "doc_id long, tie long").distinct()
+    rows = rows.withColumn("tie", F.xxhash64("text")).join(F.broadcast(wanted), ["doc_id", "tie"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, buf, offsets in slices(batch.column(0)):
                 x, bounds = passages(buf, offsets)
-                flat = pa.ListArray.from_arrays(pa.array((bounds * FEATURES).astype(np.int32)), pa.array(x.astype(np.float32).ravel()))
-                yield pa.RecordBatch.from_arrays([flat, batch.column(1).slice(first, last - first), batch.column(2).slice(first, last - first)], ["x", "label", "doc_id"])
+                flat = [x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(flat, pa.binary()), *(batch.column(k).slice(first, last - first) for k in (1, 2, 3))], ["x", "label", "doc_id", "tie"])
 
-    made = map_arrow(rows.select("text", "label", "doc_id"), run, "x array<float>, label int, doc_id long")
-    bags = sorted(made.limit(SAMPLE_DOCUMENTS).toArrow().to_pylist(), key=lambda r: (r["doc_id"], len(r["x"])))
+    made = map_arrow(rows.select("text", "label", "doc_id", "tie"), run, "x binary, label int, doc_id long, tie long").collect()
+    # repeated rows are in the sample once
+    bags = [row for _, row in sorted({(r["doc_id"], r["tie"]): r for r in made}.items())]
     label = np.array([r["label"] for r in bags], float)
     if len(set(label.tolist())) < 2:
         return None
-    x = np.concatenate([np.array(r["x"]) for r in bags]).reshape(-1, FEATURES)
-    bounds = np.concatenate(([0], np.cumsum([len(r["x"]) // FEATURES for r in bags])))
-    model = AttentionModel(x.mean(0), x.std(0) + 1e-3)
+    given = [np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES) for r in bags]
+    x = np.concatenate(given)
+    bounds = np.concatenate(([0], np.cumsum([len(g) for g in given])))
+    model = AttentionModel(x.mean(0), x.std(0) + np.float32(1e-3))
     model.fit(x, bounds, label)
     return model
 
@@ -177,7 +217,8 @@ def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
         for column in texts:
             out = np.ones(len(column))
             for first, last, buf, offsets in slices(column):
-                out[first:last] = model.forward(*passages(buf, offsets))["score"]
+                x, bounds = passages(buf, offsets)
+                out[first:last] = model.forward(model.standard(x), bounds)["score"]
             yield pa.array(out)
 
     bounded_batches(documents.sparkSession)
