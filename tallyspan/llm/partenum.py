@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm.arrays import LOWER, Hasher, distinct_per_text, mix, runs, slices, windows
 from tallyspan.llm.components import components
-from tallyspan.llm.skewed import join_heavy
+from tallyspan.llm.skewed import SHARE, join_heavy
 from tallyspan.llm.staging import boxed, map_arrow, staged, unboxed, with_keys
 
 SHINGLE = 5
@@ -48,7 +48,7 @@ SHINGLE = 5
 PERCENT = 75
 SAMPLED, PARTITIONS = 96, 64
 #: Buckets of more sets are hot; so many of a bucket's sets are compared with all others at first, then four times as many.
-HOT, PIVOTS = 8, 16
+HOT, PIVOTS = 64, 16
 #: Groups of the domain by which two sets are told apart before they are compared.
 LANES = 512
 
@@ -197,20 +197,19 @@ def _rarest(documents: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFr
     keyed = documents.select(F.xxhash64(_text()).alias("text_key"), _text().alias("text"))
     texts = with_keys(keyed, keys, "text_key").dropDuplicates(["text_key"])
     rows = staged(_signature_rows(texts), "partenum-all")
-    counts = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # heavy signatures are few; a class has as many rows as its set has partitions
-    counts = staged(counts, "partenum-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    shared = join_heavy(rows, counts, ["signature"], "n", total)
-    alone = rows.where("needed > 0").groupBy("class", "band").agg(F.count(F.lit(1)).alias("entered"))
-    # signatures of one class only come first in the order, and drop out by themselves
-    rank = F.row_number().over(Window.partitionBy("class", "band").orderBy("n", "signature"))
-    ranked = shared.where("needed > 0").withColumn("rank", rank).join(alone, ["class", "band"])
-    held = shared.where("needed > 0").groupBy("class", "band").agg(F.count(F.lit(1)).alias("held"))
-    ranked = ranked.join(held, ["class", "band"])
-    first = ranked.where(F.col("rank") + F.col("entered") - F.col("held") <= F.col("needed"))
-    single = shared.where("needed = 0")
-    return first.select(F.col("signature").alias("bucket"), "class").unionByName(single.select(F.col("signature").alias("bucket"), "class"))
+    # a signature that many classes have is counted apart, so that no window holds more than a small share of the rows
+    share = max(1, rows.count() // SHARE)
+    heavy = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share)
+    heavy = [tuple(r) for r in heavy.collect()]  # fewer than SHARE
+    among = F.col("signature").isin([k for k, _ in heavy])
+    counted = rows.where(~among).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("signature")))
+    if heavy:
+        known = documents.sparkSession.createDataFrame(heavy, "signature long, n long")
+        counted = counted.unionByName(rows.where(among).join(F.broadcast(known), "signature"))
+    # a class has as many rows as its set has partitions; those that it has alone come first, and drop out
+    rank = F.row_number().over(Window.partitionBy("class", "band").orderBy(F.col("needed") == 0, "n", "signature"))
+    kept = counted.withColumn("rank", rank).where("n > 1 AND (needed = 0 OR rank <= needed)")
+    return kept.select(F.col("signature").alias("bucket"), "class")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> tuple[float, bool]:
@@ -282,6 +281,11 @@ def _lanes_apart() -> Column:
     return total
 
 
+def _lanes_alike() -> Column:
+    """Whether sets of sizes ``n`` and ``m`` can be linked, by their lanes."""
+    return _lanes_apart() * (100 + PERCENT) <= (F.col("n") + F.col("m")) * (100 - PERCENT)
+
+
 def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
     """``class, component`` of the classes that are linked with another; None if there are none."""
     members = staged(_members(documents, sets), "partenum-members")
@@ -301,14 +305,16 @@ def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
     meets = staged(members.groupBy("class").agg(F.sum("size").alias("meets")), "partenum-meets")
     heads = staged(members.join(meets, "class").groupBy("bucket").agg(F.max_by("class", F.struct("meets", "class")).alias("a")), "partenum-heads")
     near = members.join(heads, "bucket").where("class <> a").select("a", F.col("class").alias("b")).distinct()
-    near = near.join(sized.withColumnsRenamed({"class": "a", "n": "m"}), "a").join(sized.withColumnRenamed("class", "b"), "b")
-    stars = staged(_compared(near.where(_alike("n", "m")).select("a", "b"), texts), "partenum-stars")
+    drawn = staged(_laned(texts).join(sized, "class"), "partenum-lanes")
+    near = near.join(drawn.withColumnsRenamed({"class": "a", "n": "m", "lanes": "drawn"}), "a").join(drawn.withColumnRenamed("class", "b"), "b")
+    near = staged(near.where(_alike("n", "m") & _lanes_alike()).select("a", "b"), "partenum-near")
+    stars = staged(_compared(near, texts), "partenum-stars")
     edges = staged(stars.where("linked").select("a", "b"), "partenum-links")
     # two copies of a text share many of its buckets: hot ones with one head are taken as one
     bucket = F.when(F.col("size") > HOT, F.xxhash64("a")).otherwise(F.col("bucket")).alias("bucket")
     met = members.join(heads, "bucket").select(bucket, "class", "a").distinct().join(sized, "class")
     far = stars.select("a", F.col("b").alias("class"), "far")
-    drawn = staged(_laned(texts), "partenum-lanes")
+    drawn = drawn.drop("n")
     met = staged(met.join(far, ["a", "class"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("class"))), "partenum-open")
     done, width = 0, PIVOTS
     while True:
@@ -330,7 +336,7 @@ def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
         meet = (F.col("component") != F.col("of")) & (F.col("class") != F.col("a"))
         meet &= (F.col("component") == F.col("head")) | (F.col("rank") > F.col("turn"))
         meet &= F.coalesce(F.abs(F.col("far") - F.col("out")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True)) & _alike("n", "m")
-        meet &= _lanes_apart() * (100 + PERCENT) <= (F.col("n") + F.col("m")) * (100 - PERCENT)
+        meet &= _lanes_alike()
         pairs = placed.join(pivots, "bucket").where(meet).select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
         found = _compared(pairs, texts).where("linked").select("a", "b")
         edges = staged(edges.unionByName(found).distinct(), "partenum-links")
