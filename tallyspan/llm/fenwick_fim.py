@@ -18,8 +18,8 @@ Rows do not meet each other: the job has no shuffle, and memory is bounded by a
 
 Defined cases: a null text counts as empty; an empty text, and one that holds one of the three marks,
 stays plain; a null id counts as empty text in the hash; equal ids give equal cuts for equal texts;
-further columns are not read by :func:`fim_digests` and kept by :func:`fill_in_middle`, which refuses
-(``ValueError``) a table that already has one of its new columns; an empty table gives an empty result.
+further columns are not read by :func:`fim_digests` and kept by :func:`fill_in_middle`, whose own column gets a name
+that is free; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -160,21 +160,21 @@ def _with_long_id(documents: DataFrame) -> DataFrame:
 _FORM = "n long, form string, prefix_chars long, middle_chars long"
 
 
-def fill_in_middle(documents: DataFrame, unit: str = "char", block: int = BLOCK) -> DataFrame:
-    """The documents with ``n`` (units of the text), ``form``, ``prefix_chars``, ``middle_chars`` and
-    ``fim_text``. All columns stay."""
-    clash = [f.name for f in T.StructType.fromDDL(f"{_FORM}, fim_text string") if f.name in documents.columns]
-    if clash:
-        raise ValueError(f"columns already there: {', '.join(clash)}")
+def fill_in_middle(documents: DataFrame, unit: str = "char", block: int = BLOCK, into: str = "fim") -> DataFrame:
+    """The documents with a further column ``into`` (with as many ``_`` behind it as make it new): a struct of ``n``
+    (units of the text), ``form``, ``prefix_chars``, ``middle_chars`` and the new ``text``. All columns stay."""
+    while into in documents.columns:
+        into += "_"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [m for _, m in _each(batch, unit, block)]
             texts = pa.array([m.output for m in made], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, *_columns(made), texts], [*batch.schema.names, *_NAMES, "fim_text"])
+            found = pa.StructArray.from_arrays([*_columns(made), texts], [*_NAMES, "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, into])
 
     rows = _with_long_id(documents)
-    kept = T.StructType(rows.schema.fields + T.StructType.fromDDL(f"{_FORM}, fim_text string").fields)
+    kept = T.StructType(rows.schema.fields + T.StructType.fromDDL(f"`{into}` struct<{_FORM}, text string>").fields)
     return map_arrow(rows, run, kept)
 
 

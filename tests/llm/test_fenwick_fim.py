@@ -70,14 +70,16 @@ def test_empty_table(odd):
 
 def test_all_columns_stay(odd):
     got = fenwick_fim.fill_in_middle(odd)
-    assert got.columns == [*odd.columns, "n", "form", "prefix_chars", "middle_chars", "fim_text"]
-    made = sorted(((r["doc_id"], r["text"], r["fim_text"]) for r in got.collect()), key=repr)
+    assert got.columns == [*odd.columns, "fim"]
+    made = sorted(((r["doc_id"], r["text"], r["fim"]["text"]) for r in got.collect()), key=repr)
     assert made == sorted(((i, t, plainly(i, t)[4]) for i, t in ODD), key=repr)
 
 
-def test_a_taken_column_name_is_refused(spark):
-    with pytest.raises(ValueError, match="form"):
-        fenwick_fim.fill_in_middle(spark.createDataFrame([(1, "t", "f")], "doc_id long, text string, form string"))
+def test_a_taken_name_is_left_alone(spark):
+    rows = [(1, "some text", "f", "g"), (2, None, "h", None)]
+    got = fenwick_fim.fill_in_middle(spark.createDataFrame(rows, "doc_id long, text string, fim string, fim_ string"))
+    assert got.columns == ["doc_id", "text", "fim", "fim_", "fim__"]
+    assert sorted(tuple(r)[:4] for r in got.collect()) == rows
 
 
 def by_word(text):
@@ -99,7 +101,7 @@ def test_cuts_at_every_unit(unit, split, block):
 
 
 def test_words_as_units(odd):
-    got = {(r["doc_id"], r["n"], r["fim_text"]) for r in fenwick_fim.fill_in_middle(odd, "word").collect()}
+    got = {(r["doc_id"], r["fim"]["n"], r["fim"]["text"]) for r in fenwick_fim.fill_in_middle(odd, "word").collect()}
     assert got == {(i, plainly(i, t, by_word)[0], plainly(i, t, by_word)[4]) for i, t in ODD}
 
 
