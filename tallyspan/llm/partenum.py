@@ -352,6 +352,7 @@ def similarity_classes(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` and the class of each document."""
     sets = staged(document_sets(documents), "shingle-sets")
     found = class_components(documents, sets)
+    sets = sets.drop("signatures")
     if found is None:
         sets = sets.withColumn("component", F.col("class"))
     else:
