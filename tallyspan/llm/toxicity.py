@@ -1,7 +1,7 @@
 """Operator 1: toxicity by class-conditional Kneser-Ney models.
 
-**Models.** A text is lower-cased, with white space as single spaces; digits, marks and the bytes of all scripts stay. Two
-kinds of event are counted. *Spelling*: each byte of a word, and the space after it, follows the up to ``CONTEXT``
+**Models.** A text is lower-cased, with white space as single spaces, and the characters of Chinese and Japanese as words of
+their own; digits, marks and the bytes of all scripts stay. Two kinds of event are counted. *Spelling*: each byte of a word, and the space after it, follows the up to ``CONTEXT``
 bytes before it back to the space before the word. *Junction*: the first two bytes of a word follow the three
 before its space, so that an expression of several words has a probability too. An event is the exact bytes, packed into
 one integer; nothing is hashed.
@@ -85,10 +85,16 @@ _FOLD[65:91] += 32
 
 
 def normal(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower case (Latin-1 letters too), white space as single spaces; spaces around each text."""
+    """Lower case (Latin-1 letters too), white space as single spaces; spaces around each text, and around each
+    character from U+3000 to U+9FFF, which are written without."""
     out = _FOLD[buf]
     accents = np.flatnonzero((buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E)) + 1
     out[accents] += 0x20
+    lone = np.flatnonzero((buf >= 0xE3) & (buf <= 0xE9))
+    if len(lone):
+        cuts = np.union1d(lone, lone + 3)
+        out = np.insert(out, cuts, 32)
+        offsets = offsets + np.searchsorted(cuts, offsets)
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != 32) | (out[:-1] != 32)
     places = np.concatenate(([0], np.cumsum(keep)))[offsets]
@@ -335,7 +341,8 @@ def _values(ratios: tuple[np.ndarray, np.ndarray], events: np.ndarray) -> np.nda
 def unit_sums(ratios: tuple, buf: np.ndarray, offsets: np.ndarray) -> tuple:
     """Of each unit its text, and the ratios of its spelling and of its junction; and the bytes of each text."""
     out, places, text, begin, first, end, unit = units(buf, offsets)
-    length = np.diff(places) - PAD
+    # of the words with one space between; what stands before or after a text does not matter
+    length = np.maximum(np.bincount(text, end - first, minlength=len(offsets) - 1).astype(np.int64) - 1, 0)
     if not len(unit):
         return text, np.zeros(0, np.int64), np.zeros(0, np.int64), length
     _, one, which = np.unique(unit, return_index=True, return_inverse=True)

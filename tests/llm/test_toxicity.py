@@ -19,7 +19,8 @@ def fold_of(doc_id, folds=toxicity.FOLDS):
 
 
 def words_of(text):
-    return re.findall(rb"[^\x00-\x20\x7f]+", text.translate(LOWER).encode())
+    text = re.sub("([\u3000-\u9fff])", r" \1 ", text.translate(LOWER))
+    return re.findall(rb"[^\x00-\x20\x7f]+", text.encode())
 
 
 def spelling_events(text):
