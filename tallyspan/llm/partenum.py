@@ -47,8 +47,14 @@ SHINGLE = 5
 #: A link: PERCENT * union <= 100 * intersection.
 PERCENT = 75
 SAMPLED, PARTITIONS = 96, 64
-#: Buckets of more sets are hot; so many of a bucket's sets are compared with all others at first, then four times as many.
+#: Buckets of more sets are hot; so many of a bucket's sets are compared with all others at first, then sixteen times as many.
 HOT, PIVOTS = 8, 16
+#: One row in so many tells which signatures are too common for a window.
+SOME = 64
+#: Buckets of more sets are met by arrays, by so many members in one group, and so many pivots in one round at most.
+LARGE, TOGETHER, MOST = 64, 256, 1 << 16
+#: By how much the distances of two linked sets to a third can differ.
+FURTHEST = 1 - PERCENT / 100 + 1e-9
 #: Groups of the domain by which two sets are told apart before they are compared.
 LANES = 512
 
@@ -158,57 +164,81 @@ def document_sets(documents: DataFrame) -> DataFrame:
 
 
 def _signature_rows(texts: DataFrame) -> DataFrame:
-    """``signature, class, band, needed`` of each row's ``text``, by all partitions."""
+    """``signature, class, band, spare`` of each row's ``text``, by all partitions: ``spare`` of a class's signatures in a
+    band may be left out, those that most classes have first. Single shingles, none of which may, have a negative band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, buf, offsets in slices(batch.column(0)):
                 values, bounds = shingle_sets(buf, offsets)
                 member, signature, band, needed = signatures(values, bounds, sampled=False)
-                columns = [signature.view(np.int64), set_hashes(values, bounds).view(np.int64)[member], band.astype(np.int8), needed.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["signature", "class", "band", "needed"])
+                place = (member * 64 + band) * 2 + (needed == 0)
+                entered = np.bincount(place)[place]
+                spare = np.where(needed > 0, np.maximum(entered - needed, 0), 0)
+                banded = np.where(needed > 0, band, ~band)
+                columns = [signature.view(np.int64), set_hashes(values, bounds).view(np.int64)[member], banded.astype(np.int8), spare.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["signature", "class", "band", "spare"])
 
-    return map_arrow(texts.select("text"), run, "signature long, class long, band byte, needed int")
+    return map_arrow(texts.select("text"), run, "signature long, class long, band byte, spare int")
 
 
-def _members(documents: DataFrame, sets: DataFrame) -> DataFrame:
+def _beside(rows: DataFrame, some: DataFrame, found: dict[str, Column]) -> DataFrame:
+    """``rows`` with the aggregates ``found`` of all rows that have the same signature.
+
+    One shuffle, by windows. A signature that would fill a window with more than a small share of the rows is counted apart;
+    ``some``, a few of the rows, tell which these are, and nothing but where a row is counted depends on them.
+    """
+    seen = staged(some.groupBy("signature").agg(F.count(F.lit(1)).alias("n")), "partenum-some")
+    total = seen.agg(F.sum("n")).first()[0] or 0
+    heavy = seen.where((F.col("n") * SHARE > total) & (F.col("n") >= SOME)).select("signature")
+    heavy = [r[0] for r in heavy.collect()]  # fewer than SHARE
+    if heavy:
+        rows = staged(rows, "partenum-all")
+    among = F.col("signature").isin(heavy)
+    window = Window.partitionBy("signature")
+    light = (rows.where(~among) if heavy else rows).withColumns({k: v.over(window) for k, v in found.items()})
+    if not heavy:
+        return light
+    known = rows.where(among).groupBy("signature").agg(*[v.alias(k) for k, v in found.items()])
+    return light.unionByName(rows.where(among).join(F.broadcast(known), "signature"))
+
+
+def _members(documents: DataFrame, sets: DataFrame, keys: DataFrame) -> DataFrame:
     """``bucket, class`` of all buckets in which classes have to be compared."""
-    rows = sets.select("class", F.explode("signatures").alias("signature"))
-    buckets = rows.groupBy("signature").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count(F.lit(1)).alias("n"))
-    kept = staged(rows.join(buckets.where("a <> b").select("signature", "n"), "signature").select("signature", "class", "n").distinct(), "partenum-buckets")
-    # sets count once, though copies were counted above: a bucket is hot by its distinct sets
-    sizes = kept.where(F.col("n") > HOT).groupBy("signature").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > HOT)
+    each = F.explode("signatures").alias("signature")
+    rows = _beside(
+        sets.select("class", each), sets.sample(1 / SOME, seed=SOME).select("class", each),
+        {"a": F.min("class"), "b": F.max("class")},
+    )
+    kept = staged(rows.where("a <> b").select("signature", "class").distinct(), "partenum-buckets")
+    # sets count once, though copies were rows of their own above: a bucket is hot by its distinct sets
+    sizes = kept.groupBy("signature").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > HOT)
     hot = staged(kept.join(sizes, "signature").select("signature", "class"), "partenum-hot")
     calm = with_keys(kept, hot, "signature", "left_anti")
-    return calm.select(F.col("signature").alias("bucket"), "class").unionByName(_rarest(documents, sets, hot.select("class").distinct()))
+    return calm.select(F.col("signature").alias("bucket"), "class").unionByName(_rarest(documents, keys, hot.select("class").distinct()))
 
 
-def _rarest(documents: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+def _texts(documents: DataFrame, keys: DataFrame) -> DataFrame:
+    """``text_key, text`` of the texts with these keys, each once."""
+    keyed = documents.select(F.xxhash64(_text()).alias("text_key"), _text().alias("text"))
+    return with_keys(keyed, keys, "text_key").dropDuplicates(["text_key"])
+
+
+def _rarest(documents: DataFrame, keys: DataFrame, classes: DataFrame) -> DataFrame:
     """``bucket, class`` of classes that have hot buckets, by all their partitions and without chance.
 
     A set that a linked one differs from in d shingles at most shares all its partitions' signatures but d. So in any
     order of the signatures that is the same for all sets, the first one that both share is among the first d + 1 of
     each. Taken in the order of how many of these classes have them, it is the rarest ones that are kept: what a
-    passage or a large family has in common falls out, unless it is too much of the set to be left out.
+    passage or a large family has in common falls out, unless it is too much of the set to be left out. Ranks are
+    counted from the other end, so those that a class has alone, by far the most, need not be ranked.
     """
-    wanted = staged(classes, "partenum-hot-classes")
-    keys = sets.groupBy("class").agg(F.min("text_key").alias("text_key"))
-    keys = staged(with_keys(keys, wanted, "class"), "partenum-hot-texts")
-    keyed = documents.select(F.xxhash64(_text()).alias("text_key"), _text().alias("text"))
-    texts = with_keys(keyed, keys, "text_key").dropDuplicates(["text_key"])
-    rows = staged(_signature_rows(texts), "partenum-all")
-    # a signature that many classes have is counted apart, so that no window holds more than a small share of the rows
-    share = max(1, rows.count() // SHARE)
-    heavy = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share)
-    heavy = [tuple(r) for r in heavy.collect()]  # fewer than SHARE
-    among = F.col("signature").isin([k for k, _ in heavy])
-    counted = rows.where(~among).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("signature")))
-    if heavy:
-        known = documents.sparkSession.createDataFrame(heavy, "signature long, n long")
-        counted = counted.unionByName(rows.where(among).join(F.broadcast(known), "signature"))
-    # a class has as many rows as its set has partitions; those that it has alone come first, and drop out
-    rank = F.row_number().over(Window.partitionBy("class", "band").orderBy(F.col("needed") == 0, "n", "signature"))
-    kept = counted.withColumn("rank", rank).where("n > 1 AND (needed = 0 OR rank <= needed)")
+    keys = staged(with_keys(keys, staged(classes, "partenum-hot-classes"), "class"), "partenum-hot-texts")
+    some = staged(keys.sample(1 / SOME, seed=SOME), "partenum-some-texts")
+    rows, few = (_signature_rows(_texts(documents, k)) for k in (keys, some))
+    counted = _beside(rows, few, {"n": F.count(F.lit(1))}).where("n > 1")
+    rank = F.row_number().over(Window.partitionBy("class", "band").orderBy(F.desc("n"), F.desc("signature")))
+    kept = counted.withColumn("rank", rank).where("rank > spare")
     return kept.select(F.col("signature").alias("bucket"), "class")
 
 
@@ -220,9 +250,10 @@ def similarity(a: np.ndarray, b: np.ndarray) -> tuple[float, bool]:
 
 
 def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (``a, b``) with their distance and whether they are linked."""
-    one = texts.select(F.col("class").alias("a"), F.col("text").alias("left"))
-    two = texts.select(F.col("class").alias("b"), F.col("text").alias("right"))
+    """Pairs (``a, b``) with their distance and whether they are linked. Only texts that are in a pair are shuffled."""
+    pairs = staged(pairs, "partenum-pairs")
+    one = with_keys(texts.select(F.col("class").alias("a"), F.col("text").alias("left")), pairs, "a")
+    two = with_keys(texts.select(F.col("class").alias("b"), F.col("text").alias("right")), pairs, "b")
 
     def sets(column: pa.Array) -> list[np.ndarray]:
         out = []
@@ -286,59 +317,105 @@ def _lanes_alike() -> Column:
     return _lanes_apart() * (100 + PERCENT) <= (F.col("n") + F.col("m")) * (100 - PERCENT)
 
 
+def _small_meetings(placed: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Pairs (``a, b``) of pivots and members of buckets up to ``LARGE`` that no bound rules out."""
+    # a pivot meets the head's component, and pivots after it; a distance that is not known is no bound
+    meet = (F.col("component") != F.col("of")) & (F.col("class") != F.col("a"))
+    meet &= (F.col("component") == F.col("head")) | (F.col("rank") > F.col("turn"))
+    meet &= F.coalesce(F.abs(F.col("far") - F.col("out")) <= FURTHEST, F.lit(True)) & _alike("n", "m") & _lanes_alike()
+    small = F.col("last") <= LARGE
+    pairs = placed.where(small).drop("last").join(pivots.where(small).drop("last"), "bucket").where(meet)
+    return pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b"))
+
+
+def _large_meetings(placed: DataFrame, pivots: DataFrame) -> DataFrame:
+    """The same of larger buckets, by arrays: a bucket is met in pieces of ``TOGETHER`` members, a group for each."""
+
+    def run(members: pa.Table, pivots: pa.Table) -> pa.Table:
+        at = {c: members.column(c).to_numpy() for c in ("class", "a", "component", "head", "n", "far", "rank")}
+        to = {c: pivots.column(c).to_numpy()[:, None] for c in ("pivot", "of", "m", "out", "turn")}
+        lanes, drawn = (
+            np.asarray(t.column(c).combine_chunks().flatten()).view(np.uint64).reshape(len(t), LANES // 16) for t, c in ((members, "lanes"), (pivots, "drawn"))
+        )
+        found = []
+        for k in range(0, len(pivots), PIVOTS):
+            x = {c: v[k : k + PIVOTS] for c, v in to.items()}
+            meet = (at["component"] != x["of"]) & (at["class"] != at["a"]) & ((at["component"] == at["head"]) | (at["rank"] > x["turn"]))
+            meet &= ~(np.abs(at["far"] - x["out"]) > FURTHEST)
+            meet &= np.minimum(at["n"], x["m"]) * 100 >= np.maximum(at["n"], x["m"]) * PERCENT
+            i, j = np.nonzero(meet)
+            apart = lanes[j] ^ drawn[i + k]
+            apart |= apart >> np.uint64(1)
+            apart = (apart | (apart >> np.uint64(2))) & np.uint64(0x1111111111111111)
+            near = np.bitwise_count(apart).sum(axis=1, dtype=np.int64) * (100 + PERCENT) <= (at["n"][j] + x["m"][i, 0]) * (100 - PERCENT)
+            found.append(np.sort(np.stack((at["class"][j[near]], x["pivot"][i[near], 0])), axis=0))
+        pairs = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
+
+    large, keys = F.col("last") > LARGE, ["bucket", "piece"]
+    parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    here = placed.where(large).withColumn("piece", F.expr(f"rank div {TOGETHER}")).drop("last")
+    pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"last div {TOGETHER}")))
+    there = pivots.where(large).withColumn("piece", pieces).drop("last")
+    # by number: what is small in bytes is not small in pairs, and must not be put together
+    here, there = here.repartition(parts, *keys), there.repartition(parts, *keys)
+    return here.groupBy(*keys).cogroup(there.groupBy(*keys)).applyInArrow(run, "a long, b long")
+
+
 def class_components(documents: DataFrame, sets: DataFrame) -> DataFrame | None:
     """``class, component`` of the classes that are linked with another; None if there are none."""
-    members = staged(_members(documents, sets), "partenum-members")
+    classes = sets.groupBy("class").agg(F.min("text_key").alias("text_key"), F.max("n_shingles").alias("n"))
+    classes = staged(classes, "partenum-classes")
+    members = staged(_members(documents, sets, classes), "partenum-members")
     # a bucket that only one class is left in compares nothing
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = staged(members.join(sizes, "bucket"), "partenum-met")
-    wanted = staged(members.select("class").distinct(), "partenum-classes")
-    if wanted.isEmpty():
-        return None
-    keys = sets.groupBy("class").agg(F.min("text_key").alias("text_key"), F.max("n_shingles").alias("n_shingles"))
-    keys = staged(keys.join(wanted, "class"), "partenum-keys")
-    keyed = documents.select(F.xxhash64(_text()).alias("text_key"), _text().alias("text"))
-    texts = staged(with_keys(keyed, keys, "text_key").dropDuplicates(["text_key"]).join(keys, "text_key").drop("text_key"), "partenum-texts")
-    sized = keys.select("class", F.col("n_shingles").alias("n"))
-
     # the class that meets most others: of a text and its altered copies, most likely the text
     meets = staged(members.groupBy("class").agg(F.sum("size").alias("meets")), "partenum-meets")
+    if meets.isEmpty():
+        return None
+    keys = staged(classes.join(meets, "class").drop("meets"), "partenum-keys")
+    texts = staged(_texts(documents, keys).join(keys, "text_key").drop("text_key"), "partenum-texts")
+    sized = keys.select("class", "n")
+
     heads = staged(members.join(meets, "class").groupBy("bucket").agg(F.max_by("class", F.struct("meets", "class")).alias("a")), "partenum-heads")
     near = members.join(heads, "bucket").where("class <> a").select("a", F.col("class").alias("b")).distinct()
     near = near.join(sized.withColumnsRenamed({"class": "a", "n": "m"}), "a").join(sized.withColumnRenamed("class", "b"), "b")
     stars = staged(_compared(near.where(_alike("n", "m")).select("a", "b"), texts), "partenum-stars")
-    edges = staged(stars.where("linked").select("a", "b"), "partenum-links")
+    labels = components(stars.where("linked").select("a", "b")).withColumnRenamed("node", "class")
     # two copies of a text share many of its buckets: hot ones with one head are taken as one
     bucket = F.when(F.col("size") > HOT, F.xxhash64("a")).otherwise(F.col("bucket")).alias("bucket")
     met = members.join(heads, "bucket").select(bucket, "class", "a").distinct().join(sized, "class")
     far = stars.select("a", F.col("b").alias("class"), "far")
     drawn = staged(_laned(texts), "partenum-lanes")
-    met = staged(met.join(far, ["a", "class"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("class"))), "partenum-open")
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
+    met = staged(met.join(far, ["a", "class"], "left").withColumn("rank", rank), "partenum-open")
     done, width = 0, PIVOTS
     while True:
-        labels = components(edges).withColumnRenamed("node", "class")
         placed = met.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
         spread = placed.groupBy("bucket").agg(
-            F.max(F.when(F.col("class") == F.col("a"), F.col("component"))).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")
-        )
-        placed = placed.join(spread.where("lo <> hi").select("bucket", "head"), "bucket")
+            F.max(F.when(F.col("class") == F.col("a"), F.col("component"))).alias("head"), F.min("component").alias("lo"),
+            F.max("component").alias("hi"), F.max("rank").alias("last"),
+        )
+        placed = placed.join(spread.where("lo <> hi").select("bucket", "head", "last"), "bucket")
         # whoever is in the head's component has met what it must: the others come to it
         rest = placed.where((F.col("component") != F.col("head")) & (F.col("rank") > done))
-        rest = rest.select("bucket", F.col("class").alias("pivot"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("far").alias("out"), F.col("rank").alias("turn"))
+        rest = rest.select(
+            "bucket", F.col("class").alias("pivot"), F.col("component").alias("of"), F.col("n").alias("m"), F.col("far").alias("out"),
+            F.col("rank").alias("turn"), "last",
+        )
         rest = staged(rest, "partenum-rest")
         if rest.isEmpty():
             return labels
         pivots = rest.where(F.col("turn") <= done + width).join(drawn.withColumnsRenamed({"class": "pivot", "lanes": "drawn"}), "pivot")
         placed = staged(with_keys(placed, rest, "bucket").join(drawn, "class"), "partenum-placed")
-        # a pivot meets the head's component, and pivots after it; a distance that is not known is no bound
-        meet = (F.col("component") != F.col("of")) & (F.col("class") != F.col("a"))
-        meet &= (F.col("component") == F.col("head")) | (F.col("rank") > F.col("turn"))
-        meet &= F.coalesce(F.abs(F.col("far") - F.col("out")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True)) & _alike("n", "m")
-        meet &= _lanes_alike()
-        pairs = placed.join(pivots, "bucket").where(meet).select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
-        found = _compared(pairs, texts).where("linked").select("a", "b")
-        edges = staged(edges.unionByName(found).distinct(), "partenum-links")
-        done, width = done + width, 4 * width
+        pairs = _small_meetings(placed, pivots).unionByName(_large_meetings(placed, pivots)).distinct()
+        found = staged(_compared(pairs, texts).where("linked").select("a", "b"), "partenum-links")
+        if not found.isEmpty():
+            # what is known of a component is one link of each class to its least
+            known = labels.select(F.col("class").alias("a"), F.col("component").alias("b"))
+            labels = components(known.unionByName(found)).withColumnRenamed("node", "class")
+        done, width = done + width, min(16 * width, MOST)
 
 
 def _alike(n: str, m: str) -> Column:

@@ -64,6 +64,36 @@ def test_a_passage_alone_is_not_compared(spark, monkeypatch):
     assert sum(compared) < 3 * len(docs)
 
 
+@pytest.mark.parametrize("large", [1, 1 << 30])
+def test_large_buckets_and_common_signatures_are_met_apart(spark, monkeypatch, large):
+    """By arrays or by a join, in pieces or not, with signatures counted apart or not: the same links."""
+    monkeypatch.setattr(partenum, "LARGE", large)
+    monkeypatch.setattr(partenum, "TOGETHER", 7)
+    monkeypatch.setattr(partenum, "PIVOTS", 2)
+    monkeypatch.setattr(partenum, "SOME", 1)
+    rng = random.Random(6)
+    passage = [f"p{k}" for k in range(60)]
+    docs = []
+    for family in range(3):
+        text = passage + [f"f{family}w{j}" for j in range(70)]
+        docs += [" ".join(altered(rng, text, rng.randrange(1, 12), f"f{family}v{k}")) for k in range(25)]
+        docs += [" ".join(altered(rng, docs[-1 - k].split(), 4, f"f{family}o{k}")) for k in range(5)]
+    docs += docs[:40]
+    got = partenum.similarity_classes(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3))
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == plainly(docs)
+
+
+def test_components_are_made_anew_only_of_new_links(spark, monkeypatch):
+    """Rounds that find no link make no components, and what is known enters as one link of each class."""
+    given = []
+    real = partenum.components
+    monkeypatch.setattr(partenum, "components", lambda edges: given.append(edges.count()) or real(edges))
+    passage = " ".join(f"p{k}" for k in range(90))
+    docs = [(k, passage + " " + " ".join(f"d{k}w{j}" for j in range(60))) for k in range(200)]
+    partenum.similarity_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert given == [0]
+
+
 def test_the_rarest_signatures_of_linked_sets_meet():
     """In any order, the first d + 1 signatures of each of two linked sets have one in common."""
     draw = np.random.default_rng(8)
