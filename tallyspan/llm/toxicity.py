@@ -147,39 +147,56 @@ def junctions(out: np.ndarray, begin: np.ndarray, first: np.ndarray) -> tuple[np
 
 
 class _Counts:
-    """Counts of events by class, gathered over many slices."""
+    """Counts of events by class, gathered over many slices. An event and its class are one number, so that what is held is
+    two sorted columns."""
 
     def __init__(self):
-        self.events, self.counts, self.more = np.zeros(0, np.uint64), np.zeros((0, 3), np.int64), []
+        self.tagged, self.counts, self.more, self.waiting = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
 
     def add(self, events: np.ndarray, kinds: np.ndarray) -> None:
         tagged, n = np.unique((events << np.uint64(2)) | kinds.astype(np.uint64), return_counts=True)
         self.more.append((tagged, n))
-        if sum(len(t) for t, _ in self.more) > HELD_EVENTS // 2:
+        self.waiting += len(tagged)
+        if self.waiting > HELD_EVENTS // 4:
             self._settle()
 
     def _settle(self) -> None:
         if not self.more:
             return
-        tagged = np.concatenate([t for t, _ in self.more])
-        counts = np.zeros((len(tagged), 3), np.int64)
-        counts[np.arange(len(tagged)), (tagged & np.uint64(3)).astype(np.int64)] = np.concatenate([n for _, n in self.more])
-        events = np.concatenate((self.events, tagged >> np.uint64(2)))
-        counts = np.concatenate((self.counts, counts))
-        order = np.argsort(events, kind="stable")
-        events, counts = events[order], counts[order]
-        first = np.flatnonzero(np.concatenate(([True], events[1:] != events[:-1])))
-        self.events, self.counts, self.more = events[first], np.add.reduceat(counts, first, axis=0), []
+        # what waits is put together first and then merged in place of a new sort of all that is held
+        tagged, counts = _summed([t for t, _ in self.more], [n for _, n in self.more])
+        self.more, self.waiting = [], 0
+        at = np.searchsorted(self.tagged, tagged)
+        known = np.zeros(len(tagged), bool)
+        inside = at < len(self.tagged)
+        known[inside] = self.tagged[at[inside]] == tagged[inside]
+        self.counts[at[known]] += counts[known]
+        fresh = ~known
+        self.tagged = np.insert(self.tagged, at[fresh], tagged[fresh])
+        self.counts = np.insert(self.counts, at[fresh], counts[fresh])
 
     def taken(self, at_least: int) -> Iterator[pa.RecordBatch]:
         self._settle()
-        if len(self.events) < at_least:
+        if len(self.tagged) < at_least:
             return
-        for k in range(0, len(self.events), 1 << 16):
-            some = slice(k, k + (1 << 16))
-            columns = [self.events[some].view(np.int64), *self.counts[some].T]
+        for k in range(0, len(self.tagged), 1 << 16):
+            some, n = self.tagged[k : k + (1 << 16)], self.counts[k : k + (1 << 16)]
+            counts = np.zeros((len(some), 3), np.int64)
+            counts[np.arange(len(some)), (some & np.uint64(3)).astype(np.int64)] = n
+            events = some >> np.uint64(2)
+            first = np.flatnonzero(np.concatenate(([True], events[1:] != events[:-1])))
+            columns = [events[first].view(np.int64), *np.add.reduceat(counts, first, axis=0).T]
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["event", "ordinary", "toxic", "every"])
-        self.events, self.counts = self.events[:0], self.counts[:0]
+        self.tagged, self.counts = self.tagged[:0].copy(), self.counts[:0].copy()
+
+
+def _summed(tagged: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different numbers in ascending order, and the sum of the counts of each."""
+    numbers, n = np.concatenate(tagged), np.concatenate(counts)
+    order = np.argsort(numbers, kind="stable")
+    numbers = numbers[order]
+    first = np.flatnonzero(np.concatenate(([True], numbers[1:] != numbers[:-1])))
+    return numbers[first], np.add.reduceat(n[order], first)
 
 
 _EVENTS = "event long, ordinary long, toxic long, every long"
@@ -199,7 +216,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             held.add(event, kind[row])
             which, event = junctions(out, begin, spelt)
             held.add(event, kind[which])
-        if len(held.events) >= HELD_EVENTS:
+        if len(held.tagged) >= HELD_EVENTS:
             yield from held.taken(1)
     yield from held.taken(1)
 

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -276,3 +277,18 @@ def test_held_counts_may_be_handed_on_early(spark, monkeypatch):
         for e, *counts in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
             given.update({(e, c): n for c, n in enumerate(counts) if n})
     assert given == found
+
+
+def test_held_counts_take_little_more_than_their_two_columns(monkeypatch):
+    monkeypatch.setattr(toxicity, "HELD_EVENTS", 1 << 17)
+    rng = np.random.default_rng(5)
+    given = [np.sort(rng.choice(1 << 17, 1 << 13)).astype(np.uint64) * np.uint64(1_000_003) for _ in range(60)]
+    tracemalloc.start()
+    held = toxicity._Counts()
+    for events in given:
+        held.add(events, np.full(len(events), 2))
+    rows = sum(batch.num_rows for batch in held.taken(1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(np.unique(np.concatenate(given)))
+    assert peak < 120 * toxicity.HELD_EVENTS
