@@ -154,6 +154,8 @@ class _Counts:
         self.tagged, self.counts, self.more, self.waiting = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
 
     def add(self, events: np.ndarray, kinds: np.ndarray) -> None:
+        if not len(events):
+            return
         tagged, n = np.unique((events << np.uint64(2)) | kinds.astype(np.uint64), return_counts=True)
         self.more.append((tagged, n))
         self.waiting += len(tagged)
